@@ -57,7 +57,7 @@ def _grain_tag(extra: Sequence[str]) -> Column:
     parts: list[Column] = []
     for name in extra:
         parts += [F.col(name), F.col(name).isNull()]
-    return F.xxhash64(*parts)
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
 
 def with_duplicates(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions import joined_stamp, null_safe, settle, settle_small
+from tallyproof.functions import joined_stamp, null_safe, settle_small
 from tallyproof.functions.sizing import SMALL_ROWS
 
 WATERMARK = "last_loaded"
@@ -105,6 +105,3 @@ def rescan(
     return fact.join(settled, on, "left_semi").select(*fact.columns)
 
 
-def settle_delta(rows: DataFrame) -> DataFrame:
-    """Fix a delta before the target it was measured against is written to."""
-    return settle(rows)

@@ -92,7 +92,7 @@ def dq_result_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_result(
         supplied.fact(spark, sf_dir, ONE_YEAR),
         supplied.fact_view(spark, sf_dir, ONE_YEAR),
-        supplied.source_status(spark, sf_dir),
+        supplied.source_status(spark, sf_dir, ONE_YEAR),
         RUN_TS,
         business_date=ONE_YEAR * 10000 + 101,
     )

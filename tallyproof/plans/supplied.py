@@ -26,17 +26,19 @@ def _cluster(key: str) -> Column:
     return F.when(F.col(key) % 2 == 0, F.lit("NY")).otherwise(F.lit("NJ"))
 
 
+def _in_year(df: DataFrame, column: str, year: int | None) -> DataFrame:
+    if year is None:
+        return df
+    first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    return df.where((F.col(column) >= first) & (F.col(column) < after))
+
+
 def fact(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """Ledger fact from lineitem; the business date is the first of January of the ship year.
 
     ``year`` names one business date as a range of ship dates, which reaches the Parquet reader.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    if year is not None:
-        first, after = F.make_date(F.lit(year), F.lit(1), F.lit(1)), F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))
-        lines = lines.where(
-            (F.col("l_shipdate") >= first.cast("timestamp_ntz")) & (F.col("l_shipdate") < after.cast("timestamp_ntz"))
-        )
+    lines = _in_year(table(spark, sf_dir, "lineitem"), "l_shipdate", year)
     clean = (F.col("l_suppkey") % 50).between(10, 29)
     lines = lines.withColumns({"clean": clean, "k": F.when(clean, F.lit(1)).otherwise(F.col("l_partkey"))})
     flag, line_status = F.col("l_returnflag"), F.col("l_linestatus")
@@ -67,16 +69,13 @@ def fact(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame
 
 def fact_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """The fact with region, country, record types, exchange rate and the owner hierarchy."""
-    part = table(spark, sf_dir, "part")
-    places = (
-        table(spark, sf_dir, "supplier")
+    base = fact(spark, sf_dir, year)
+    # One table after the other: each is then judged by its own file size, and broadcast if small.
+    joined = (
+        base.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "n_name", "r_name")
-    )
-    base = fact(spark, sf_dir, year)
-    joined = base.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
-        places, F.col("l_suppkey") == F.col("s_suppkey")
     )
     last_digit = F.col("k") % 10
     open_rows = F.col("row_type") == "O"
@@ -103,10 +102,10 @@ def fact_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> Data
     )
 
 
-def source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+def source_status(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """Source load status from orders."""
     state = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").select(
+    return _in_year(table(spark, sf_dir, "orders"), "o_orderdate", year).select(
         _year_date(F.year("o_orderdate")).alias("dwh_business_date"),
         _cluster("o_custkey").alias("cluster_type"),
         F.when(state == "F", F.lit("Completed")).when(state == "O", F.lit("Running"))
