@@ -1,18 +1,20 @@
 """Parquet tables kept as numbered versions, for rewrites that read what they replace.
 
 Overwriting a directory while reading it loses the data. Here a rewrite goes to a new directory
-``version-N`` under the table's root and becomes current when an empty marker file appears in it, after
-it has been checked. Readers take the highest marked version, a job that dies leaves an unmarked
-directory that nobody reads, and nothing is renamed, so object stores do as well as HDFS. One writer
-at a time per table.
+``version-N`` under the table's root and becomes current when a marker file, which holds the schema,
+appears in it after it has been checked. Readers take the highest marked version, a job that dies
+leaves an unmarked directory that nobody reads, and nothing is renamed, so object stores do as well as
+HDFS. One writer at a time per table.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyproof.functions import null_safe, settle_small
 from tallyproof.operators.history import fingerprint
@@ -49,12 +51,27 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return max((n for n, published in _versions(spark, root) if published), default=None)
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The table as last published."""
+def _current_directory(spark: SparkSession, root: str) -> str:
     number = current_version(spark, root)
     if number is None:
         raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(_directory(root, number))
+    return _directory(root, number)
+
+
+def _read(spark: SparkSession, directory: str) -> DataFrame:
+    """A published version with the schema it was written with, partition columns and empty tables included."""
+    fs, marker = _fs(spark, f"{directory}/{_MARKER}")
+    stream = fs.open(marker)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(directory)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The table as last published."""
+    return _read(spark, _current_directory(spark, root))
 
 
 def publish(
@@ -75,7 +92,9 @@ def publish(
     if validate is not None and not validate(spark.read.schema(df.schema).parquet(directory)):
         raise ValueError(f"{directory} failed validation and was not published")
     fs, marker = _fs(spark, f"{directory}/{_MARKER}")
-    fs.create(marker, True).close()
+    stream = fs.create(marker, True)
+    stream.write(bytearray(df.schema.json(), "utf-8"))
+    stream.close()
     return number
 
 
@@ -142,11 +161,8 @@ def compact(
     A table that needs more files than ``max_tasks`` is written by that many tasks, each of which
     starts a new file after an average file's number of rows.
     """
-    number = current_version(spark, root)
-    if number is None:
-        raise FileNotFoundError(f"no published version under {root}")
-    directory = _directory(root, number)
-    rows = spark.read.parquet(directory)
+    directory = _current_directory(spark, root)
+    rows = _read(spark, directory)
     wanted = F.greatest(F.ceil(F.col("n_bytes") / F.lit(target_file_bytes)), F.lit(1)).cast("int")
     slots = settle_small(
         file_sizes(spark, directory, partition_by).select(*partition_by, wanted.alias("_slots"))
