@@ -11,8 +11,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest key set that is sent to every executor. Rows here are keys, about 100 bytes each.
+#: Largest frame that is sent to every executor: rows, and bytes of their values as text.
 SMALL_ROWS = 200_000
+SMALL_BYTES = 64 * 1024 * 1024
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -29,12 +30,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute ``df`` once; mark it for broadcast only if it turned out to hold few rows.
+def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Compute ``df`` once; mark it for broadcast only if it was counted and measured to be small.
 
-    Beyond ``max_rows`` the frame comes back without a hint, so the join that uses it is a shuffled
+    Beyond either bound the frame comes back without a hint, so the join that uses it is a shuffled
     one, with adaptive execution splitting hot partitions.
     """
     settled = settle(df)
-    few = settled.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(settled) if few else settled
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0)
+    )
+    rows, size = settled.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(settled) if rows <= max_rows and size <= max_bytes else settled

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +44,10 @@ class Check:
             listed = F.upper(F.trim(F.col(self.guard))).isin(*self.excluded)
             return is_blank(df, self.columns[0]) & ~listed
         if self.rule == "hierarchy":
-            gap = any_null(self.columns)
             if self.blank_too:
-                for name in self.columns:
-                    gap = gap | is_blank(df, name)
+                gap = reduce(or_, [is_blank(df, name) for name in self.columns])
+            else:
+                gap = any_null(self.columns)
             return F.col(self.guard).isNotNull() & gap
         raise ValueError(f"{self.label}: a {self.rule} check has no row predicate")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,19 @@ def domain_violations(df: DataFrame, column: str, allowed: Sequence[str]) -> Dat
     return df.where(outside).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _uncastable(df: DataFrame, name: str, wanted: T.DataType) -> Column:
+    """Values of a column that have no counterpart in another type.
+
+    A failed cast of text to a whole number costs an exception per row, so text that cannot be one is
+    told by its looks; the cast then only decides about the range.
+    """
+    col = F.col(name)
+    fails = col.try_cast(wanted).isNull()
+    if isinstance(df.schema[name].dataType, T.StringType) and isinstance(wanted, T.IntegralType):
+        fails = ~col.rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$") | fails
+    return col.isNotNull() & fails
+
+
 def schema_contract(
     df: DataFrame, expected: T.StructType, check_values: bool = True
 ) -> DataFrame:
@@ -45,8 +58,7 @@ def schema_contract(
             measures.append((name, "null", F.col(name).isNull()))
         if have[name].dataType != field.dataType:
             found.append((name, "type"))
-            fits = F.col(name).try_cast(field.dataType)
-            measures.append((name, "uncastable", F.col(name).isNotNull() & fits.isNull()))
+            measures.append((name, "uncastable", _uncastable(df, name, field.dataType)))
     found += [(name, "extra") for name in have if name not in want]
 
     layout = "column_name string, problem string, n_rows bigint"

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -48,27 +49,37 @@ def jdbc_options(
     return options
 
 
+def _whole(value: object, up: bool) -> object:
+    """Range bounds of a numeric column must be whole numbers, whatever the database calls its type."""
+    if isinstance(value, Decimal | float):
+        return math.ceil(value) if up else math.floor(value)
+    return value
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
     table: str,
     partition_column: str | None = None,
-    num_partitions: int | None = None,
+    num_partitions: int = 16,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Database table, read in ``num_partitions`` ranges of a numeric or date column.
+    """Database table, read in ``num_partitions`` ranges of a numeric, date or timestamp column.
 
     The range bounds come from one MIN/MAX query that the database answers. Without a partition
     column the table arrives through one task, which suits small tables only.
     """
-    if partition_column is None:
-        return spark.read.format("jdbc").options(**jdbc_options(url, table, properties=properties)).load()
-    whole = spark.read.format("jdbc").options(**jdbc_options(url, table, properties=properties)).load()
-    low, high = whole.agg(F.min(partition_column), F.max(partition_column)).first()
-    if low is None:
-        return whole
-    options = jdbc_options(url, table, partition_column, low, high, num_partitions, properties)
-    return spark.read.format("jdbc").options(**options).load()
+    reader = spark.read.format("jdbc")
+    options = jdbc_options(url, table, properties=properties)
+    if partition_column is not None:
+        bounds = {k: v for k, v in options.items() if k != "dbtable"}
+        bounds["query"] = f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}"
+        low, high = spark.read.format("jdbc").options(**bounds).load().first()
+        if low is not None:
+            options = jdbc_options(
+                url, table, partition_column, _whole(low, False), _whole(high, True), num_partitions, properties
+            )
+    return reader.options(**options).load()
 
 
 def write_jdbc(

@@ -136,10 +136,10 @@ def _packed(
     partition with most of the data goes to many tasks, and a lost executor neither drops nor
     doubles rows.
     """
-    if not partition_by:
-        return rows.repartition(tasks)
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     placed = rows.select("*", place.alias("_place"))
+    if not partition_by:
+        return placed.repartition(tasks, "_place").select(*rows.columns)
     joined = placed.alias("r").join(slots.alias("p"), null_safe("r", "p", partition_by), "left")
     slot = F.pmod("_place", F.coalesce("_slots", F.lit(1)).cast("bigint")).alias("_slot")
     return (

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyproof.functions import surrogate_key
+from tallyproof.functions import settle_small, surrogate_key
 from tallyproof.operators import dayflags, history, incremental, versions
 from tallyproof.plans import supplied
 
@@ -107,6 +107,14 @@ def test_small_sides_are_broadcast_after_counting_only(spark, data):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_long_keys_are_not_broadcast(spark):
+    keys = spark.createDataFrame([("x" * 50,), ("y" * 50,)], "k string")
+    big = keys.join(settle_small(keys, max_bytes=99), "k")
+    small = keys.join(settle_small(keys, max_bytes=100), "k")
+    hinted = ["rightHint" in d._jdf.queryExecution().analyzed().toString() or "ResolvedHint" in d._jdf.queryExecution().analyzed().toString() for d in (big, small)]
+    assert hinted == [False, True]
+
+
 def test_rescan_opens_touched_partitions_only(spark, data, tmp_path):
     path = str(tmp_path / "fact")
     supplied.lookup(spark, data("0.001")).write.partitionBy("dwh_business_date").parquet(path)

@@ -12,16 +12,12 @@ def plan(df):
 
 
 @pytest.mark.parametrize("name", sorted(entry_point.queries()))
-def test_no_pair_joins_and_no_python(name, spark, data):
+def test_nothing_that_hurts_at_scale(name, spark, data):
     text = plan(entry_point.queries()[name](spark, data("0.001")))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
     assert not re.search(r"EvalPython|MapInPandas|MapInArrow|FlatMapGroups", text)
-
-
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - {"version_assign"}))
-def test_no_window_in_a_single_task(name, spark, data):
-    text = plan(entry_point.queries()[name](spark, data("0.001")))
-    assert not re.search(r"Window \[.*\n\W*(Sort .*\n\W*)?Exchange SinglePartition", text)
+    if name != "version_assign":  # its only such window runs over one row per partition
+        assert not re.search(r"Window \[.*\n\W*(Sort .*\n\W*)?Exchange SinglePartition", text)
 
 
 @pytest.mark.parametrize("name", ["latest_active", "latest_run"])

@@ -101,3 +101,14 @@ def test_schema_contract(spark):
                    ("a", "uncastable", 1), ("b", "null", 1)}
     assert contracts.schema_contract(df, df.schema).isEmpty()
     assert contracts.schema_contract(df, expected, check_values=False).count() == 3
+
+
+@pytest.mark.parametrize("text,fits", [
+    ("12", True), (" +7 ", True), ("-3", True), ("\t5\n", True), ("99999999999", False), ("1.5", False), ("", False),
+    ("L1", False), ("1 2", False), (" ", False),
+])
+def test_uncastable_agrees_with_the_cast(spark, text, fits):
+    df = spark.createDataFrame([(text,)], "a string")
+    assert (df.selectExpr("try_cast(a AS int)").first()[0] is not None) is fits
+    got = contracts.schema_contract(df, T.StructType([T.StructField("a", T.IntegerType())]))
+    assert ("uncastable" in {r.problem for r in got.collect()}) is not fits

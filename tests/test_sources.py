@@ -1,6 +1,7 @@
 """Readers, writers, table layout and whole jobs."""
 
 from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,7 @@ from tallyproof.operators.checks import HIERARCHY_COLUMNS
 from tallyproof.operators.quality import RESULT_SCHEMA
 from tallyproof.plans import jobs, supplied
 from tallyproof.sources import versioned
-from tallyproof.sources.external import jdbc_options
+from tallyproof.sources.external import _whole, jdbc_options
 
 STUDENTS = "name,age,grade\nAlice,12,6th\nBob,9,4th\nCharlie,15,8th\nDavid,10,5th\nEve,11,6th\nNoage,,1st\n"
 
@@ -48,6 +49,7 @@ def test_jdbc_options():
     assert split["partitionColumn"] == "id" and split["lowerBound"] == "2024-01-01" and split["numPartitions"] == "8"
     with pytest.raises(ValueError):
         jdbc_options("u", "t", partition_column="id")
+    assert (_whole(Decimal("1.5"), False), _whole(Decimal("1.5"), True), _whole(7, True)) == (1, 2, 7)
 
 
 def test_append_goes_by_name(spark):
