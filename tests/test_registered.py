@@ -1,6 +1,7 @@
-"""Every registered query against its SQL in DuckDB, over whole tables."""
+"""Every registered query against its SQL in DuckDB, over whole tables (scale 0.01, or $TEST_SF)."""
 
 import math
+import os
 from decimal import Decimal
 
 import duckdb
@@ -13,6 +14,8 @@ TABLES = (
     "labels conversations"
 ).split()
 
+SF = os.environ.get("TEST_SF", "0.01")
+
 # Spark type -> DuckDB type that a result column must have.
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE",
@@ -36,7 +39,7 @@ def duck(data):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data('0.01')}/{name}.parquet')")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data(SF)}/{name}.parquet')")
     return con
 
 
@@ -46,7 +49,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry_point.queries()))
 def test_matches_sql(name, spark, data, duck):
-    df = entry_point.queries()[name](spark, data("0.01"))
+    df = entry_point.queries()[name](spark, data(SF))
     got = [tuple(r) for r in df.collect()]
     cursor = duck.execute(entry_point.oracle_sql()[name])
     columns = {d[0]: str(d[1]) for d in cursor.description}
