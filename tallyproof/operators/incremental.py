@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyproof.functions import joined_stamp, null_safe, settle_small
 from tallyproof.functions.sizing import SMALL_ROWS
@@ -24,6 +25,24 @@ def _cold(cold_start: str) -> bool:
     return cold_start == "load_all"
 
 
+def _fixed(one: DataFrame) -> Column | None:
+    """The one value of a frame, computed now, as a literal of its exact type; None for NULL.
+
+    A filter with a literal reaches the scan, where it prunes partitions and skips row groups; one with a
+    subquery prunes no partitions.
+    """
+    col = F.col(one.columns[0])
+    dtype = one.schema[0].dataType
+    if isinstance(dtype, T.TimestampType):
+        value = one.select(F.unix_micros(col)).first()[0]
+        return None if value is None else F.timestamp_micros(F.lit(value))
+    if isinstance(dtype, T.TimestampNTZType):
+        value = one.select(col.cast("string")).first()[0]
+        return None if value is None else F.lit(value).cast("timestamp_ntz")
+    value = one.first()[0]
+    return None if value is None else F.lit(value)
+
+
 def incremental_rows(
     new: DataFrame,
     stored: DataFrame,
@@ -33,12 +52,19 @@ def incremental_rows(
 ) -> DataFrame:
     """Rows of ``new`` stamped after everything in ``stored``.
 
-    The latest stamp is a scalar subquery: computed once, then compared row by row, with no join. An
-    empty target gives no stamp; ``load_none`` then loads nothing, as plain SQL would.
+    The latest stamp is looked up now. If ``date_col`` is a DATE, the date that the stamp begins with
+    bounds it too, so that older partitions and row groups are not read. An empty target gives no
+    stamp; ``load_none`` then loads nothing, as plain SQL would.
     """
-    last = last_load_ts(stored, date_col, time_col).scalar()
+    load_all = _cold(cold_start)
+    last = last_load_ts(stored, date_col, time_col).first()[0]
+    if last is None:
+        return new if load_all else new.where(F.lit(False))
     later = joined_stamp(date_col, time_col) > last
-    return new.where(later | last.isNull() if _cold(cold_start) else later)
+    # Years beyond 9999 are written with a sign, and sort as text unlike dates.
+    if isinstance(new.schema[date_col].dataType, T.DateType) and last[0].isdigit():
+        later = (F.col(date_col) >= F.lit(last[:10]).cast("date")) & later
+    return new.where(later)
 
 
 def high_watermark(target: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -59,22 +85,29 @@ def delta(
 ) -> DataFrame:
     """Rows of ``lookup`` beyond the watermark of their environment.
 
-    With ``by``, the watermark (a row per environment) is computed now, once; it is broadcast if it
-    is small, so the large lookup is filtered where it is read and not shuffled. An environment
+    The watermark is computed now, once. With ``by`` it has a row per environment and is broadcast if
+    it is small, so the large lookup is filtered where it is read and not shuffled. An environment
     without a watermark is new: it is loaded whole, or left out with ``cold_start="load_none"``.
     ``inclusive`` takes rows at the watermark again, which repeats them unless the load supersedes.
+
+    Where no environment can be new (one watermark for all, or ``load_none``), the oldest watermark
+    also bounds the scan.
     """
     load_all = _cold(cold_start)
-
-    def beyond(mark: Column) -> Column:
-        later = F.col(ts_col) >= mark if inclusive else F.col(ts_col) > mark
-        return later | mark.isNull() if load_all else later
-
+    ts = F.col(ts_col)
     if not by:
-        return lookup.where(beyond(watermark.scalar()))
+        mark = _fixed(watermark.select(WATERMARK))
+        if mark is None:
+            return lookup if load_all else lookup.where(F.lit(False))
+        return lookup.where(ts >= mark if inclusive else ts > mark)
     marks = settle_small(watermark)
+    if not load_all:
+        oldest = _fixed(marks.agg(F.min(WATERMARK)))
+        lookup = lookup.where(F.lit(False) if oldest is None else ts >= oldest)
+    mark = F.col(f"w.{WATERMARK}")
+    later = ts >= mark if inclusive else ts > mark
     joined = lookup.alias("l").join(marks.alias("w"), null_safe("l", "w", by), "left")
-    return joined.where(beyond(F.col(f"w.{WATERMARK}"))).select("l.*")
+    return joined.where(later | mark.isNull() if load_all else later).select("l.*")
 
 
 def scan_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -66,6 +66,7 @@ def test_delta_per_environment(spark):
     assert taken() == [3, 7, 8]
     assert taken(inclusive=True) == [2, 3, 5, 6, 7, 8]
     assert taken(cold_start="load_none") == [3, 7]
+    assert taken(cold_start="load_none", inclusive=True) == [2, 3, 5, 6, 7]
     whole = incremental.high_watermark(target.where("environment = 'NY'"), "created_ts")
     assert incremental.delta(lookup, whole, "created_ts").count() == 2
     empty = incremental.high_watermark(target.limit(0), "created_ts")
@@ -84,6 +85,40 @@ def test_incremental_rows(spark):
         incremental.incremental_rows(new, stored, cold_start="?")
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string", "int"])
+def test_watermarks_keep_their_type(spark, kind):
+    values = ["7", "8", "9"] if kind == "int" else ["2024-11-03 00:30:00.123456", "2024-11-04 01:30:00.5", "2024-11-05 00:00:00"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(F.col("v").cast(kind))
+    mark = incremental.high_watermark(df.orderBy("v").limit(2), "v")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert incremental.delta(df, mark, "v").count() == 1
+            assert incremental.delta(df, mark, "v", inclusive=True).count() == 2
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_incremental_rows_by_date_skip_older_partitions(spark, data, tmp_path):
+    path = str(tmp_path / "log")
+    log = supplied.run_log(spark, data("0.001")).select("event_id", "run_date", "run_time")
+    log.write.partitionBy("run_date").parquet(path)
+    new = spark.read.schema(log.schema).parquet(path)
+    stored = log.where(F.col("run_date") < F.lit(date(2024, 1, 29)))
+
+    def ids(df):
+        return sorted(r.event_id for r in df.collect())
+
+    found = incremental.incremental_rows(new, stored)
+    texts = incremental.incremental_rows(*[df.withColumn("run_date", F.col("run_date").cast("string")) for df in (new, stored)])
+    assert ids(found) == ids(texts) == ids(new.where(F.col("run_date") >= F.lit(date(2024, 1, 29))))
+    empty = stored.limit(0)
+    assert incremental.incremental_rows(new, empty).count() == log.count() > new.dropna().count()
+    assert incremental.incremental_rows(new, empty, cold_start="load_none").count() == 0
+    scan = next(line for line in _plan(incremental.incremental_rows(new, stored)).splitlines() if "FileScan" in line)
+    assert "run_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_rescan_is_the_same_with_and_without_broadcast(spark):
     fact = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "a", 12), (None, "a", 13)], "d int, t string, v int")
     keys = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a")], "d int, t string")
