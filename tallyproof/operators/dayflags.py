@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _last_day(cob: DataFrame) -> Column:
-    return cob.agg(F.max("cob_date")).scalar()
+def _last_day(cob: DataFrame) -> date | None:
+    """Latest day, looked up now: as a literal it prunes a table that is partitioned by day."""
+    return cob.agg(F.max("cob_date")).first()[0]
 
 
-def _day_before_last(cob: DataFrame, previous: str) -> Column:
+def _day_before(cob: DataFrame, last: date | None, previous: str) -> date | None:
+    if previous not in ("calendar_day", "prior_available"):
+        raise ValueError("previous must be 'calendar_day' or 'prior_available'")
+    if last is None:
+        return None
     if previous == "calendar_day":
-        return F.date_sub(_last_day(cob), 1)
-    if previous == "prior_available":
-        return cob.where(F.col("cob_date") < _last_day(cob)).agg(F.max("cob_date")).scalar()
-    raise ValueError("previous must be 'calendar_day' or 'prior_available'")
+        return last - timedelta(days=1)
+    return _last_day(cob.where(F.col("cob_date") < last))
+
+
+def _of_day(cob: DataFrame, day: date | None) -> DataFrame:
+    return cob.where(F.lit(False) if day is None else F.col("cob_date") == day)
 
 
 def _open_failures(cob: DataFrame) -> DataFrame:
@@ -28,20 +37,19 @@ def previous_failures(cob: DataFrame, previous: str = "calendar_day") -> DataFra
     ``calendar_day`` is yesterday by the calendar, so a Monday finds nothing of Friday;
     ``prior_available`` is the latest earlier day that has data.
     """
-    return _open_failures(cob).where(F.col("cob_date") == _day_before_last(cob, previous)).select("row_type")
+    day = _day_before(cob, _last_day(cob), previous)
+    return _open_failures(_of_day(cob, day)).select("row_type")
 
 
 def _classified(rows: DataFrame) -> DataFrame:
-    new = F.when(F.col("flag") == "fail", F.lit("Y")).otherwise(F.lit("N"))
-    change = (
-        F.when(F.col("old_status").isNull(), F.lit("NEW"))
-        .when(F.col("old_status") != F.col("new_status"), F.lit("CHANGED"))
-        .otherwise(F.lit("NO CHANGE"))
-    )
+    old, new = F.col("status"), F.when(F.col("flag") == "fail", F.lit("Y")).otherwise(F.lit("N"))
     return rows.select(
         "cob_date", "dwh_business_date", "row_type", "flag",
-        F.col("status").alias("old_status"), new.alias("new_status"),
-    ).withColumn("change_type", change)
+        old.alias("old_status"),
+        new.alias("new_status"),
+        F.when(old == new, F.lit("NO CHANGE")).when(old.isNotNull(), F.lit("CHANGED"))
+        .otherwise(F.lit("NEW")).alias("change_type"),
+    )
 
 
 def flag_changes(cob: DataFrame, previous: str = "calendar_day") -> DataFrame:
@@ -51,8 +59,9 @@ def flag_changes(cob: DataFrame, previous: str = "calendar_day") -> DataFrame:
     before. A row repeats for each open failure its row type had on the previous day, as in the outer
     join this stands for; a table with one row per day and row type repeats nothing.
     """
-    today = cob.where(F.col("cob_date") == _last_day(cob))
-    joined = today.join(previous_failures(cob, previous), "row_type", "left")
+    last = _last_day(cob)
+    failures = _open_failures(_of_day(cob, _day_before(cob, last, previous))).select("row_type")
+    joined = _of_day(cob, last).join(failures, "row_type", "left")
     return _classified(joined).orderBy("row_type")
 
 

@@ -16,7 +16,7 @@ WATERMARK = "last_loaded"
 
 def last_load_ts(stored: DataFrame, date_col: str = "run_date", time_col: str = "run_time") -> DataFrame:
     """Latest ``date time`` stamp of the target, one row; rows with a part missing do not count."""
-    return stored.agg(F.max(joined_stamp(date_col, time_col)).alias("last_ts"))
+    return stored.agg(F.max(joined_stamp(date_col, time_col)).alias("last_stamp"))
 
 
 def _cold(cold_start: str) -> bool:

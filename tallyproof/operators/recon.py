@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tallyproof.functions import null_safe
 from tallyproof.operators.checks import GRAIN
 from tallyproof.operators.contracts import COUNT_STATES
@@ -118,6 +120,23 @@ def count_table(
     )
 
 
+#: Contract of the count table for :func:`tallyproof.operators.contracts.schema_contract`. Counts are
+#: BIGINT, because a grain of a large table can exceed INT, and the row type is text as in the fact.
+COUNT_SCHEMA = T.StructType([
+    T.StructField("theme", T.StringType(), False),
+    T.StructField("kpi_id", T.StringType(), True),
+    T.StructField("issue_object", T.StringType(), False),
+    T.StructField("dwh_business_date", T.DateType(), False),
+    T.StructField("instance", T.StringType(), True),
+    T.StructField("row_type", T.StringType(), True),
+    T.StructField("gru_counts", T.LongType(), False),
+    T.StructField("bi_counts", T.LongType(), False),
+    T.StructField("cluster_type", T.StringType(), False),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("update_date", T.DateType(), False),
+])
+
+
 def theme_filter(df: DataFrame, theme: str, column: str = "theme") -> DataFrame:
     """Rows of one theme."""
     return df.where(F.col(column) == theme)

@@ -33,6 +33,8 @@ def test_flag_changes(spark):
         ("d", "N", "N", "NO CHANGE"), ("e", "Y", "N", "CHANGED"),
     ]
     assert dayflags.flag_history(df).count() == 7
+    assert dayflags.flag_changes(df.limit(0)).count() == 0
+    assert dayflags.previous_failures(df.limit(0), "prior_available").count() == 0
 
 
 def test_previous_failures_by_calendar_or_by_data(spark):

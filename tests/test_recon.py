@@ -60,8 +60,8 @@ def test_count_by_grain(spark):
 ])
 def test_count_table(spark, gru, bi, status, updated, state):
     table = recon.count_table(coloured(spark, gru, bi, status, updated), TODAY)
-    assert table.columns == ["theme", "kpi_id", "issue_object", "dwh_business_date", "instance", "row_type",
-                             "gru_counts", "bi_counts", "cluster_type", "status", "update_date"]
+    assert table.columns == recon.COUNT_SCHEMA.names
+    assert contracts.schema_contract(table, recon.COUNT_SCHEMA).isEmpty()
     row = table.first()
     assert (row.status, row.update_date, row.dwh_business_date) == (contracts.COUNT_STATES[state], TODAY, DAY)
     assert contracts.domain_violations(table, "status", contracts.COUNT_STATES).isEmpty()
