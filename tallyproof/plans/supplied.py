@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyproof.operators.recon import count_by_grain
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -137,10 +139,9 @@ def gru_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source side of the reconciliation, one row per grain."""
     n = F.col("gru_count")
     first = F.to_date(F.col("dwh_business_date").cast("string"), "yyyyMMdd")
+    rows = _recon_rows(spark, sf_dir, F.concat(F.lit("INST_"), F.col("l_returnflag")))
     return (
-        _recon_rows(spark, sf_dir, F.concat(F.lit("INST_"), F.col("l_returnflag")))
-        .groupBy("dwh_business_date", "instance", "row_type", "cluster_type")
-        .agg(F.count(F.lit(1)).alias("gru_count"))
+        count_by_grain(rows, "gru_count")
         .withColumn(
             "gru_status",
             F.when(n % 5 == 0, F.lit("Failed")).when((n % 5).isin(1, 2), F.lit("Snapshot Copied"))
@@ -157,11 +158,8 @@ def bi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     instance = F.when(astray, F.lit("INST_X")).otherwise(F.concat(F.lit("INST_"), F.col("l_returnflag")))
     n = F.col("bi_count")
     first = F.to_date(F.col("dwh_business_date").cast("string"), "yyyyMMdd")
-    return (
-        _recon_rows(spark, sf_dir, instance)
-        .groupBy("dwh_business_date", "instance", "row_type", "cluster_type")
-        .agg(F.count(F.lit(1)).alias("bi_count"))
-        .withColumn("bi_created_date", F.date_add(first, F.when(n % 4 == 0, F.lit(2)).otherwise(F.lit(0))))
+    return count_by_grain(_recon_rows(spark, sf_dir, instance), "bi_count").withColumn(
+        "bi_created_date", F.date_add(first, F.when(n % 4 == 0, F.lit(2)).otherwise(F.lit(0)))
     )
 
 

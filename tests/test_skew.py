@@ -11,9 +11,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tallyproof.operators import counters, history, incremental, versions
+from tallyproof.operators import counters, dayflags, history, incremental, versions
 from tallyproof.operators.checks import BREAK_CHECKS, DUPLICATE_KEYS, reading
 from tallyproof.plans import supplied
+from tallyproof.sources import overwrite_partitions
 
 
 @contextlib.contextmanager
@@ -133,3 +134,26 @@ def test_rescan_by_shuffle(spark, lines, total):
     with conf(spark, **SPLIT_JOINS):
         most = busiest_task(spark, lambda: incremental.rescan(lines.select("hot", "k"), keys, max_keys=0))
     assert most < total / 4
+
+
+def test_writing_a_hot_partition(spark, lines, total, tmp_path):
+    """The redistribution that a partition overwrite asks for, and what it writes."""
+    with conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64k"):
+        assert busiest_task(spark, lambda: lines.hint("rebalance", "hot")) < total / 4
+        few = lines.withColumn("p", F.when(F.col("hot") == 7, F.lit("hot")).otherwise(F.lit("rest"))).select("k", "p")
+        overwrite_partitions(few, str(tmp_path / "t"), ["p"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == total
+
+
+def test_a_hot_day_flag_key(spark, lines, total):
+    """A row type that holds most of the latest day, joined to one open failure of the day before."""
+    days = lines.select(
+        F.when(F.col("k") == 1, F.lit(date(2024, 6, 2))).otherwise(F.lit(date(2024, 6, 3))).alias("cob_date"),
+        F.col("dwh_business_date"), F.col("hot").cast("string").alias("row_type"), F.lit("pass").alias("flag"),
+        F.lit("N").alias("status"),
+    )
+    failure = days.limit(1).withColumn("cob_date", F.lit(date(2024, 6, 2))).withColumns(
+        {"row_type": F.lit("7"), "flag": F.lit("fail"), "status": F.lit("Y")}
+    )
+    with conf(spark, **SPLIT_JOINS):
+        assert busiest_task(spark, lambda: dayflags.flag_changes(days.unionByName(failure))) < total / 4
