@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ def is_blank(df: DataFrame, name: str) -> Column:
 
 def any_null(names: Sequence[str]) -> Column:
     """True where at least one of the columns is NULL (blank text counts as present)."""
-    return reduce(or_, [F.col(n).isNull() for n in names])
+    return F.expr(" OR ".join(f"`{n}` IS NULL" for n in names))
 
 
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:

@@ -81,10 +81,12 @@ def fact_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> Data
     )
     last_digit = F.col("k") % 10
     open_rows = F.col("row_type") == "O"
-    levels = {}
-    for i in range(1, 9):
-        levels[f"l{i}_group"] = F.when(~(_nth("k", 600 + i) & open_rows), F.lit(f"g{i}"))
-        levels[f"l{i}_owner"] = F.when(~(_nth("k", 700 + i) & open_rows), F.lit(f"o{i}"))
+    # As text, because each step of a column expression is a round trip to the JVM.
+    levels = [
+        f"IF(k % {start + i} = 0 AND row_type = 'O', NULL, '{kind[0]}{i}') AS l{i}_{kind}"
+        for i in range(1, 9)
+        for start, kind in ((600, "group"), (700, "owner"))
+    ]
     return joined.select(
         *base.columns,
         F.when(~((F.col("r_name") == "ASIA") & _nth("k", 61)), F.col("r_name")).alias("lvid_region"),
@@ -100,7 +102,7 @@ def fact_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> Data
         F.to_date("l_shipdate").alias("item_value_date"),
         F.when(_nth("k", 599) & open_rows, F.lit(" "))
         .otherwise(F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("ownership_code"),
-        *[expr.alias(name) for name, expr in levels.items()],
+        *[F.expr(level) for level in levels],
     )
 
 
