@@ -23,4 +23,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_superkmer_repeats": OP2}
+OP6 = r"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), starts AS (
+  SELECT doc_id, h, unnest(generate_series(1, n - 99)) AS i FROM bytes WHERE n >= 100
+), windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i - 1, 200)) AS s FROM starts
+), firsts AS (
+  SELECT s, min({'d': doc_id, 'i': i}) AS f FROM windows GROUP BY s HAVING count(*) > 1
+), repeated AS (
+  SELECT doc_id, i FROM windows JOIN firsts USING (s) WHERE f <> {'d': doc_id, 'i': i}
+), steps AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS opens FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), runs AS (
+  SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM steps
+), spans AS (
+  SELECT doc_id, min(i) AS b, max(i) + 100 AS e FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 1) AS a FROM spans
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS last,
+         string_agg(substr(h, 2 * a - 1, 2 * (b - a)), '' ORDER BY b) AS head
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE head || substr(h, 2 * last - 1) END)) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op2_superkmer_repeats": OP2, "op6_merged_bwt_repeats": OP6}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import superkmers
+from tallyproof.llm import merged_bwt, superkmers
 from tallyproof.llm.common import table
 
 
@@ -15,6 +15,12 @@ def op2_superkmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeats(docs, width=13, with_text=False)
 
 
+def op6_merged_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return merged_bwt.remove_repeated_bytes(docs, length=100, with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_superkmer_repeats": op2_superkmer_repeats,
+    "op6_merged_bwt_repeats": op6_merged_bwt_repeats,
 }

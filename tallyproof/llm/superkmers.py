@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tallyproof.llm.common import pieces, text_bytes
 
-SENT = "bucket int, docs binary, keys binary, starts binary, windows binary, words binary"
+NUMBERS = {"docs": np.int64, "keys": np.int64, "starts": np.int32, "windows": np.int32, "tags": np.uint32}
+SENT = "bucket int, " + ", ".join(f"{n} binary" for n in NUMBERS) + ", packed binary"
 SPANS = "doc_id long, text_key long, start int, windows int"
 FLUSH, CACHED = 120_000, 250_000  # strings held before they are sent; entries of a task's caches
 MULTIPLIERS = np.random.default_rng(13).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,92 +64,116 @@ def runs_of(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return new, np.diff(np.append(new, len(at)))
 
 
-def strings_of(hashes: np.ndarray, ends: np.ndarray, width: int, grain: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows and minimiser of each super-k-mer of words whose documents end at ``ends``."""
-    n = len(hashes) - width + 1
+def grams_of(hashes: np.ndarray, grain: int) -> np.ndarray:
+    """One hash per run of ``grain`` words."""
+    n = max(0, len(hashes) - grain + 1)
+    grams = np.zeros(n, np.uint64)
+    for k in range(grain if n else 0):
+        grams += hashes[k : n + k] * MULTIPLIERS[k]
+    return mixed(grams)
+
+
+def strings_of(grams: np.ndarray, ends: np.ndarray, width: int, grain: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of windows and minimiser of each super-k-mer in documents that end at ``ends``."""
+    n = len(grams) + grain - width
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
-    grams = np.zeros(len(hashes) - grain + 1, np.uint64)
-    for k in range(grain):
-        grams += hashes[k : len(hashes) - grain + 1 + k] * MULTIPLIERS[k]
-    low = sliding_min(mixed(grams), width - grain + 1)
-    sizes = np.diff(np.concatenate([[0], ends]))
-    last = np.repeat(ends, sizes)[:n]
+    low = sliding_min(grams, width - grain + 1)
+    last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))[:n]
     at = np.flatnonzero(np.arange(n) + width <= last)
     first, windows = runs_of(low[at], at)
     return at[first], windows, low[at[first]]
 
 
+class Outbox:
+    """What a task sends: strings by bucket, and runs of windows that it already knows to repeat."""
+
+    def __init__(self, buckets: int, joint: bytes):
+        self.buckets, self.joint, self.flushed = buckets, joint, 0
+        self.queue: list[tuple] = []
+        self.known: list[tuple] = []
+        self.pack = zstandard.ZstdCompressor(level=1)
+
+    def send(self, bucket: int, doc: int, key: int, start: int, windows: int, tag: int, packed: bytes) -> None:
+        self.queue.append((bucket, doc, key, start, windows, tag, packed))
+
+    def repeats(self, doc: int, key: int, start: int, windows: int) -> None:
+        """Note a run of repeated windows; runs that follow each other become one."""
+        if self.known and self.known[-1][:2] == (doc, key) and sum(self.known[-1][2:]) == start:
+            start, windows = self.known[-1][2], self.known[-1][3] + windows
+            self.known.pop()
+        self.known.append((doc, key, start, windows))
+
+    def full(self) -> bool:
+        return len(self.queue) > FLUSH or len(self.known) > FLUSH
+
+    def flush(self) -> pa.RecordBatch:
+        rows: dict[str, list] = {name: [] for name in ("bucket", *NUMBERS, "packed")}
+        if self.queue:
+            of, *numbers, packed = zip(*self.queue, strict=True)
+            of = np.array(of)
+            order = np.argsort(of, kind="stable")
+            columns = {n: np.array(x, t)[order] for x, (n, t) in zip(numbers, NUMBERS.items(), strict=True)}
+            cuts = np.flatnonzero(np.diff(of[order], prepend=-1, append=-1))
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                rows["bucket"].append(int(of[order[i]]))
+                for n, x in columns.items():
+                    rows[n].append(x[i:j].tobytes())
+                rows["packed"].append(self.pack.compress(self.joint.join([packed[k] for k in order[i:j]])))
+        if self.known:
+            rows["bucket"].append((self.known[0][0] * 31 + self.flushed) % self.buckets)
+            for x, (n, t) in zip((*zip(*self.known, strict=True), ()), NUMBERS.items(), strict=True):
+                rows[n].append(np.array(x, t).tobytes())
+            rows["packed"].append(None)
+        self.queue, self.known, self.flushed = [], [], self.flushed + 1
+        types = {"bucket": pa.int32()}
+        return pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.binary())) for k, v in rows.items()], list(rows))
+
+
+def received(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The numbers of some rows that an Outbox made."""
+    return {n: np.concatenate([np.frombuffer(x, t) for x in rows[n]]) if len(rows) else np.zeros(0, t) for n, t in NUMBERS.items()}
+
+
+def span_frame(parts: list[tuple]) -> pd.DataFrame:
+    """SPANS from tuples of arrays."""
+    return pd.DataFrame({n: np.concatenate([np.asarray(x[i]) for x in parts]) for i, n in enumerate(("doc_id", "text_key", "start", "windows"))})
+
+
 def _send(width: int, grain: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, queue, known = _Hashes(), {}, [], []
-        pack = zstandard.ZstdCompressor(level=1)
-        flushed = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal flushed
-            rows: dict[str, list] = {name: [] for name in ("bucket", "docs", "keys", "starts", "windows", "words")}
-            if queue:
-                of, docs, keys, starts, windows, words = zip(*queue, strict=True)
-                of = np.array(of)
-                order = np.argsort(of, kind="stable")
-                columns = [np.array(x, t)[order] for x, t in ((docs, np.int64), (keys, np.int64), (starts, np.int32), (windows, np.int32))]
-                cuts = np.flatnonzero(np.diff(of[order], prepend=-1, append=-1))
-                for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                    rows["bucket"].append(int(of[order[i]]))
-                    for name, x in zip(("docs", "keys", "starts", "windows"), columns, strict=True):
-                        rows[name].append(x[i:j].tobytes())
-                    rows["words"].append(pack.compress(b" ".join([words[k] for k in order[i:j]])))
-            if known:
-                docs, keys, starts, windows = zip(*known, strict=True)
-                rows["bucket"].append((docs[0] * 31 + flushed) % buckets)
-                for name, x, t in (("docs", docs, np.int64), ("keys", keys, np.int64), ("starts", starts, np.int32), ("windows", windows, np.int32)):
-                    rows[name].append(np.array(x, t).tobytes())
-                rows["words"].append(None)
-            queue.clear()
-            known.clear()
-            flushed += 1
-            types = {"bucket": pa.int32()}
-            return pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.binary())) for k, v in rows.items()], list(rows))
-
+        hashes, seen, out = _Hashes(), {}, Outbox(buckets, b" ")
         for batch in batches:
-            for part in _parts(batch):
-                ids, keys, texts = part
+            for ids, keys, texts in text_parts(batch):
                 flat: list[bytes] = []
                 ends = np.zeros(len(ids), np.int64)
                 for k, text in enumerate(texts):
                     flat += text.split()
                     ends[k] = len(flat)
                 values = np.fromiter(map(hashes.__getitem__, flat), np.uint64, len(flat))
-                starts, windows, low = strings_of(values, ends, width, grain)
+                starts, windows, low = strings_of(grams_of(values, grain), ends, width, grain)
                 owner = np.searchsorted(ends, starts, side="right")
                 first = np.concatenate([[0], ends])[owner]
-                last = (-1, -1)
-                for s, w, b, k, f in zip(starts.tolist(), windows.tolist(), (low % np.uint64(buckets)).tolist(), owner.tolist(), first.tolist(), strict=True):
+                of = low % np.uint64(buckets)
+                for s, w, b, k, f in zip(starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), strict=True):
                     packed, doc = b" ".join(flat[s : s + w + width - 1]), ids[k]
-                    before = seen.get(packed)
-                    if before is not None and before < doc:
-                        if last == (k, s):
-                            d, key, at, n = known[-1]
-                            known[-1] = (d, key, at, n + w)
-                        else:
-                            known.append((doc, keys[k], s - f, w))
-                        last = (k, s + w)
+                    if seen.get(packed, doc) < doc:
+                        out.repeats(doc, keys[k], s - f, w)
                         continue
                     if len(seen) > CACHED:
                         seen.clear()
                     seen[packed] = doc
-                    queue.append((b, doc, keys[k], s - f, w, packed))
-                if len(queue) > FLUSH or len(known) > FLUSH:
-                    yield flush()
-        if queue or known:
-            yield flush()
+                    out.send(b, doc, keys[k], s - f, w, 0, packed)
+                if out.full():
+                    yield out.flush()
+        if out.queue or out.known:
+            yield out.flush()
 
     return send
 
 
-def _parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[list, list, list]]:
+def text_parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[list, list, list]]:
     """The rows of a batch in parts of about ``most`` bytes of text (a longer text is a part of its own)."""
     ids, keys, texts, size = [], [], [], 0
     for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
@@ -191,18 +216,17 @@ def smallest_owner(ids: np.ndarray, at: np.ndarray, width: int, owners: np.ndarr
 
 def _count(width: int):
     def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        joined = lambda part, name, kind: np.concatenate([np.frombuffer(x, kind) for x in part[name]]) if len(part) else np.zeros(0, kind)
-        known = rows[rows["words"].isna()]
-        out.append((joined(known, "docs", np.int64), joined(known, "keys", np.int64), joined(known, "starts", np.int32), joined(known, "windows", np.int32)))
-        sent = rows[~rows["words"].isna()]
+        known, sent = rows[rows["packed"].isna()], rows[~rows["packed"].isna()]
+        x = received(known)
+        out = [(x["docs"], x["keys"], x["starts"], x["windows"])]
         if len(sent):
-            docs, keys, starts, windows = (joined(sent, n, t) for n, t in (("docs", np.int64), ("keys", np.int64), ("starts", np.int32), ("windows", np.int32)))
+            x = received(sent)
+            docs, keys, starts, windows = x["docs"], x["keys"], x["starts"], x["windows"]
             open_ = zstandard.ZstdDecompressor()
             number: defaultdict[bytes, int] = defaultdict(count().__next__)
             sizes = windows.astype(np.int64) + width - 1
             ids, filled = np.empty(int(sizes.sum()), np.int32), 0
-            for blob in sent["words"]:
+            for blob in sent["packed"]:
                 words = open_.decompress(blob).split()
                 ids[filled : filled + len(words)] = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
                 filled += len(words)
@@ -216,8 +240,7 @@ def _count(width: int):
             first, n = runs_of(string[hit], hit)
             at = hit[first]
             out.append((docs[string[at]], keys[string[at]], (starts[string[at]] + offset[at]).astype(np.int32), n.astype(np.int32)))
-        names = ("doc_id", "text_key", "start", "windows")
-        return pd.DataFrame({n: np.concatenate([x[i] for x in out]) for i, n in enumerate(names)})
+        return span_frame(out)
 
     return counted
 
