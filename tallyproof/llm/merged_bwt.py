@@ -232,16 +232,16 @@ def _merge(length: int, block: int, shard_bytes: int, chunk_bytes: int):
     return merge
 
 
-def repeated_bytes(docs: DataFrame, length: int = 100, block: int = 10, bucket_bytes: int = 4 << 20, shard_bytes: int = 128 << 10) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = 100, block: int = 10, bucket_bytes: int = 3 << 20, shard_bytes: int = 128 << 10) -> DataFrame:
     """(doc_id, text_key, start, windows): runs of places whose next ``length`` bytes also start earlier.
 
     Earlier: in a smaller doc_id, or in the same document further ahead. ``length`` is a multiple of ``block``.
-    ``text_key`` is ``xxhash64(text)``; different texts under one doc_id are documents in the order of
+    ``text_key`` is ``hash(text)``; different texts under one doc_id are documents in the order of
     that key. Rows with a NULL id or text have no places.
     """
     if length % block or length < 2 * GRAIN:
         raise ValueError(f"length must be a multiple of {block} and at least {2 * GRAIN}")
-    rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "xxhash64(text) text_key", "text")
+    rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
     buckets = pieces(text_bytes(docs), bucket_bytes)
     sent = rows.mapInArrow(_send(length, buckets), SENT)
     return sent.groupBy("bucket").applyInPandas(_merge(length, block, shard_bytes, 1 << 20), SPANS)
@@ -291,7 +291,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, with_text: bool =
         .agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")
     )
-    joined = own.withColumn("text_key", F.xxhash64("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
+    joined = own.withColumn("text_key", F.hash("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
     shape = own.schema if with_text else own.drop("text").schema
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in shape)
     added = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import merged_bwt, superkmers
-from tallyproof.llm.common import table
+from tallyproof.llm import kneser_ney, merged_bwt, quality_mil, superkmers
+from tallyproof.llm.common import fold, table
 
 
 def op2_superkmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,21 @@ def op6_merged_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged_bwt.remove_repeated_bytes(docs, length=100, with_text=False)
 
 
+def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_mil.score_quality(docs, table(spark, sf_dir, "labels"), learn=fold("doc_id", 5) != 0)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = kneser_ney.score_toxicity(docs, table(spark, sf_dir, "labels"), learn=fold("doc_id", 4) != 2)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_attention_quality": op1_attention_quality,
     "op2_superkmer_repeats": op2_superkmer_repeats,
     "op6_merged_bwt_repeats": op6_merged_bwt_repeats,
+    "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
 }

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from tallyproof.llm.common import pieces, text_bytes
 
-NUMBERS = {"docs": np.int64, "keys": np.int64, "starts": np.int32, "windows": np.int32, "tags": np.uint32}
+NUMBERS = {"docs": np.int64, "keys": np.int32, "starts": np.int32, "windows": np.int32, "tags": np.uint32}
 SENT = "bucket int, " + ", ".join(f"{n} binary" for n in NUMBERS) + ", packed binary"
-SPANS = "doc_id long, text_key long, start int, windows int"
+SPANS = "doc_id long, text_key int, start int, windows int"
 FLUSH, CACHED = 120_000, 250_000  # strings held before they are sent; entries of a task's caches
 MULTIPLIERS = np.random.default_rng(13).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -93,7 +93,7 @@ class Outbox:
         self.buckets, self.joint, self.flushed = buckets, joint, 0
         self.queue: list[tuple] = []
         self.known: list[tuple] = []
-        self.pack = zstandard.ZstdCompressor(level=1)
+        self.pack = zstandard.ZstdCompressor(level=3)
 
     def send(self, bucket: int, doc: int, key: int, start: int, windows: int, tag: int, packed: bytes) -> None:
         self.queue.append((bucket, doc, key, start, windows, tag, packed))
@@ -119,12 +119,12 @@ class Outbox:
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 rows["bucket"].append(int(of[order[i]]))
                 for n, x in columns.items():
-                    rows[n].append(x[i:j].tobytes())
+                    rows[n].append(self.pack.compress(x[i:j].tobytes()))
                 rows["packed"].append(self.pack.compress(self.joint.join([packed[k] for k in order[i:j]])))
         if self.known:
             rows["bucket"].append((self.known[0][0] * 31 + self.flushed) % self.buckets)
             for x, (n, t) in zip((*zip(*self.known, strict=True), ()), NUMBERS.items(), strict=True):
-                rows[n].append(np.array(x, t).tobytes())
+                rows[n].append(self.pack.compress(np.array(x, t).tobytes()))
             rows["packed"].append(None)
         self.queue, self.known, self.flushed = [], [], self.flushed + 1
         types = {"bucket": pa.int32()}
@@ -133,7 +133,8 @@ class Outbox:
 
 def received(rows: pd.DataFrame) -> dict[str, np.ndarray]:
     """The numbers of some rows that an Outbox made."""
-    return {n: np.concatenate([np.frombuffer(x, t) for x in rows[n]]) if len(rows) else np.zeros(0, t) for n, t in NUMBERS.items()}
+    unpack = zstandard.ZstdDecompressor().decompress
+    return {n: np.concatenate([np.frombuffer(unpack(x), t) for x in rows[n]]) if len(rows) else np.zeros(0, t) for n, t in NUMBERS.items()}
 
 
 def span_frame(parts: list[tuple]) -> pd.DataFrame:
@@ -245,13 +246,13 @@ def _count(width: int):
     return counted
 
 
-def repeated_windows(docs: DataFrame, width: int = 13, grain: int = 3, bucket_bytes: int = 4 << 20) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int = 13, grain: int = 2, bucket_bytes: int = 3 << 20) -> DataFrame:
     """(doc_id, text_key, start, windows): runs of windows that also start in a document with a smaller id.
 
-    ``text_key`` is ``xxhash64(text)`` and tells rows that share a doc_id apart. Rows with a NULL id or text
+    ``text_key`` is ``hash(text)`` and tells rows that share a doc_id apart. Rows with a NULL id or text
     have no windows. Bucket count follows the bytes of text.
     """
-    rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "xxhash64(text) text_key", "text")
+    rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
     buckets = pieces(text_bytes(docs), bucket_bytes)
     sent = rows.mapInArrow(_send(width, grain, buckets), SENT)
     return sent.groupBy("bucket").applyInPandas(_count(width), SPANS)
@@ -300,7 +301,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = True) ->
         .agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")
     )
-    joined = own.withColumn("text_key", F.xxhash64("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
+    joined = own.withColumn("text_key", F.hash("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
     shape = own.schema if with_text else own.drop("text").schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
     added = "n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
