@@ -22,17 +22,19 @@ from tallyproof.llm.superkmers import text_parts
 
 #: Letters A-Z in lower case; ASCII other than letters and digits as spaces.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
-STRETCH = 6  # words
+STRETCH = 1  # words
+STEM = 7  # bytes
+RARE = 4  # words in fewer texts are one unknown word
+PRIOR = 10  # texts' worth of shared counts behind every expression
 
 
 @dataclass
 class Model:
-    """Words by number (0: unknown), and for each class its bigrams, context totals and word probabilities."""
+    """Words by number (0: unknown), and for each class its discounted bigrams, contexts and backoff to single words."""
 
     words: dict[bytes, int]
     keys: list[np.ndarray]
     gains: list[np.ndarray]
-    weights: list[np.ndarray]
     totals: list[np.ndarray]
     singles: list[np.ndarray]
     calibration: np.ndarray
@@ -41,16 +43,16 @@ class Model:
         """log10 P(word | word before, toxic) / P(word | word before, ordinary)."""
         wanted = before * np.int64(len(self.words) + 2) + ids
         logs = []
-        for keys, gains, weights, totals, singles in zip(self.keys, self.gains, self.weights, self.totals, self.singles, strict=True):
+        for keys, gains, totals, singles in zip(self.keys, self.gains, self.totals, self.singles, strict=True):
             at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
             gain = np.where(keys[at] == wanted, gains[at], 0.0) if len(keys) else np.zeros(len(ids))
-            seen = totals[before]
-            logs.append(np.log10(np.where(seen > 0, (gain + weights[before] * singles[ids]) / np.maximum(seen, 1), singles[ids])))
-        return logs[1] - logs[0]
+            logs.append(np.log10((gain + singles[ids]) / totals[before]))
+        return np.where(ids > 0, logs[1] - logs[0], 0.0)  # an unknown word says nothing
 
 
 def tokens(text: bytes) -> list[bytes]:
-    return text.translate(PLAIN).split()
+    """Words cut to their first STEM bytes, so that the forms of a word count together."""
+    return [w[:STEM] for w in text.translate(PLAIN).split()]
 
 
 def _numbers(texts: list[list[bytes]], words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,28 +66,34 @@ def _numbers(texts: list[list[bytes]], words: dict[bytes, int]) -> tuple[np.ndar
 
 
 def count(examples: list[tuple[int, list[bytes]]], discount: float) -> Model:
-    """Both models, without calibration."""
-    often = Counter(w for _, t in examples for w in t)
-    words = {w: k + 1 for k, w in enumerate(sorted(w for w, n in often.items() if n > 1))}
+    """Both models, without calibration.
+
+    An expression counts once per text. Discounts, backoff and prior mass of a class are in proportion to its
+    share of all counts, so an expression that neither class has counted is equally likely in both.
+    """
+    often = Counter(w for _, t in examples for w in set(t))
+    words = {w: k + 1 for k, w in enumerate(sorted(w for w, n in often.items() if n >= RARE))}
     base = len(words) + 2
-    keys, gains, weights, totals, counts = [], [], [], [], []
-    contexts = np.zeros(base)
+    keys, counts = [], []
     for label in (0, 1):
-        ids, before, _ = _numbers([t for y, t in examples if y == label], words)
-        key, n = np.unique(before * np.int64(base) + ids, return_counts=True)
-        contexts += np.bincount(key % base, minlength=base)
-        keys.append(key)
-        gains.append(np.maximum(n - discount, 0))
-        totals.append(np.bincount(key // base, n, base))
-        weights.append(discount * np.bincount(key // base, minlength=base))
-        counts.append(np.bincount(ids, minlength=base).astype(float))
-    shared = (contexts + 0.5) / (contexts + 0.5).sum()
-    singles = []
-    for n in counts:
-        own = np.maximum(n - discount, 0)
-        # The discount and a constant mass are spread over the shared counts.
-        singles.append((own + (n.sum() - own.sum() + 50) * shared) / (n.sum() + 50))
-    return Model(words, keys, gains, weights, totals, singles, np.zeros(3))
+        texts = [t for y, t in examples if y == label]
+        ids, before, sizes = _numbers(texts, words)
+        text = np.repeat(np.arange(len(texts)), sizes)
+        pairs = np.unique(text * np.int64(base) ** 2 + before * np.int64(base) + ids) % base**2
+        key, n = np.unique(pairs, return_counts=True)
+        keys.append((key, n))
+        counts.append(np.bincount(np.unique(text * np.int64(base) + ids) % base, minlength=base).astype(float))
+    shares = np.array([n.sum() for n in counts]) / max(1, sum(n.sum() for n in counts))
+    shared = sum(counts) + PRIOR
+    model = Model(words, [], [], [], [], np.zeros(3))
+    for share, n, (key, pairs) in zip(shares, counts, keys, strict=True):
+        # Relative to the shared backoff: 1 where the class says no more than both together.
+        single = (np.maximum(n - discount * share, 0) / share + PRIOR) / shared
+        model.keys.append(key)
+        model.gains.append(np.maximum(pairs - discount * share, 0))
+        model.singles.append(share * PRIOR * single)
+        model.totals.append(np.bincount(key // base, pairs, base) + share * 5 * PRIOR)
+    return model
 
 
 def measures(model: Model, texts: list[list[bytes]]) -> np.ndarray:
@@ -123,7 +131,7 @@ def fit(examples: list[tuple[int, bytes]], discount: float = 0.75, folds: int =
 
     Without examples of both labels every text scores their share, or 0.5 if there are none.
     """
-    data = [(y, tokens(t)) for y, t in examples]
+    data = [(y, tokens(t)) for y, t in dict.fromkeys(examples)]
     y = np.array([label for label, _ in data], float)
     model = count(data, discount)
     if len(set(y.tolist())) < 2:
