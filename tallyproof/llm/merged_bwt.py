@@ -16,6 +16,7 @@ rows, so matches start and end at any byte.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,8 +55,8 @@ def byte_grams(data: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
-def recurring(grams: np.ndarray, starts: np.ndarray, windows: np.ndarray, low: np.ndarray, length: int) -> np.ndarray:
-    """Whether a run holds its minimiser more than once; only then can it repeat a window of its own."""
+def anchors(grams: np.ndarray, starts: np.ndarray, windows: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run first holds its minimiser, from its start, and whether it holds it again."""
     span = length - GRAIN + 1
     n = len(grams) - span + 1
     lows = sliding_min(grams, span)
@@ -64,8 +65,23 @@ def recurring(grams: np.ndarray, starts: np.ndarray, windows: np.ndarray, low: n
     at = np.flatnonzero(grams == highest[: len(grams)])
     values, rank = np.unique(grams[at], return_inverse=True)
     marks = np.sort(rank * np.int64(n + span) + at)
-    own = np.searchsorted(values, low) * np.int64(n + span)
-    return np.searchsorted(marks, own + starts + windows + span - 1) - np.searchsorted(marks, own + starts) > 1
+    own = np.searchsorted(values, low) * np.int64(n + span) + starts
+    first = np.searchsorted(marks, own)
+    return marks[first] - own, np.searchsorted(marks, own + windows + span - 1) - first > 1
+
+
+def may_share(strings: list[bytes], anchor: list[int], length: int) -> np.ndarray:
+    """Of runs with equal minimisers: those that also share enough text on one side of it.
+
+    A shared window holds the minimiser and reaches at least half of the rest beyond it on one side.
+    """
+    reach = (length - GRAIN + 1) // 2
+    sides = [[s[a : a + GRAIN + reach] for s, a in zip(strings, anchor, strict=True)], [s[max(0, a - reach) : a + GRAIN] for s, a in zip(strings, anchor, strict=True)]]
+    out = np.zeros(len(strings), bool)
+    for side in sides:
+        often = Counter(side)
+        out |= np.array([len(x) == GRAIN + reach and often[x] > 1 for x in side], bool)
+    return out
 
 
 def _send(length: int, buckets: int):
@@ -79,8 +95,8 @@ def _send(length: int, buckets: int):
                 starts, windows, low = strings_of(grams, ends, length, GRAIN)
                 if not len(starts):
                     continue
-                multi = recurring(grams, starts, windows, low, length)
-                tags = (low >> np.uint64(32)).astype(np.uint32) << np.uint32(1) | multi
+                anchor, multi = anchors(grams, starts, windows, low, length)
+                tags = (low >> np.uint64(40)).astype(np.uint32) << np.uint32(8) | (anchor << 1 | multi).astype(np.uint32)
                 owner = np.searchsorted(ends, starts, side="right")
                 first = np.concatenate([[0], ends])[owner]
                 of = low % np.uint64(buckets)
@@ -209,8 +225,14 @@ def _merge(length: int, block: int, shard_bytes: int, chunk_bytes: int):
         del first
         out.append(tuple(x[n][earlier] for n in ("docs", "keys", "starts", "windows")))
         tags = x["tags"][alone]
-        minimiser, inverse, shared = np.unique(tags >> 1, return_inverse=True, return_counts=True)
-        wanted = np.flatnonzero((shared[inverse] > 1) | (tags & 1 == 1))
+        _, inverse, shared = np.unique(tags >> 8, return_inverse=True, return_counts=True)
+        multi = tags & 1 == 1
+        _, mixed_in = np.unique(np.concatenate([np.arange(len(shared)), inverse[multi]]), return_counts=True)
+        kin = np.flatnonzero((shared[inverse] > 1) & (mixed_in[inverse] == 1))
+        own = [alone[i] for i in kin.tolist()]
+        close = may_share([data[ends[i] - sizes[i] : ends[i]] for i in own], ((tags[kin] >> 1) & 127).tolist(), length)
+        # With a minimiser that some run holds twice, all of its runs are compared.
+        wanted = np.concatenate([kin[close], np.flatnonzero(mixed_in[inverse] > 1)])
         wanted = wanted[np.argsort(inverse[wanted], kind="stable")]
         total = np.cumsum(sizes[np.array(alone)[wanted]]) if len(wanted) else wanted
         new = np.flatnonzero(np.diff(inverse[wanted], prepend=-1))
@@ -239,8 +261,8 @@ def repeated_bytes(docs: DataFrame, length: int = 100, block: int = 10, bucket_b
     ``text_key`` is ``hash(text)``; different texts under one doc_id are documents in the order of
     that key. Rows with a NULL id or text have no places.
     """
-    if length % block or length < 2 * GRAIN:
-        raise ValueError(f"length must be a multiple of {block} and at least {2 * GRAIN}")
+    if length % block or not 2 * GRAIN <= length <= 127 + GRAIN:
+        raise ValueError(f"length must be a multiple of {block}, from {2 * GRAIN} to {127 + GRAIN}")
     rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
     buckets = pieces(text_bytes(docs), bucket_bytes)
     sent = rows.mapInArrow(_send(length, buckets), SENT)
