@@ -53,4 +53,82 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
 FROM bytes LEFT JOIN cut USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_superkmer_repeats": OP2, "op6_merged_bwt_repeats": OP6}
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), test AS (
+  SELECT DISTINCT item_id, len(w[i:i + 9]) AS n, array_to_string(w[i:i + 9], ' ') AS s
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT n FROM test
+), train AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)
+), hits AS (
+  SELECT doc_id, item_id, i, n FROM train JOIN test USING (n, s)
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+def _shared(level: str, parent: str, path: str, budgets: str, weight: str) -> str:
+    """One level of the tree: children of equal budget, in the order in which they are filled."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    return f"""{level}0 AS (
+  SELECT {path}, sum(cap) AS cap, any_value(budget) AS budget, any_value({weight}) AS weight FROM {budgets} GROUP BY {path}
+), {level}1 AS (
+  SELECT *, coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM {level}0 WINDOW w AS ({by} ORDER BY CAST(cap AS DOUBLE) / weight, {level})
+), {level}2 AS (
+  SELECT *, cap * weights <= weight * (budget - before) AS filled FROM {level}1
+), {level}3 AS (
+  SELECT *, budget - sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({by}) AS rest, sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({by}) AS open FROM {level}2
+), {level}4 AS (
+  SELECT {path}, CAST(CASE WHEN filled THEN cap WHEN rest <= 0 THEN 0 ELSE least(cap, (weight * rest) // open) END AS BIGINT) AS given FROM {level}3
+)"""
+
+
+_MIXED = ", ".join([
+    _shared("domain", "", "domain", "(SELECT *, total * 3 // 5 AS budget FROM leaves, (SELECT sum(tokens) AS total FROM leaves))",
+            "CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END"),
+    _shared("lang", "domain", "domain, lang", "(SELECT leaves.*, given AS budget FROM leaves JOIN domain4 USING (domain))",
+            "CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END"),
+    _shared("source", "domain, lang", "domain, lang, source", "(SELECT leaves.*, given AS budget FROM leaves JOIN lang4 USING (domain, lang))", "1"),
+])
+OP10 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce('domain' || CAST(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) % 4 AS VARCHAR), '') AS domain,
+         coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(2 * sum(n_tokens) AS BIGINT) AS cap FROM docs WHERE n_tokens > 0 GROUP BY ALL
+), """ + _MIXED + r""", epochs AS (
+  SELECT domain, lang, source, given // tokens AS whole, given % tokens AS more FROM source4 JOIN leaves USING (domain, lang, source)
+), ordered AS (
+  SELECT docs.*, whole, more, md5('7:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM docs LEFT JOIN epochs USING (domain, lang, source)
+), placed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k) - n_tokens AS ahead FROM ordered
+)
+SELECT doc_id, domain, lang, source, n_tokens,
+       CAST(CASE WHEN n_tokens = 0 THEN 0 ELSE whole + CASE WHEN more > ahead THEN 1 ELSE 0 END END AS BIGINT) AS copies
+FROM placed
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_superkmer_repeats": OP2,
+    "op6_merged_bwt_repeats": OP6,
+    "op7_positional_index": OP7,
+    "op10_hierarchical_mix": OP10,
+}

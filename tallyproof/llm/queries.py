@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyproof.llm import kneser_ney, merged_bwt, quality_mil, superkmers
+from tallyproof.llm import kneser_ney, merged_bwt, mixing, phrase_index, quality_mil, superkmers
 from tallyproof.llm.common import fold, table
 
 
@@ -32,9 +33,28 @@ def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = phrase_index.contamination(docs, table(spark, sf_dir, "benchmark"), width=10)
+    ids = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
+
+
+#: Domains by the number in a source's name, and target weights; languages and sources not named weigh 1.
+DOMAIN = F.expr("concat('domain', cast(try_cast(regexp_extract(source, '([0-9]+)', 1) as int) % 4 as string))")
+WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
+
+
+def op10_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(docs, DOMAIN, WEIGHTS, budget_share=(3, 5), max_epochs=2, seed=7)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_superkmer_repeats": op2_superkmer_repeats,
     "op6_merged_bwt_repeats": op6_merged_bwt_repeats,
+    "op7_positional_index": op7_positional_index,
     "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
+    "op10_hierarchical_mix": op10_hierarchical_mix,
 }
