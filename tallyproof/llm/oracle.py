@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyproof.llm.license_scan import TEMPLATES
+
 OP2 = r"""
 WITH words AS (
   SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w FROM documents
@@ -126,9 +128,42 @@ SELECT doc_id, domain, lang, source, n_tokens,
 FROM placed
 """
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP8 = (
+    "WITH templates(template_id, license, text) AS (VALUES "
+    + ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+    + f"""), t AS (
+  SELECT template_id, license, {_WORDS} AS w FROM templates
+), ts AS (
+  SELECT DISTINCT template_id, license, len(w) AS n, len(w) - 4 AS total, array_to_string(w[k:k + 4], ' ') AS s
+  FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS k FROM t)
+), tn AS (
+  SELECT template_id, count(*) AS m FROM ts GROUP BY 1
+), d AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), ds AS (
+  SELECT doc_id, p - 1 AS p, array_to_string(w[p:p + 4], ' ') AS s FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS p FROM d WHERE len(w) > 4)
+), hits AS (
+  SELECT doc_id, template_id, license, n, p, s FROM ds JOIN ts USING (s)
+), windows AS (
+  SELECT DISTINCT doc_id, template_id, n, p // 4 * 4 AS i FROM hits
+), found AS (
+  SELECT w.doc_id, w.template_id, w.i, count(DISTINCT h.s) AS c
+  FROM windows w JOIN hits h ON h.doc_id = w.doc_id AND h.template_id = w.template_id AND h.p >= greatest(w.i - w.n, 0) AND h.p + 5 <= w.i + 8 + w.n
+  GROUP BY ALL
+), kept AS (
+  SELECT DISTINCT doc_id, template_id, license FROM found JOIN tn USING (template_id) JOIN (SELECT DISTINCT template_id, license FROM t) USING (template_id) WHERE c >= 0.8 * m
+), by_doc AS (
+  SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(DISTINCT template_id) AS n FROM kept GROUP BY doc_id
+)
+SELECT doc_id, coalesce(licenses, '') AS licenses, CAST(coalesce(n, 0) AS BIGINT) AS n_templates FROM documents LEFT JOIN by_doc USING (doc_id)
+"""
+)
+
 ORACLE: dict[str, str] = {
     "op2_superkmer_repeats": OP2,
     "op6_merged_bwt_repeats": OP6,
     "op7_positional_index": OP7,
+    "op8_license_bands": OP8,
     "op10_hierarchical_mix": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import kneser_ney, merged_bwt, mixing, phrase_index, quality_mil, superkmers
+from tallyproof.llm import kneser_ney, license_scan, merged_bwt, mixing, phrase_index, quality_mil, superkmers
 from tallyproof.llm.common import fold, table
 
 
@@ -40,6 +40,12 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
 
 
+def op8_license_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs, license_scan.default_templates(spark), least=0.8)
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "n_templates")
+
+
 #: Domains by the number in a source's name, and target weights; languages and sources not named weigh 1.
 DOMAIN = F.expr("concat('domain', cast(try_cast(regexp_extract(source, '([0-9]+)', 1) as int) % 4 as string))")
 WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_superkmer_repeats": op2_superkmer_repeats,
     "op6_merged_bwt_repeats": op6_merged_bwt_repeats,
     "op7_positional_index": op7_positional_index,
+    "op8_license_bands": op8_license_bands,
     "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
     "op10_hierarchical_mix": op10_hierarchical_mix,
 }
