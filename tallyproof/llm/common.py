@@ -36,6 +36,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def within_bound(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A settled frame of narrow rows, marked for broadcast if it has at most ``rows`` of them; beyond that joins shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: sizes what has to grow with the input."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

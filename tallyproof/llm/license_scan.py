@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import settled
-from tallyproof.llm.phrase_index import within_bound, words_of
+from tallyproof.llm.common import settled, within_bound
+from tallyproof.llm.phrase_index import words_of
 
 SHINGLE, WINDOW, STRIDE, BANDS = 5, 8, 4, 24
 

@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import settled
+from tallyproof.llm.common import settled, within_bound
 
 WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_ROWS = 500_000
 
 
 def words_of(text: str) -> Column:
@@ -23,11 +22,6 @@ def words_of(text: str) -> Column:
     return F.expr(f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{WORD}', 0)")
 
 
-def within_bound(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A settled frame, marked for broadcast if it has at most ``rows`` rows; beyond that joins shuffle."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def test_windows(items: DataFrame, width: int) -> DataFrame:
     """(item_id, q, words): windows of ``width`` words of every item; a shorter item is one window."""
     arrays = items.select("item_id", words_of("text").alias("w")).where("size(w) > 0")
