@@ -14,17 +14,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     counts as 1. NULL labels, ids and texts are no examples.
     """
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    rows = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text").join(marked, "doc_id")
-    out: list[tuple[int, bytes]] = []
+    known = docs.where(learn & F.col("text").isNotNull())
+    # Ids and sizes first: no text is shuffled, and none beyond the bounds is brought together.
+    sizes = known.select("doc_id", F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h")).join(marked, "doc_id")
+    label_of: dict[int, int] = {}
     for value in (0, 1):
-        # Ids and sizes first: no text beyond the bound is brought together.
-        picked = rows.where(F.col("label") == value).select("doc_id", F.xxhash64("doc_id").alias("h"), F.octet_length("text").alias("n"))
-        ids, size = [], 0
-        for r in picked.orderBy("h", "doc_id", "n").limit(per_class).collect():
-            if ids and size + r["n"] > sample_bytes:
-                break
-            ids.append(r["doc_id"])
+        size = 0
+        for k, r in enumerate(sizes.where(F.col("label") == value).orderBy("h", "doc_id", "n").limit(per_class).collect()):
             size += r["n"]
-        texts = rows.where((F.col("label") == value) & F.col("doc_id").isin(ids)).orderBy("doc_id", "text").collect() if ids else []
-        out += [(value, r["text"].encode()) for r in texts]
-    return out
+            if k and size > sample_bytes:
+                break
+            label_of[r["doc_id"]] = value
+    if not label_of:
+        return []
+    texts = known.where(F.col("doc_id").isin(list(label_of))).select("doc_id", "text").collect()
+    return sorted((label_of[r["doc_id"]], r["text"].encode()) for r in texts)
