@@ -86,7 +86,7 @@ def may_share(strings: list[bytes], anchor: list[int], length: int) -> np.ndarra
 
 def _send(length: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, out = {}, Outbox(buckets, b"")
+        seen, out = {}, Outbox(buckets, b"", level=6)
         for batch in batches:
             for ids, keys, texts in text_parts(batch):
                 data = b"".join(texts)

@@ -86,14 +86,26 @@ def strings_of(grams: np.ndarray, ends: np.ndarray, width: int, grain: int) -> t
     return at[first], windows, low[at[first]]
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Differences, first all their lowest bytes, then all the next: numbers in order pack well so."""
+    return np.diff(x, prepend=x.dtype.type(0)).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+
+
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    """What ``_planes`` was given."""
+    width = np.dtype(kind).itemsize
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.cumsum(steps, dtype=kind)
+
+
 class Outbox:
     """What a task sends: strings by bucket, and runs of windows that it already knows to repeat."""
 
-    def __init__(self, buckets: int, joint: bytes):
+    def __init__(self, buckets: int, joint: bytes, level: int = 3):
         self.buckets, self.joint, self.flushed = buckets, joint, 0
         self.queue: list[tuple] = []
         self.known: list[tuple] = []
-        self.pack = zstandard.ZstdCompressor(level=3)
+        self.pack = zstandard.ZstdCompressor(level=level)
 
     def send(self, bucket: int, doc: int, key: int, start: int, windows: int, tag: int, packed: bytes) -> None:
         self.queue.append((bucket, doc, key, start, windows, tag, packed))
@@ -119,12 +131,12 @@ class Outbox:
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 rows["bucket"].append(int(of[order[i]]))
                 for n, x in columns.items():
-                    rows[n].append(self.pack.compress(x[i:j].tobytes()))
+                    rows[n].append(self.pack.compress(_planes(x[i:j])))
                 rows["packed"].append(self.pack.compress(self.joint.join([packed[k] for k in order[i:j]])))
         if self.known:
             rows["bucket"].append((self.known[0][0] * 31 + self.flushed) % self.buckets)
             for x, (n, t) in zip((*zip(*self.known, strict=True), ()), NUMBERS.items(), strict=True):
-                rows[n].append(self.pack.compress(np.array(x, t).tobytes()))
+                rows[n].append(self.pack.compress(_planes(np.array(x, t))))
             rows["packed"].append(None)
         self.queue, self.known, self.flushed = [], [], self.flushed + 1
         types = {"bucket": pa.int32()}
@@ -134,7 +146,7 @@ class Outbox:
 def received(rows: pd.DataFrame) -> dict[str, np.ndarray]:
     """The numbers of some rows that an Outbox made."""
     unpack = zstandard.ZstdDecompressor().decompress
-    return {n: np.concatenate([np.frombuffer(unpack(x), t) for x in rows[n]]) if len(rows) else np.zeros(0, t) for n, t in NUMBERS.items()}
+    return {n: np.concatenate([_numbers(unpack(x), t) for x in rows[n]]) if len(rows) else np.zeros(0, t) for n, t in NUMBERS.items()}
 
 
 def span_frame(parts: list[tuple]) -> pd.DataFrame:
