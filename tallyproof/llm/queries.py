@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import binary_codes, kneser_ney, license_scan, merged_bwt, mixing, phrase_index, probminhash, quality_mil, superkmers
+from tallyproof.llm import binary_codes, kneser_ney, language_model, license_scan, merged_bwt, mixing, phrase_index, probminhash, quality_mil, superkmers
 from tallyproof.llm.common import fold, table
 
 
@@ -20,6 +20,10 @@ def op3_binary_code_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.9)
 
 
+def op4_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), held_out=fold("doc_id", 5) == 1)
+
+
 def op5_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_superkmer_repeats": op2_superkmer_repeats,
     "op3_binary_code_links": op3_binary_code_links,
+    "op4_recurrent_scores": op4_recurrent_scores,
     "op5_probminhash_classes": op5_probminhash_classes,
     "op6_merged_bwt_repeats": op6_merged_bwt_repeats,
     "op7_positional_index": op7_positional_index,
