@@ -13,13 +13,23 @@ from pyspark.sql import functions as F
 
 from tallyproof.llm.common import settled, within_bound
 
-WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+OTHER = r"[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what stands between words, in either case
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def cased_words_of(text: str) -> Column:
+    """Runs of ASCII letters and digits and of all non-ASCII characters, as written; none for NULL."""
+    return F.expr(f"array_remove(split(coalesce({text}, ''), '{OTHER}'), '')")
+
+
+def lowered(word: str) -> str:
+    """SQL for a word with A-Z in lower case. Only words with other letters need the slow way, which leaves those alone."""
+    return f"CASE WHEN octet_length({word}) = length({word}) THEN lower({word}) ELSE translate({word}, '{UPPER}', '{LOWER}') END"
+
+
 def words_of(text: str) -> Column:
-    """Runs of ASCII letters and digits and of all non-ASCII characters, A-Z in lower case; none for NULL."""
-    return F.expr(f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{WORD}', 0)")
+    """The words of a text with A-Z in lower case."""
+    return F.expr(f"array_remove(split(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{OTHER}'), '')")
 
 
 def test_windows(items: DataFrame, width: int) -> DataFrame:
@@ -33,7 +43,9 @@ def rarest_words(windows: DataFrame, docs: DataFrame) -> DataFrame:
     """``windows`` with ``word`` and ``offset``: the word of each that is rarest in the corpus (the first such)."""
     placed = windows.select("item_id", "q", F.posexplode("words").alias("offset", "word"))
     wanted = within_bound(settled(placed.select("word").distinct()))
-    counts = docs.select(F.explode(words_of("text")).alias("word")).join(wanted, "word", "left_semi").groupBy("word").count()
+    # Outer: else the reader would also split every text just to see whether it has words.
+    said = docs.select(F.explode_outer(cased_words_of("text")).alias("w")).selectExpr(f"{lowered('w')} AS word")
+    counts = said.join(wanted, "word", "left_semi").groupBy("word").count()
     found = placed.join(counts, "word", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     # A window with a word that no text has cannot occur.
     first = found.groupBy("item_id", "q").agg(F.min(F.struct("count", "offset", "word")).alias("m")).where("m.count > 0")
@@ -42,10 +54,11 @@ def rarest_words(windows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def postings(docs: DataFrame, wanted: DataFrame, reach: int) -> DataFrame:
     """(word, doc_id, text_key, p, around, from): each place of a wanted word with up to ``reach`` words to either side."""
-    words = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words_of("text").alias("w"))
-    places = words.select("doc_id", "text_key", "w", F.posexplode("w").alias("p", "word")).join(wanted, "word", "left_semi")
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_key"), cased_words_of("text").alias("w"))
+    places = words.select("doc_id", "text_key", "w", F.posexplode_outer("w").alias("p", "x")).selectExpr("doc_id", "text_key", "w", "p", f"{lowered('x')} AS word")
     begin = f"greatest(p - {reach}, 0)"
-    return places.selectExpr("word", "doc_id", "text_key", "p", f"slice(w, {begin} + 1, {2 * reach + 1}) AS around", f"{begin} AS begin")
+    found = places.join(wanted, "word", "left_semi").selectExpr("word", "doc_id", "text_key", "p", f"slice(w, {begin} + 1, {2 * reach + 1}) AS near", f"{begin} AS begin")
+    return found.selectExpr("word", "doc_id", "text_key", "p", f"transform(near, x -> {lowered('x')}) AS around", "begin")
 
 
 def matches(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
@@ -79,7 +92,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
       (a, s) -> struct(greatest(a.upto, s.start + s.n) AS upto, a.n + greatest(0, s.start + s.n - greatest(a.upto, s.start)) AS n), a -> a.n)"""
     by_doc = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n")).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     by_doc = by_doc.selectExpr("doc_id AS _doc", "text_key AS _key", f"cast({covered} as long) AS _hit", "array_sort(ids) AS _ids")
-    base = own.withColumn("text_key", F.xxhash64("text")).withColumn("n_words", F.expr(f"cast(regexp_count(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as long)"))
+    base = own.withColumn("text_key", F.xxhash64("text")).withColumn("n_words", F.size(cased_words_of("text")).cast("long"))
     joined = base.join(by_doc, F.expr("doc_id <=> _doc AND text_key = _key"), "left")
     none = F.expr("cast(array() as array<string>)")
     out = joined.withColumns({"n_hit": F.coalesce("_hit", F.lit(0).cast("long")), "item_ids": F.coalesce("_ids", none)})
