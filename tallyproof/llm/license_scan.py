@@ -50,13 +50,15 @@ def _bands(windows: DataFrame, keep: list[str]) -> DataFrame:
     ]
     hashed = windows.selectExpr(*keep, *per_shingle).selectExpr(*keep, "s0", "s1", "s2", "s3", f"explode(sequence(0, {BANDS - 1})) AS band")
     low = ", ".join(f"CASE WHEN s{k} IS NOT NULL THEN xxhash64(s{k}, band) END" for k in range(WINDOW - SHINGLE + 1))
-    return hashed.selectExpr(*keep, "band", f"least({low}) AS low")
+    # Every window has a shingle, so there is a least; the hash holds the band, and a lone long makes a quick join key.
+    return hashed.selectExpr(*keep, f"coalesce(least({low}), 0L) AS low")
 
 
 def _windows(arrays: DataFrame, stride: int, keep: list[str]) -> DataFrame:
     """Windows of the arrays ``words`` that hold at least one shingle."""
-    starts = arrays.where(f"size(words) >= {SHINGLE}").select(*keep, "words", F.expr(f"explode(sequence(0, size(words) - {SHINGLE}, {stride}))").alias("i"))
-    return starts.selectExpr(*keep, "i", f"slice(words, i + 1, {WINDOW}) AS w", "words")
+    # Outer, and the filter afterwards: else the words would be made twice, once for the filter.
+    starts = f"explode_outer(CASE WHEN size(words) >= {SHINGLE} THEN sequence(0, size(words) - {SHINGLE}, {stride}) END)"
+    return arrays.select(*keep, "words", F.expr(starts).alias("i")).where("i IS NOT NULL").selectExpr(*keep, "i", f"slice(words, i + 1, {WINDOW}) AS w", "words")
 
 
 def _shingles(words: str) -> str:
@@ -76,7 +78,7 @@ def license_matches(docs: DataFrame, templates: DataFrame) -> DataFrame:
     windows = _windows(arrays, STRIDE, ["doc_id", "text_key"])
     first = f"greatest(i - {reach}, 0)"
     # The text around a window is cut out only where a band has found a template.
-    bands = _bands(windows, ["doc_id", "text_key", "i", "words"]).join(within_bound(known), ["band", "low"])
+    bands = _bands(windows, ["doc_id", "text_key", "i", "words"]).join(within_bound(known), "low")
     found = bands.selectExpr("doc_id", "text_key", "i", "template_id", f"slice(words, {first} + 1, {2 * reach + WINDOW}) AS around", f"i - {first} AS lead")
     once = found.dropDuplicates(["doc_id", "text_key", "i", "template_id"]).select(*kept, "template_id")
     both = once.join(within_bound(own), "template_id").withColumn("n", F.size("words"))
