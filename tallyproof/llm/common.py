@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,11 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % parts
 
 
+def with_fields(schema: StructType, added: str) -> StructType:
+    """A schema with more fields, given as DDL."""
+    return StructType([*schema.fields, *StructType.fromDDL(added).fields])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
+from tallyproof.llm.common import with_fields
 from tallyproof.llm.labelled import labelled_sample
 from tallyproof.llm.superkmers import text_parts
 
@@ -174,5 +175,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, threshold:
     """
     own = docs.drop("score", "mean_ratio", "peak_ratio", "predicted")
     model = fit(labelled_sample(own, labels, "toxic", learn, per_class, sample_bytes))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return own.mapInArrow(_score(model, threshold), f"{fields}, score double, mean_ratio double, peak_ratio double, predicted int")
+    return own.mapInArrow(_score(model, threshold), with_fields(own.schema, "score double, mean_ratio double, peak_ratio double, predicted int"))

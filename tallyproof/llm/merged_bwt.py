@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import pieces, text_bytes
+from tallyproof.llm.common import pieces, text_bytes, with_fields
 from tallyproof.llm.superkmers import (
     CACHED,
     MULTIPLIERS,
@@ -315,6 +315,5 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, with_text: bool =
     )
     joined = own.withColumn("text_key", F.hash("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
     shape = own.schema if with_text else own.drop("text").schema
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in shape)
     added = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
-    return joined.mapInArrow(_cut(length, with_text), fields + added)
+    return joined.mapInArrow(_cut(length, with_text), with_fields(shape, added))

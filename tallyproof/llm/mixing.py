@@ -66,8 +66,8 @@ def leaf_budgets(leaves: DataFrame, budget: int, max_epochs: int, weights: Mappi
     return given
 
 
-def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]], budget_share: tuple[int, int] = (3, 5), max_epochs: int = 2, seed: int = 7, otherwise: int = 1) -> DataFrame:
-    """(doc_id, domain, lang, source, n_tokens, copies): how often each document is taken, one row per row.
+def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]], budget_share: tuple[int, int] = (3, 5), max_epochs: int = 2, seed: int = 7, otherwise: int = 1, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ``keys``, domain, lang, source, n_tokens, copies): how often each document is taken, one row per row.
 
     ``budget_share`` is the budget as a fraction of all tokens; ``max_epochs`` bounds repetition. NULL domains, languages and
     sources are leaves named "". Tokens are words. A document is taken once more than the leaf's whole epochs if the
@@ -78,7 +78,7 @@ def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]
     """
     text = "coalesce(text, '')"
     named = [F.coalesce(c, F.lit("")).alias(n) for n, c in (("domain", domain), ("lang", F.col("lang")), ("source", F.col("source")))]
-    rows = settled(docs.select("doc_id", *named, F.expr(f"cast(regexp_count({text}, '{WORD}') as long)").alias("n_tokens")))
+    rows = settled(docs.select("doc_id", *keys, *named, F.expr(f"cast(regexp_count({text}, '{WORD}') as long)").alias("n_tokens")))
     leaves = rows.where("n_tokens > 0").groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     budgets = leaf_budgets(leaves, total * budget_share[0] // budget_share[1], max_epochs, weights, otherwise)
@@ -89,10 +89,10 @@ def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]
     running = f"sum(_sum) OVER (PARTITION BY {', '.join(LEVELS)} ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     placed = ordered.join(ranges.selectExpr(*LEVELS, "_range", "_sum", f"{running} - _sum AS _before"), [*LEVELS, "_range"])
     ending = "more > _before AND more < _before + _sum"
-    clear = placed.where(f"NOT ({ending})").selectExpr("doc_id", *LEVELS, "n_tokens", "whole + CASE WHEN more > _before THEN 1 ELSE 0 END AS copies")
+    clear = placed.where(f"NOT ({ending})").selectExpr("doc_id", *keys, *LEVELS, "n_tokens", "whole + CASE WHEN more > _before THEN 1 ELSE 0 END AS copies")
     within = f"coalesce(sum(n_tokens) OVER (PARTITION BY {', '.join(LEVELS)} ORDER BY _key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)"
     same = f"sum(n_tokens) OVER (PARTITION BY {', '.join(LEVELS)}, _key)"
     last = placed.where(ending).selectExpr("*", f"_before + {within} - {same} AS _ahead")
-    last = last.selectExpr("doc_id", *LEVELS, "n_tokens", "whole + CASE WHEN more > _ahead THEN 1 ELSE 0 END AS copies")
-    wordless = rows.where("n_tokens = 0").selectExpr("doc_id", *LEVELS, "n_tokens", "0L AS copies")
+    last = last.selectExpr("doc_id", *keys, *LEVELS, "n_tokens", "whole + CASE WHEN more > _ahead THEN 1 ELSE 0 END AS copies")
+    wordless = rows.where("n_tokens = 0").selectExpr("doc_id", *keys, *LEVELS, "n_tokens", "0L AS copies")
     return clear.unionByName(last).unionByName(wordless).withColumn("copies", F.col("copies").cast("long"))

@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 
+from tallyproof.llm.common import with_fields
 from tallyproof.llm.labelled import labelled_sample
 from tallyproof.llm.superkmers import text_parts
 
@@ -156,5 +157,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, threshold:
     """
     own = docs.drop("score", "top_attention", "predicted")
     weights = fit(labelled_sample(own, labels, "quality", learn, per_class, sample_bytes))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return own.mapInArrow(_score(weights, threshold), f"{fields}, score double, top_attention double, predicted int")
+    return own.mapInArrow(_score(weights, threshold), with_fields(own.schema, "score double, top_attention double, predicted int"))

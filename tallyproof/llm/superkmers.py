@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import pieces, text_bytes
+from tallyproof.llm.common import pieces, text_bytes, with_fields
 
 NUMBERS = {"docs": np.int64, "keys": np.int32, "starts": np.int32, "windows": np.int32, "tags": np.uint32}
 SENT = "bucket int, " + ", ".join(f"{n} binary" for n in NUMBERS) + ", packed binary"
@@ -286,7 +286,7 @@ def _cut(width: int, with_text: bool):
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
                 digests.append(hashlib.sha256(kept).hexdigest())
-                kept_texts.append(None if text is None else kept.decode())
+                kept_texts.append(None if text is None else kept.decode() if gone.any() else text.decode())
             rest = {n: batch.column(n) for n in batch.schema.names if n != "spans" and (with_text or n != "text")}
             rest |= {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
             if with_text:
@@ -299,13 +299,13 @@ def _cut(width: int, with_text: bool):
 def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = True) -> DataFrame:
     """The documents without words that lie in a window of ``width`` words found in a smaller doc_id.
 
-    Adds ``n_words``, ``n_removed``, ``kept_sha256`` and (``with_text``) ``kept_text`` to the columns of
-    ``docs``, replacing columns of these names; without ``with_text``, ``text`` goes too. Words are runs of
+    Adds ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept words joined by one space) and (``with_text``)
+    ``kept_text`` (those words, or the text as it was if it keeps all) to the columns of ``docs``, replacing columns of these names; without ``with_text``, ``text`` goes too. Words are runs of
     other than ASCII white space, and windows are judged on the input. A NULL or empty text has no words. A
     row with a NULL doc_id keeps all words and takes words from nobody. Rows that share a doc_id don't
     take words from each other; each is judged by its own text.
     """
-    mine = ("n_words", "n_removed", "kept_sha256", "kept_text", "spans", "text_key")
+    mine = ("n_words", "n_removed", "kept_sha256", "kept_text", "spans", "text_key", "_doc", "_key")
     own = docs.drop(*mine)
     spans = (
         repeated_windows(own, width)
@@ -315,6 +315,5 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = True) ->
     )
     joined = own.withColumn("text_key", F.hash("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
     shape = own.schema if with_text else own.drop("text").schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
     added = "n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return joined.mapInArrow(_cut(width, with_text), f"{fields}, {added}" if fields else added)
+    return joined.mapInArrow(_cut(width, with_text), with_fields(shape, added))
