@@ -59,13 +59,13 @@ def op8_license_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Domains by the number in a source's name, and target weights; languages and sources not named weigh 1.
-DOMAIN = F.expr("concat('domain', cast(try_cast(regexp_extract(source, '([0-9]+)', 1) as int) % 4 as string))")
+DOMAIN = "concat('domain', cast(try_cast(regexp_extract(source, '([0-9]+)', 1) as int) % 4 as string))"
 WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
 
 
 def op10_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.mix(docs, DOMAIN, WEIGHTS, budget_share=(3, 5), max_epochs=2, seed=7)
+    return mixing.mix(docs, F.expr(DOMAIN), WEIGHTS, budget_share=(3, 5), max_epochs=2, seed=7)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
