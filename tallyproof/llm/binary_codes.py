@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import components, settled
+from tallyproof.llm.common import components, reached, settled
 
 MISS = 0.005
 BUCKET = 64  # vectors that an even band key would gather
@@ -86,19 +86,6 @@ def _index(bits: int, bands: int):
     return index
 
 
-def _join_groups(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For links i-j: each linked row and the smallest node that it reaches by them, where that is another."""
-    low = nodes.copy()
-    while True:
-        new = low.copy()
-        np.minimum.at(new, i, low[j])
-        np.minimum.at(new, j, low[i])
-        if (new == low).all():
-            moved = np.flatnonzero(low != nodes)
-            return nodes[moved], low[moved]
-        low = new
-
-
 def _compare(threshold: float, bits: int, bands: int):
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         out_nodes, out_peers, out_links = [], [], []
@@ -131,7 +118,7 @@ def _compare(threshold: float, bits: int, bands: int):
             i, j = i[keep], j[keep]
             links = np.bincount(i, copies[j], b - a) + np.bincount(j, copies[i], b - a)
             some = np.flatnonzero(links)
-            moved, peers = _join_groups(node, i, j)
+            moved, peers = reached(node, i, j)
             out_nodes += [node[some], moved]
             out_links += [links[some].astype(np.int64), np.zeros(len(moved), np.int64)]
             out_peers += [node[some], peers]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -57,6 +58,20 @@ def pieces(total: int, each: int, least: int = 16) -> int:
     return max(least, -(-total // each))
 
 
+def reached(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For links between places i and j of ``nodes``: each linked node and the smallest node that it reaches by them,
+    where that is another. So many links become at most one for each node."""
+    low = nodes.copy()
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        if (new == low).all():
+            moved = np.flatnonzero(low != nodes)
+            return nodes[moved], low[moved]
+        low = new
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable by links, for every node that has a link.
 

@@ -5,9 +5,10 @@ arrives at random registers at the times of a Poisson process whose rate is its
 shingle that arrives first. Two signatures agree in a register with the probability Jaccard similarity of the
 documents. Arrivals of a shingle stop as soon as they come later than every register's first, so most shingles arrive once or twice.
 
-Signatures are cut into bands. Of texts that share a band, first each is compared with one of them; then, where
-that leaves a band's texts in different classes, those of different classes are compared, in blocks. Signature estimates
-dismiss what is clearly below the threshold, and the texts of the rest decide. Exact copies are one text throughout.
+Signatures are cut into bands. Of texts that share a band, first each is compared with one of them. Where that leaves a
+band's texts in different classes, texts of different classes whose signatures agree enough are put into clusters, and
+within a cluster all texts are compared, in blocks. Signature estimates dismiss what is clearly below the threshold, and
+the texts of the rest decide; only links that span a class leave a block. Exact copies are one text throughout.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import components, settled, within_bound
+from tallyproof.llm.common import components, reached, settled, within_bound
 from tallyproof.llm.superkmers import MULTIPLIERS, _Hashes, mixed, text_parts
 
 SHINGLE, BANDS, ROWS = 5, 32, 5  # a pair at 0.8 shares no band with a chance of 3 in a million
 REGISTERS = BANDS * ROWS
-SLACK = 0.16  # five standard deviations of an estimate at 0.8
+SLACK = 0.13  # four standard deviations of an estimate at 0.8
 BLOCK = 512
+DEAL = 500  # texts to a group of comparisons
 
 
 def weighted_shingles(texts: list[bytes], hashes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,49 +114,143 @@ def _promising(least: float):
     return promising
 
 
+def _bounds(rows: pd.DataFrame, by: list[str]) -> Iterator[pd.DataFrame]:
+    """The parts of a deal."""
+    rows = rows.sort_values(by, kind="stable").reset_index(drop=True)
+    cuts = np.append(np.flatnonzero((rows[by] != rows[by].shift()).any(axis=1)), len(rows))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield rows.iloc[i:j]
+
+
+def _two_halves(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are compared with which."""
+    half = part["half"].to_numpy()
+    return np.flatnonzero(half == part["left"].iloc[0]), np.flatnonzero(half == part["right"].iloc[0])
+
+
+def _edges(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    none = np.zeros(0, np.int64)
+    return pd.DataFrame({"lead": np.concatenate([none, *(low for _, low in found)]), "node": np.concatenate([none, *(node for node, _ in found)])})
+
+
 def _across(least: float):
-    """Pairs of a block or of two blocks of one band: of different classes, promising, and in this band first."""
+    """Links between texts of a band that are of different classes and agree enough, reduced to what spans them."""
 
     def across(rows: pd.DataFrame) -> pd.DataFrame:
-        signs = np.frombuffer(b"".join(rows["sign"]), np.uint16).reshape(-1, REGISTERS)
-        node, comp, half = rows["node"].to_numpy(), rows["comp"].to_numpy(), rows["half"].to_numpy()
-        band, left, right = int(rows["band"].iloc[0]), rows["left"].iloc[0], rows["right"].iloc[0]
-        out = []
-        for i in np.flatnonzero(half == left):
-            others = np.flatnonzero((half == right) & (comp != comp[i]) & ((node > node[i]) | (left != right)))
-            same = signs[others] == signs[i]
-            good = same.mean(1) >= least
-            whole = same.reshape(len(others), BANDS, ROWS).all(2)
-            good &= (whole.argmax(1) == band) & whole.any(1)
-            out.append(np.stack([np.minimum(node[i], node[others[good]]), np.maximum(node[i], node[others[good]])], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"lead": pairs[:, 0], "node": pairs[:, 1]})
+        found = []
+        for part in _bounds(rows, ["key", "left", "right"]):
+            if len(part) < 2:
+                continue
+            signs = np.frombuffer(b"".join(part["sign"]), np.uint16).reshape(-1, REGISTERS)
+            comp, (a, b) = part["comp"].to_numpy(), _two_halves(part)
+            i, j = [], []
+            for k in a:
+                others = b[comp[b] != comp[k]]
+                others = others[(signs[others] == signs[k]).mean(1) >= least]
+                i.append(np.full(len(others), k))
+                j.append(others)
+            found.append(reached(part["node"].to_numpy(), np.concatenate([*i, a[:0]]), np.concatenate([*j, a[:0]])))
+        return _edges(found)
 
     return across
 
 
+def _similar(texts: list[bytes], a: np.ndarray, b: np.ndarray, apart: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a x b that are similar enough. ``apart``: a number for each text; pairs of one number needn't be found."""
+    text, shingle, weight = weighted_shingles(texts, _Hashes())
+    values, column, often = np.unique(shingle, return_inverse=True, return_counts=True)
+    shared = often[column] > 1
+    place = np.cumsum(often > 1) - 1
+    size, mass = np.bincount(text, minlength=len(texts)), np.bincount(text, weight, len(texts))
+    plain = size == mass
+    common, part = np.zeros((len(a), len(b)), np.float32), np.zeros((2, len(a), len(b)), np.float32)
+    t, c, w = text[shared], place[column[shared]], weight[shared]
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+        some = (c >= start) & (c < start + 4096)
+        x = np.zeros((len(texts), 4096), np.float32)
+        x[t[some], c[some] - start] = w[some]
+        one = (x > 0).astype(np.float32)
+        common += one[a] @ one[b].T
+        if not plain.all():
+            part += np.stack([x[a] @ one[b].T, one[a] @ x[b].T])
+    both = plain[a][:, None] & plain[b][None, :]
+    near = both & (common >= threshold * (size[a][:, None] + size[b][None, :] - common) - 1e-3) & (common > 0)
+    # With weights the similarity is at most either text's share in common shingles.
+    if not plain.all():
+        near |= ~both & (part[0] >= (threshold - 1e-4) * mass[a][:, None]) & (part[1] >= (threshold - 1e-4) * mass[b][None, :]) & (common > 0)
+    i, j = np.nonzero(near)
+    i, j = a[i], b[j]
+    keep = apart[i] != apart[j]
+    i, j = i[keep], j[keep]
+    cuts = np.searchsorted(text, np.arange(len(texts) + 1))
+    bags = [(shingle[x:y], weight[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    exact = plain[i] & plain[j]
+    good = exact.copy()
+    group = apart.copy()
+    for k in np.flatnonzero(~exact).tolist():
+        if group[i[k]] != group[j[k]] and probability_jaccard(bags[i[k]], bags[j[k]]) >= threshold:
+            good[k] = True
+            group[group == group[j[k]]] = group[i[k]]
+    # Plain pairs at the very threshold are counted in whole numbers.
+    edge = np.flatnonzero(exact)
+    inter = common[np.searchsorted(a, i[edge]), np.searchsorted(b, j[edge])].astype(np.int64)
+    good[edge] = inter / (size[i[edge]] + size[j[edge]] - inter) >= threshold
+    return i[good], j[good]
+
+
+def _compare(threshold: float):
+    """Links within a cluster, reduced to what spans its classes."""
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for part in _bounds(rows[~rows["text"].isna()], ["cluster", "left", "right"]):
+            if len(part) > 1:
+                i, j = _similar([t.encode() for t in part["text"]], *_two_halves(part), part["comp"].to_numpy(), threshold)
+                found.append(reached(part["node"].to_numpy(), i, j))
+        return _edges(found)
+
+    return compare
+
+
 def _verify(threshold: float):
+    """Of a lead and some nodes: the nodes similar enough to it."""
+
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[~rows["text"].isna()]
-        text, shingle, weight = weighted_shingles([t.encode() for t in rows["text"]], _Hashes())
-        cuts = np.searchsorted(text, np.arange(len(rows) + 1))
-        bags = [(shingle[i:j], weight[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-        leads = [b for b, n, lead in zip(bags, rows["node"], rows["lead"], strict=True) if n == lead]
-        found = [(lead, n, probability_jaccard(leads[0], b)) for b, n, lead in zip(bags, rows["node"], rows["lead"], strict=True) if n != lead and leads]
-        found = [x for x in found if x[2] >= threshold]
-        return pd.DataFrame(found, columns=["lead", "node", "similarity"]).astype({"lead": "int64", "node": "int64", "similarity": "float64"})
+        found, hashes = [], _Hashes()
+        for part in _bounds(rows[~rows["text"].isna()], ["lead", "part"]):
+            text, shingle, weight = weighted_shingles([t.encode() for t in part["text"]], hashes)
+            cuts = np.searchsorted(text, np.arange(len(part) + 1))
+            bags = [(shingle[i:j], weight[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            node, lead = part["node"].to_numpy(), part["lead"].iloc[0]
+            for own in np.flatnonzero(node == lead).tolist():
+                near = [k for k in np.flatnonzero(node != lead).tolist() if probability_jaccard(bags[own], bags[k]) >= threshold]
+                found.append((node[near], np.full(len(near), lead)))
+        return _edges(found)
 
     return verify
 
 
+def _with_texts(wanted: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """Settled rows of nodes with their texts, dealt by ``key`` into groups of about DEAL rows."""
+    wanted = settled(wanted)
+    deals = max(8, wanted.count() // DEAL)
+    return texts.withColumnRenamed("doc_id", "node").join(within_bound(wanted), "node").withColumn("deal", F.expr(f"pmod(xxhash64({key}), {deals})")).groupBy("deal")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (lead, node) pairs whose texts (doc_id, text) are similar enough. A lead's nodes are split into groups of at most about 64."""
+    """The (lead, node) pairs whose texts (doc_id, text) are similar enough. A lead's nodes are split into parts of about 64."""
     sizes = pairs.groupBy("lead").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
     members = pairs.join(sizes, "lead").selectExpr("lead", "node", "pmod(hash(node), parts) AS part")
     leads = sizes.selectExpr("lead", "lead AS node", "explode(sequence(0, parts - 1)) AS part")
-    wanted = settled(members.unionByName(leads))
-    rows = texts.withColumnRenamed("doc_id", "node").join(within_bound(wanted), "node").select("lead", "node", "part", "text")
-    return settled(rows.groupBy("lead", "part").applyInPandas(_verify(threshold), "lead long, node long, similarity double"))
+    rows = _with_texts(members.unionByName(leads), texts, "lead, part")
+    return settled(rows.applyInPandas(_verify(threshold), "lead long, node long"))
+
+
+def in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of each ``key`` for all pairs of its blocks of about BLOCK rows: ``half`` is a row's own, to be compared in ``left`` and ``right``."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    halves = rows.join(sizes, key).withColumn("half", F.expr("pmod(hash(node), blocks)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return halves.withColumns({"left": F.least("half", "other"), "right": F.greatest("half", "other")}).drop("other", "blocks")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -172,7 +268,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     texts = settled(signed.groupBy("digest").agg(F.min(F.struct("doc_id", "sign")).alias("m")).select("digest", "m.doc_id", "m.sign"))
     width = 2 * ROWS
     bands = texts.select(F.col("doc_id").alias("node"), F.expr(f"explode(sequence(0, {BANDS - 1}))").alias("band"), "sign")
-    bands = settled(bands.selectExpr("node", "cast(band as short) AS band", f"xxhash64(band, substring(sign, band * {width} + 1, {width})) AS key"))
+    bands = settled(bands.selectExpr("node", f"xxhash64(band, substring(sign, band * {width} + 1, {width})) AS key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("size")).where("size > 1")
     together = settled(bands.join(shared, "key"))
     by_node = texts.select(F.col("doc_id").alias("node"), "sign")
@@ -183,15 +279,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     classes = components(links, "lead", "node")
 
     # Texts that share a band but not yet a class.
-    placed = together.join(classes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("low <> high")
-    halves = placed.join(split, "key").withColumn("half", F.expr("pmod(hash(node), blocks)"))
-    halves = halves.select("key", "band", "node", "comp", "half", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-    halves = halves.selectExpr("key", "band", "node", "comp", "half", "least(half, other) AS left", "greatest(half, other) AS right")
-    pairs = halves.join(by_node, "node").groupBy("key", "left", "right").applyInPandas(_across(threshold - SLACK), "lead long, node long")
-    pairs = settled(pairs.distinct())
-    if not pairs.isEmpty():
-        links = links.unionByName(verified(pairs, rows, threshold))
+    placed = together.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
+    split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    unlike = settled(in_blocks(placed.join(split, "key"), "key"))
+    deals = max(8, unlike.count() // 20_000)
+    signed_rows = unlike.join(by_node, "node").withColumn("deal", F.expr(f"pmod(xxhash64(key, left, right), {deals})"))
+    edges = settled(signed_rows.groupBy("deal").applyInPandas(_across(threshold - SLACK), "lead long, node long").distinct())
+    if not edges.isEmpty():
+        clusters = components(edges, "lead", "node").withColumnRenamed("component", "cluster")
+        members = clusters.join(classes, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
+        rows_of = _with_texts(in_blocks(members, "cluster"), rows, "cluster, left, right")
+        links = links.unionByName(settled(rows_of.applyInPandas(_compare(threshold), "lead long, node long")))
         classes = components(links, "lead", "node")
 
     # Every text of a document belongs to it: exact copies hang on their first document.
