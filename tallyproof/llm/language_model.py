@@ -195,9 +195,10 @@ def _learn(p: gru.Params, vocabulary: Vocabulary, rate: float):
 def learned(blocks: DataFrame, vocabulary: Vocabulary, rate: float = 0.004) -> gru.Params:
     """The model from all training texts of ``blocks``."""
     p = gru.initial(vocabulary.counts)
-    first = blocks.orderBy("block").limit(1).collect()
-    if not first:
+    name = blocks.agg(F.min("block")).first()[0]
+    if name is None:
         return p
+    first = blocks.where(F.col("block") == name).limit(1).collect()
     words, starts = _training_words(first[0].asDict(), vocabulary)
     words, starts = words[:START_TOKENS], starts[:START_TOKENS]
     adam = gru.Adam(p)
@@ -251,7 +252,7 @@ def _score(p: gru.Params, vocabulary: Vocabulary, buckets: int):
     return score
 
 
-def score_documents(docs: DataFrame, held_out: Column, block_bytes: int = 6 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, block_bytes: int = 12 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text).
 
     Words are runs of other than ASCII white space with A-Z in lower case; a text's last token is its end. Counts and the
