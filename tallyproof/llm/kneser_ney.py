@@ -134,10 +134,11 @@ def fit(examples: list[tuple[int, bytes]], discount: float = 0.75, folds: int =
     """
     data = [(y, tokens(t)) for y, t in dict.fromkeys(examples)]
     y = np.array([label for label, _ in data], float)
-    model = count(data, discount)
     if len(set(y.tolist())) < 2:
+        model = count([(0, []), (1, [])], discount)
         model.calibration[2] = (30 if y[0] else -30) if len(y) else 0
         return model
+    model = count(data, discount)
     x = np.zeros((len(data), 2))
     for k in range(folds):
         rest = count([d for i, d in enumerate(data) if i % folds != k], discount)

@@ -40,16 +40,16 @@ def test_windows(items: DataFrame, width: int) -> DataFrame:
 
 
 def rarest_words(windows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``windows`` with ``word`` and ``offset``: the word of each that is rarest in the corpus (the first such)."""
-    placed = windows.select("item_id", "q", F.posexplode("words").alias("offset", "word"))
+    """Different ``windows`` with ``word`` and ``offset``: the word of each that is rarest in the corpus (the first such)."""
+    placed = windows.select("item_id", "q", "words", F.posexplode("words").alias("offset", "word"))
     wanted = within_bound(settled(placed.select("word").distinct()))
     # Outer: else the reader would also split every text just to see whether it has words.
     said = docs.select(F.explode_outer(cased_words_of("text")).alias("w")).selectExpr(f"{lowered('w')} AS word")
     counts = said.join(wanted, "word", "left_semi").groupBy("word").count()
     found = placed.join(counts, "word", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     # A window with a word that no text has cannot occur.
-    first = found.groupBy("item_id", "q").agg(F.min(F.struct("count", "offset", "word")).alias("m")).where("m.count > 0")
-    return windows.join(first.selectExpr("item_id", "q", "m.word AS word", "m.offset AS offset"), ["item_id", "q"])
+    first = found.groupBy("item_id", "q", "words").agg(F.min(F.struct("count", "offset", "word")).alias("m")).where("m.count > 0")
+    return first.selectExpr("item_id", "q", "words", "m.word AS word", "m.offset AS offset")
 
 
 def postings(docs: DataFrame, wanted: DataFrame, reach: int) -> DataFrame:
@@ -67,7 +67,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     ``phrase``: all words stand at ``start`` in order. Otherwise it is a proximity match: all words of the window stand within
     ``width`` - 1 words to either side of its rarest word, in any order.
     """
-    windows = settled(rarest_words(settled(test_windows(items, width)), docs))
+    windows = settled(rarest_words(test_windows(items, width).distinct(), docs))
     wanted = within_bound(settled(windows.select("word").distinct()))
     index = settled(postings(docs, wanted, width - 1))
     starts = "p - offset >= 0 AND slice(around, p - offset - begin + 1, size(words)) = words"
