@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyproof.functions import checkpoint_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the supplied tables."""
@@ -26,15 +26,8 @@ def with_fields(schema: StructType, added: str) -> StructType:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests) a temporary one of this machine is set.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one beside the warehouse's tables."""
+    return checkpoint_folder(spark)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -78,25 +71,18 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Alternating large-star and small-star steps: every step keeps at most one row per link, so a hub with a
     third of all nodes costs no more than its links. Each step is settled, so lineage stays short.
     """
-    edges = links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("v < u").distinct()
-    edges = settled(edges)
+    edges = settled(links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("v < u").distinct())
     while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # Dealt by node once: the minimum and the join with it both use that.
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition("u")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").repartition("u")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low, "u")
-            .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-            .where("u > v")
-            .distinct()
-        )
-        new = settled(small)
-        # Each node has one parent and no parent has a parent: stars, whose centres are the smallest nodes.
-        chained = new.join(new.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
-        many = new.groupBy("u").count().where("count > 1")
-        edges = new
-        if chained.isEmpty() and many.isEmpty():
+        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        edges = settled(small.where("u > v").distinct())
+        # Done when all is stars: every node is a centre or has one, and not both.
+        roles = edges.select(F.col("u").alias("n"), F.lit(1).alias("leaf")).unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("leaf")))
+        if roles.groupBy("n").agg(F.min("leaf").alias("low"), F.sum("leaf").alias("leaves")).where("leaves > 1 or (low = 0 and leaves > 0)").isEmpty():
             break
     centres = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)

@@ -275,8 +275,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     stars = together.where("lead <> node").select("lead", "node").distinct()
     signs = stars.join(by_node, "node").join(by_node.withColumnsRenamed({"node": "lead", "sign": "lead_sign"}), "lead")
     promising = settled(signs.mapInArrow(_promising(threshold - SLACK), "lead long, node long"))
-    links = verified(promising, rows, threshold)
-    classes = components(links, "lead", "node")
+    # Exact copies hang on their first document, and different texts under one doc_id belong together.
+    first_of = settled(signed.select("doc_id", "digest").join(texts.select("digest", F.col("doc_id").alias("lead")), "digest").select("doc_id", "lead").distinct())
+    several = first_of.groupBy("doc_id").agg(F.min("lead").alias("lead"), F.max("lead").alias("high")).where("lead <> high").select("doc_id", "lead")
+    same = first_of.withColumnRenamed("lead", "node").join(several, "doc_id").where("lead <> node").select("lead", "node")
+    classes = components(verified(promising, rows, threshold).unionByName(same), "lead", "node")
 
     # Texts that share a band but not yet a class.
     placed = together.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
@@ -289,14 +292,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         clusters = components(edges, "lead", "node").withColumnRenamed("component", "cluster")
         members = clusters.join(classes, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
         rows_of = _with_texts(in_blocks(members, "cluster"), rows, "cluster, left, right")
-        links = links.unionByName(settled(rows_of.applyInPandas(_compare(threshold), "lead long, node long")))
-        classes = components(links, "lead", "node")
-
-    # Every text of a document belongs to it: exact copies hang on their first document.
-    copies = signed.join(texts.select("digest", F.col("doc_id").alias("lead")), "digest").where("doc_id <> lead").select("lead", F.col("doc_id").alias("node"))
-    classes = components(classes.select(F.col("component").alias("lead"), "node").unionByName(copies), "lead", "node").withColumnRenamed("node", "doc_id")
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(classes, "doc_id", "left")
-    out = out.select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
+        more = settled(rows_of.applyInPandas(_compare(threshold), "lead long, node long"))
+        classes = components(classes.select(F.col("component").alias("lead"), "node").unionByName(more), "lead", "node")
+
+    own = first_of.groupBy("doc_id").agg(F.min("lead").alias("node"))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(own, "doc_id", "left").join(classes, "node", "left")
+    out = out.select("doc_id", F.coalesce("component", "node", "doc_id").alias("class_id"))
     sizes = out.where("class_id is not null").groupBy("class_id").agg(F.count_distinct("doc_id").alias("class_size"))
     out = out.join(sizes, "class_id", "left")
     return out.select("doc_id", "class_id", F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
