@@ -7,11 +7,11 @@ from tallyproof.functions.columns import (
     traffic_light,
     zero_pad,
 )
-from tallyproof.functions.sizing import ensure_checkpoint_dir, settle, settle_small
+from tallyproof.functions.sizing import checkpoint_folder, settle, settle_small
 
 __all__ = [
     "any_null",
-    "ensure_checkpoint_dir",
+    "checkpoint_folder",
     "is_blank",
     "joined_stamp",
     "null_safe",

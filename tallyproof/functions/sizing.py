@@ -6,8 +6,6 @@ and never a different answer.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,17 +14,23 @@ SMALL_ROWS = 200_000
 SMALL_BYTES = 64 * 1024 * 1024
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; make one only where none is configured."""
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; where none is set, one beside the warehouse's tables.
+
+    Driver and executors share the warehouse's file system. A folder of one machine would not do.
+    """
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tallyproof-checkpoint-"))
+        context.setCheckpointDir(named)
+    return named
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and cut its lineage with a reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -32,37 +32,39 @@ def _open_failures(cob: DataFrame) -> DataFrame:
 
 
 def previous_failures(cob: DataFrame, previous: str = "calendar_day") -> DataFrame:
-    """Row types that failed and were open the day before the latest one.
+    """Row types that failed and were open the day before the latest one, each once.
 
     ``calendar_day`` is yesterday by the calendar, so a Monday finds nothing of Friday;
     ``prior_available`` is the latest earlier day that has data.
     """
     day = _day_before(cob, _last_day(cob), previous)
-    return _open_failures(_of_day(cob, day)).select("row_type")
+    return _open_failures(_of_day(cob, day)).select("row_type").distinct()
 
 
-def _classified(rows: DataFrame) -> DataFrame:
-    old, new = F.col("status"), F.when(F.col("flag") == "fail", F.lit("Y")).otherwise(F.lit("N"))
+def _classified(rows: DataFrame, *more: str) -> DataFrame:
+    """Stored and new status, and what became of it: no stored status is NEW, another one CHANGED, the same NO CHANGE."""
+    old = F.col("status")
+    new = F.when(F.col("flag") == "fail", F.lit("Y")).otherwise(F.lit("N"))
+    change = F.when(old.isNull(), F.lit("NEW")).when(old != new, F.lit("CHANGED")).otherwise(F.lit("NO CHANGE"))
     return rows.select(
         "cob_date", "dwh_business_date", "row_type", "flag",
-        old.alias("old_status"),
-        new.alias("new_status"),
-        F.when(old == new, F.lit("NO CHANGE")).when(old.isNotNull(), F.lit("CHANGED"))
-        .otherwise(F.lit("NEW")).alias("change_type"),
+        old.alias("old_status"), new.alias("new_status"), change.alias("change_type"), *more,
     )
 
 
 def flag_changes(cob: DataFrame, previous: str = "calendar_day") -> DataFrame:
-    """Stored and new status of every row type on the latest day, by row type.
+    """Stored and new status of every row of the latest day, and whether its row type failed the day before, by row type.
 
-    A failing flag is open (``Y``) and any other flag is not, whether or not it failed the day
-    before. A row repeats for each open failure its row type had on the previous day, as in the outer
-    join this stands for; a table with one row per day and row type repeats nothing.
+    A failing flag is open (``Y``) and any other flag is not. ``failed_before`` looks at the previous day's open
+    failures, one per row type, so a row of the latest day appears once however often its type failed.
     """
     last = _last_day(cob)
-    failures = _open_failures(_of_day(cob, _day_before(cob, last, previous))).select("row_type")
-    joined = _of_day(cob, last).join(failures, "row_type", "left")
-    return _classified(joined).orderBy("row_type")
+    failures = _open_failures(_of_day(cob, _day_before(cob, last, previous))).select("row_type").distinct()
+    today = _of_day(cob, last).alias("t").join(
+        failures.withColumn("_failed", F.lit(True)).alias("f"), F.col("t.row_type").eqNullSafe(F.col("f.row_type")), "left"
+    )
+    flagged = _classified(today.select("t.*", F.coalesce("_failed", F.lit(False)).alias("failed_before")), "failed_before")
+    return flagged.orderBy("row_type")
 
 
 def flag_history(cob: DataFrame) -> DataFrame:

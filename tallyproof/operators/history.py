@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyproof.functions import null_safe, settle_small, surrogate_key
+from tallyproof.functions import null_safe, surrogate_key
 
 ACTIVE = "active_flag"
 FROM = "effective_from"
@@ -21,11 +21,11 @@ def supersede(
     """Stored rows and incoming rows together, after a rerun of ``keys``.
 
     Incoming rows are always active. Every stored row whose key is among the incoming ones becomes
-    ``inactive``; other stored rows keep their flag. The distinct incoming keys are computed once and
-    broadcast if few. To rewrite only the partitions concerned, pass ``stored`` through
+    ``inactive``; other stored rows keep their flag. Adaptive execution broadcasts the distinct incoming keys if
+    they turn out few. To rewrite only the partitions concerned, pass ``stored`` through
     :func:`tallyproof.operators.incremental.rescan` with the partition column first.
     """
-    rerun = settle_small(incoming.select(*keys).distinct()).withColumn("_rerun", F.lit(True))
+    rerun = incoming.select(*keys).distinct().withColumn("_rerun", F.lit(True))
     old = stored.alias("s").join(rerun.alias("r"), null_safe("s", "r", keys), "left")
     flag = F.when(F.col("r._rerun"), F.lit(inactive)).otherwise(F.col(f"s.{ACTIVE}"))
     kept = old.select(*[(flag if c == ACTIVE else F.col(f"s.{c}")).alias(c) for c in stored.columns])
@@ -38,7 +38,7 @@ def scd2_close(
     """Merge ``incoming`` into an effective-dated history and close what it replaces.
 
     A row holds from ``effective_from`` (a DATE) until ``effective_to``, NULL while it is the current
-    one. Stored closed rows pass through. Among open and incoming rows of a key, the last run of a
+    one. ``run_order`` must tell the runs of a key and day apart; a tie for the last run stops the job. Stored closed rows pass through. Among open and incoming rows of a key, the last run of a
     day (by ``run_order``) is closed by the key's next day, and an earlier run of the same day on
     that day itself.
 
@@ -53,12 +53,18 @@ def scd2_close(
         incoming.withColumn(TO, F.lit(None).cast("date"))
     )
     day = [*keys, FROM]
-    days = open_rows.groupBy(*day).agg(F.max(F.struct(*run_order)).alias("_last"))
+    # Among rows that tie for the last run, the largest and the smallest row number differ.
+    numbered = open_rows.withColumn("_row", F.monotonically_increasing_id())
+    last, least = (F.max(F.struct(*run_order, n.alias("row"))) for n in (F.col("_row"), -F.col("_row")))
+    days = numbered.groupBy(*day).agg(last.alias("a"), least.alias("b"))
     following = F.lead(FROM).over(Window.partitionBy(*keys).orderBy(FROM))
-    ends = days.select(*day, "_last", following.alias("_next"))
+    run = F.struct(*[F.col(f"a.{c}").alias(c) for c in run_order])
+    ends = days.select(*day, run.alias("_last"), (F.col("a.row") != -F.col("b.row")).alias("_tied"), following.alias("_next"))
     joined = open_rows.alias("r").join(ends.alias("e"), null_safe("r", "e", day))
     is_last = F.struct(*[F.col(f"r.{c}").alias(c) for c in run_order]).eqNullSafe(F.col("e._last"))
-    until = F.when(is_last, F.col("e._next")).otherwise(F.col(f"r.{FROM}"))
+    # Two last runs of a day would both stay open.
+    single = F.assert_true(~F.col("e._tied"), F.lit("run_order does not tell two runs of a key and day apart"))
+    until = F.when(is_last & single.isNull(), F.col("e._next")).otherwise(F.col(f"r.{FROM}"))
     return closed.unionByName(
         joined.select(*[(until if c == TO else F.col(f"r.{c}")).alias(c) for c in stored.columns])
     )
@@ -92,7 +98,12 @@ def latest_active(
 def latest_run(
     df: DataFrame, keys: Sequence[str], run_time: str = "run_time", tie_breakers: Sequence[str] = ()
 ) -> DataFrame:
-    """The latest result row of each key in an appended history."""
+    """The latest result row of each key in an appended history.
+
+    ``tie_breakers`` must make the order total, or equal run times would pick a row at random.
+    """
+    if not tie_breakers:
+        raise ValueError("name tie_breakers: of equal run times any row could be picked")
     return latest_per_key(df, keys, [F.desc(c) for c in (run_time, *tie_breakers)])
 
 
@@ -101,7 +112,7 @@ def latest_execution(df: DataFrame, by: Sequence[str], run_time: str = "run_time
 
     Unlike :func:`latest_run`, a grain that the latest run no longer produced is left out.
     """
-    newest = settle_small(df.groupBy(*by).agg(F.max(run_time).alias(run_time)))
+    newest = df.groupBy(*by).agg(F.max(run_time).alias(run_time))
     return df.alias("d").join(newest.alias("n"), null_safe("d", "n", [*by, run_time]), "left_semi")
 
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyproof.functions import joined_stamp, null_safe, settle_small
-from tallyproof.functions.sizing import SMALL_ROWS
+from tallyproof.functions import joined_stamp, null_safe, settle
 
 WATERMARK = "last_loaded"
+MAX_ENVIRONMENTS = 1000
 
 
 def last_load_ts(stored: DataFrame, date_col: str = "run_date", time_col: str = "run_time") -> DataFrame:
@@ -25,22 +27,29 @@ def _cold(cold_start: str) -> bool:
     return cold_start == "load_all"
 
 
+def _portable(col: Column, dtype: T.DataType) -> Column:
+    """A value as it survives the way to the driver and back, whatever the time zones of the two."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col)
+    return col.cast("string") if isinstance(dtype, T.TimestampNTZType) else col
+
+
+def _literal(value, dtype: T.DataType) -> Column:
+    """A literal of the exact type from a portable value."""
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return F.lit(value).cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else F.lit(value)
+
+
 def _fixed(one: DataFrame) -> Column | None:
     """The one value of a frame, computed now, as a literal of its exact type; None for NULL.
 
     A filter with a literal reaches the scan, where it prunes partitions and skips row groups; one with a
     subquery prunes no partitions.
     """
-    col = F.col(one.columns[0])
     dtype = one.schema[0].dataType
-    if isinstance(dtype, T.TimestampType):
-        value = one.select(F.unix_micros(col)).first()[0]
-        return None if value is None else F.timestamp_micros(F.lit(value))
-    if isinstance(dtype, T.TimestampNTZType):
-        value = one.select(col.cast("string")).first()[0]
-        return None if value is None else F.lit(value).cast("timestamp_ntz")
-    value = one.first()[0]
-    return None if value is None else F.lit(value)
+    value = one.select(_portable(F.col(one.columns[0]), dtype)).first()[0]
+    return None if value is None else _literal(value, dtype)
 
 
 def incremental_rows(
@@ -85,13 +94,10 @@ def delta(
 ) -> DataFrame:
     """Rows of ``lookup`` beyond the watermark of their environment.
 
-    The watermark is computed now, once. With ``by`` it has a row per environment and is broadcast if
-    it is small, so the large lookup is filtered where it is read and not shuffled. An environment
+    The watermark is computed now, once. Environments are few (MAX_ENVIRONMENTS bounds them), so their watermarks
+    become literals: the filter reaches the reader, and the lookup is not shuffled. An environment
     without a watermark is new: it is loaded whole, or left out with ``cold_start="load_none"``.
-    ``inclusive`` takes rows at the watermark again, which repeats them unless the load supersedes.
-
-    Where no environment can be new (one watermark for all, or ``load_none``), the oldest watermark
-    also bounds the scan.
+    ``inclusive`` takes rows at the watermark again, which repeats them unless the load replaces slices.
     """
     load_all = _cold(cold_start)
     ts = F.col(ts_col)
@@ -100,14 +106,17 @@ def delta(
         if mark is None:
             return lookup if load_all else lookup.where(F.lit(False))
         return lookup.where(ts >= mark if inclusive else ts > mark)
-    marks = settle_small(watermark)
-    if not load_all:
-        oldest = _fixed(marks.agg(F.min(WATERMARK)))
-        lookup = lookup.where(F.lit(False) if oldest is None else ts >= oldest)
-    mark = F.col(f"w.{WATERMARK}")
-    later = ts >= mark if inclusive else ts > mark
-    joined = lookup.alias("l").join(marks.alias("w"), null_safe("l", "w", by), "left")
-    return joined.where(later | mark.isNull() if load_all else later).select("l.*")
+    dtype = watermark.schema[WATERMARK].dataType
+    marks = watermark.where(F.col(WATERMARK).isNotNull()).select(*by, _portable(F.col(WATERMARK), dtype).alias("_mark")).limit(MAX_ENVIRONMENTS + 1).collect()
+    if len(marks) > MAX_ENVIRONMENTS:
+        raise ValueError(f"more than {MAX_ENVIRONMENTS} environments have a watermark")
+    later, known = F.lit(False), F.lit(False)
+    for row in marks:
+        own = reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by])
+        mark = _literal(row["_mark"], dtype)
+        later = later | (own & (ts >= mark if inclusive else ts > mark))
+        known = known | own
+    return lookup.where(later | ~known if load_all else later)
 
 
 def scan_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,26 +124,47 @@ def scan_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.select(*keys).distinct()
 
 
-def rescan(
-    fact: DataFrame,
-    keys: DataFrame,
-    partition_column: str | None = None,
-    max_partitions: int = 1000,
-    max_keys: int = SMALL_ROWS,
-) -> DataFrame:
-    """Rows of ``fact`` whose key occurs in ``keys`` (a NULL key never matches).
+def rescan(fact: DataFrame, keys: DataFrame, partition_column: str | None = None) -> DataFrame:
+    """Rows of ``fact`` whose key occurs in ``keys``; a NULL key matches NULL.
 
-    The keys are computed once. A key set counted as small is broadcast, so the fact stays where it
-    is; a larger one is joined by shuffle. If ``partition_column`` is among the keys and they touch at
-    most ``max_partitions`` of its values, those become a literal list, so that a fact partitioned by
-    the column opens the touched directories only; beyond that the join alone selects.
+    The keys are computed once. If ``partition_column`` is among them, their range of it becomes a literal
+    filter, so that a fact partitioned or sorted by the column is read in that range only. Within it the join selects.
     """
     on = list(keys.columns)
-    settled = settle_small(keys.dropna(), max_keys)
+    wanted = settle(keys.distinct())
     if partition_column is not None:
-        touched = settled.select(partition_column).distinct().limit(max_partitions + 1).collect()
-        if len(touched) <= max_partitions:
-            fact = fact.where(F.col(partition_column).isin([r[0] for r in touched]))
-    return fact.join(settled, on, "left_semi").select(*fact.columns)
+        fact = fact.where(within_range(wanted, partition_column))
+    return fact.alias("f").join(wanted.alias("k"), null_safe("f", "k", on), "left_semi").select("f.*")
+
+
+def within_range(keys: DataFrame, column: str) -> Column:
+    """Whether ``column`` lies in the range of settled ``keys``, or is NULL as one of them is."""
+    low, high = (_fixed(keys.agg(f(column).alias("v"))) for f in (F.min, F.max))
+    absent = F.col(column).isNull() if keys.where(F.col(column).isNull()).limit(1).count() else F.lit(False)
+    return absent if low is None else F.col(column).between(low, high) | absent
 
 
+def replaced(stored: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``stored`` with the slices that ``keys`` name replaced by ``rows``; NULL keys match NULL."""
+    on = list(keys.columns)
+    kept = stored.alias("s").join(keys.distinct().alias("k"), null_safe("s", "k", on), "left_anti").select("s.*")
+    return kept.unionByName(rows)
+
+
+def cycle(
+    lookup: DataFrame,
+    fact: DataFrame,
+    target: DataFrame,
+    created_ts: str,
+    environment: str = "environment",
+    keys: Sequence[str] = ("dwh_business_date", "row_type"),
+) -> tuple[DataFrame, DataFrame]:
+    """One cycle of the incremental load: (rows of the touched slices as the fact has them now, keys of the slices).
+
+    Each environment has its own watermark in the target. Slices are per environment, so the news of one does not
+    touch what another has loaded; and they are scanned whole, so they replace what the target has of them.
+    """
+    marks = high_watermark(target, created_ts, [environment])
+    fresh = delta(lookup, marks, created_ts, [environment])
+    touched = settle(scan_keys(fresh, [environment, *keys]))
+    return rescan(fact, touched, partition_column=keys[0]), touched

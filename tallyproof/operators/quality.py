@@ -32,25 +32,33 @@ def _result_schema(checks: Sequence[Check]) -> T.StructType:
 RESULT_SCHEMA = _result_schema(BREAK_CHECKS)
 
 
-def on_date(df: DataFrame, business_date: int | None) -> DataFrame:
+def on_date(df: DataFrame, business_date: int | None, date_col: str = DATE) -> DataFrame:
     """One business-date partition, or every date when none is named."""
-    return df if business_date is None else df.where(F.col(DATE) == business_date)
+    return df if business_date is None else df.where(F.col(date_col) == business_date)
 
 
-def completeness(per_grain: DataFrame, source: DataFrame, count: str = ROWS) -> DataFrame:
-    """Attach the source count of each (date, cluster), 0 where the source has none, and its colour.
+def completeness(
+    per_grain: DataFrame, source: DataFrame, count: str = ROWS, by: Sequence[str] = (DATE, "cluster_type")
+) -> DataFrame:
+    """Attach the source count of each ``by`` (date and cluster), 0 where the source has none, and its colour.
 
     Green means the warehouse holds at least as many rows in this grain as the source finished loads
     for the cluster. Both inputs are aggregates, so the join moves grains and never fact rows.
     """
     joined = per_grain.alias("t").join(
-        source.alias("s"), null_safe("t", "s", [DATE, "cluster_type"]), "left"
+        source.alias("s"), null_safe("t", "s", by), "left"
     )
     expected = F.coalesce(F.col("s.source_count"), F.lit(0))
     colour = F.when(F.col(f"t.{count}") >= expected, F.lit("Green")).otherwise(F.lit("Red"))
     return joined.select("t.*", expected.alias("source_count"), colour.alias("completeness_status"))
 
 
+def _as_int(count: Column) -> Column:
+    """A BIGINT as INT; raises beyond its range, whether or not the session is in ANSI mode."""
+    fits = F.assert_true(count.between(-(2**31), 2**31 - 1), F.lit("a source count exceeds the INT of the result table"))
+    return F.when(fits.isNull(), count.cast("int"))
+
+
 def verdict(statuses: Sequence[tuple[str, Column]]) -> tuple[Column, Column]:
     """(comments, current_status) from labelled colours, labels in reporting order."""
     failed = F.concat_ws(", ", *[F.when(colour == "Red", F.lit(label)) for label, colour in statuses])
@@ -71,8 +79,14 @@ def dq_result(
     issue_object: str = "fact",
     created_by: str = "tallyproof",
     on_missing_view: str = "error",
+    grain: Sequence[str] = GRAIN,
+    duplicate_keys: Sequence[str] = DUPLICATE_KEYS,
+    load_keys: Sequence[str] = (DATE, "cluster_type"),
 ) -> DataFrame:
-    """One result row per business date, instance, row type and cluster of ``fact``.
+    """One result row per grain of ``fact``: business date, instance, row type and cluster unless ``grain`` names others.
+
+    The first column of ``grain`` is the business date. ``duplicate_keys`` say what makes rows duplicates, and
+    ``load_keys``, a part of the grain, at which level the source's finished loads are counted.
 
     Give ``business_date`` for the daily run; leave it out to (re)check every date in one plan.
     A grain that ``view`` lacks stops the job before anything is written (``on_missing_view="error"``)
@@ -80,11 +94,11 @@ def dq_result(
     """
     if on_missing_view not in ("error", "red"):
         raise ValueError("on_missing_view must be 'error' or 'red'")
-    fact, view, status = (on_date(df, business_date) for df in (fact, view, status))
-    on_fact = counters(fact, reading(checks, "fact"), GRAIN, DUPLICATE_KEYS)
-    on_view = counters(view, reading(checks, "view"), GRAIN).withColumnRenamed(ROWS, "_view_rows")
-    grains = completeness(on_fact, source_counts(status)).alias("f").join(
-        on_view.alias("v"), null_safe("f", "v", GRAIN), "left"
+    fact, view, status = (on_date(df, business_date, grain[0]) for df in (fact, view, status))
+    on_fact = counters(fact, reading(checks, "fact"), grain, duplicate_keys)
+    on_view = counters(view, reading(checks, "view"), grain).withColumnRenamed(ROWS, "_view_rows")
+    grains = completeness(on_fact, source_counts(status, by=load_keys), by=load_keys).alias("f").join(
+        on_view.alias("v"), null_safe("f", "v", grain), "left"
     )
     if on_missing_view == "error":
         present = F.assert_true(
@@ -110,9 +124,9 @@ def dq_result(
         F.lit(theme).alias("theme"),
         F.lit("").alias("kpi_id"),
         F.lit(issue_object).alias("issue_object"),
-        *[F.col(f"f.{g}").alias(g) for g in GRAIN],
-        # NULL rather than a wrapped number when the count does not fit the table's INT.
-        F.col("source_count").try_cast("int").alias("completeness_count"),
+        *[F.col(f"f.{g}").alias(g) for g in grain],
+        # A count that does not fit the table's INT stops the job: neither a wrapped number nor a NULL would be true.
+        _as_int(F.col("source_count")).alias("completeness_count"),
         *shown,
         comments.alias("comments"),
         current_status.alias("current_status"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyproof.functions import null_safe
-from tallyproof.operators.checks import GRAIN
+from tallyproof.operators.checks import BREAK_CHECKS, GRAIN, Check
 from tallyproof.operators.contracts import COUNT_STATES
 from tallyproof.operators.quality import DATE
 
@@ -57,13 +57,19 @@ def recon_counts(
     return both.withColumn("bi_status", F.when(equal, F.lit("success")).otherwise(F.lit("fail")))
 
 
-def _recopied_later() -> Column:
+def _recopied_later(source_status: str, source_updated: str, date_col: str) -> Column:
     """The source copied its snapshot on another day than the business date."""
-    copied = F.lower(F.trim("gru_status")) == "snapshot copied"
-    return copied & (F.to_date("gru_updated_date") != as_date(F.col(DATE)))
+    copied = F.lower(F.trim(source_status)) == "snapshot copied"
+    return copied & (F.to_date(source_updated) != as_date(F.col(date_col)))
 
 
-def status_colour(recon: DataFrame) -> DataFrame:
+def status_colour(
+    recon: DataFrame,
+    source_status: str = "gru_status",
+    source_updated: str = "gru_updated_date",
+    target_created: str = "bi_created_date",
+    date_col: str = DATE,
+) -> DataFrame:
     """Reconciliation view: ``bi_status`` renamed to ``status``, and a colour.
 
     red     counts differ, or the source load failed
@@ -71,11 +77,11 @@ def status_colour(recon: DataFrame) -> DataFrame:
     amber   counts agree; the warehouse loaded on another day
     green   everything else
     """
-    source_failed = F.lower(F.trim("gru_status")).isin("failed", "fail")
-    loaded_later = F.to_date("bi_created_date") != as_date(F.col(DATE))
+    source_failed = F.lower(F.trim(source_status)).isin("failed", "fail")
+    loaded_later = F.to_date(target_created) != as_date(F.col(date_col))
     colour = (
         F.when((F.col("status") != "success") | source_failed, F.lit("red"))
-        .when(_recopied_later(), F.lit("purple"))
+        .when(_recopied_later(source_status, source_updated, date_col), F.lit("purple"))
         .when(loaded_later, F.lit("amber"))
         .otherwise(F.lit("green"))
     )
@@ -89,6 +95,10 @@ def count_table(
     kpi_id: str = "",
     issue_object: str = "fact",
     carry: Sequence[str] = (),
+    source_count: str = "gru_count",
+    target_count: str = "bi_count",
+    source_status: str = "gru_status",
+    source_updated: str = "gru_updated_date",
 ) -> DataFrame:
     """Rows for the count table, each in one of the four allowed states.
 
@@ -99,9 +109,9 @@ def count_table(
     """
     good, missing, reload, refill = (F.lit(s) for s in COUNT_STATES)
     state = (
-        F.when(F.col("bi_count") < F.col("gru_count"), missing)
-        .when(F.col("bi_count") > F.col("gru_count"), reload)
-        .when(_recopied_later(), refill)
+        F.when(F.col(target_count) < F.col(source_count), missing)
+        .when(F.col(target_count) > F.col(source_count), reload)
+        .when(_recopied_later(source_status, source_updated, DATE), refill)
         .otherwise(good)
     )
     return recon.select(
@@ -111,8 +121,8 @@ def count_table(
         as_date(F.col(DATE)).alias(DATE),
         "instance",
         "row_type",
-        F.col("gru_count").alias("gru_counts"),
-        F.col("bi_count").alias("bi_counts"),
+        F.col(source_count).alias("gru_counts"),
+        F.col(target_count).alias("bi_counts"),
         "cluster_type",
         state.alias("status"),
         F.lit(today).cast("date").alias("update_date"),
@@ -137,6 +147,29 @@ COUNT_SCHEMA = T.StructType([
 ])
 
 
+def failures(result: DataFrame, booked: DataFrame, today: date, checks: Sequence[Check] = BREAK_CHECKS, target_count: str = "bi_count") -> DataFrame:
+    """Count-table rows for the checks that failed, one per grain and check, of :data:`COUNT_SCHEMA`.
+
+    ``result`` is the wide check result and ``booked`` the warehouse's rows per grain. ``kpi_id`` names the check's column.
+    Duplicates are a ``Reload``, since the grain has to be loaded again; empty fields are ``Data missing``. Constant
+    checks have no records.
+    """
+    _, missing, reload, _ = COUNT_STATES
+    names = {c.result: c.rule for c in checks if c.result and c.rule not in ("constant", "completeness")}
+    long = result.unpivot(["theme", "issue_object", *GRAIN, "completeness_count"], list(names), "kpi_id", "colour").where("colour = 'Red'")
+    repeated = F.col("l.kpi_id").isin([n for n, rule in names.items() if rule == "duplicate"])
+    return long.alias("l").join(booked.alias("b"), null_safe("l", "b", GRAIN), "left").select(
+        "l.theme", "l.kpi_id", "l.issue_object",
+        as_date(F.col(f"l.{DATE}")).alias(DATE),
+        "l.instance", "l.row_type",
+        F.col("l.completeness_count").cast("bigint").alias("gru_counts"),
+        F.coalesce(F.col(f"b.{target_count}"), F.lit(0).cast("bigint")).alias("bi_counts"),
+        "l.cluster_type",
+        F.when(repeated, F.lit(reload)).otherwise(F.lit(missing)).alias("status"),
+        F.lit(today).cast("date").alias("update_date"),
+    )
+
+
 def theme_filter(df: DataFrame, theme: str, column: str = "theme") -> DataFrame:
     """Rows of one theme."""
     return df.where(F.col(column) == theme)

@@ -10,15 +10,17 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyproof.functions import null_safe, settle
 from tallyproof.operators import history, incremental
-from tallyproof.operators.quality import dq_result, on_date
+from tallyproof.operators.quality import DATE, dq_result, on_date
 from tallyproof.sources import (
     append_by_name,
     back_up,
     compact,
     full_refresh,
+    overwrite_table_partitions,
     read_csv,
-    staged_rewrite,
+    rewrite_partitions,
     write_csv,
 )
 
@@ -40,9 +42,11 @@ def run_breaks(
     now: datetime | None = None,
     **options: str,
 ) -> bool:
-    """Check one business date of the named tables and append the result rows to ``result``.
+    """Check one business date of the named tables and add the result rows to ``result``.
 
     Without a date it is yesterday. A date without facts is reported and writes nothing (False).
+    A result table with an ``active_flag`` must be partitioned by business date: the new rows are active, earlier rows of
+    the date turn inactive, and only that partition is written. Any other result table is appended to.
     ``options`` go to :func:`tallyproof.operators.quality.dq_result` (theme, created_by, …).
     """
     now = now or datetime.now()
@@ -54,15 +58,26 @@ def run_breaks(
     checked = dq_result(
         rows, spark.table(view), spark.table(status), now, day, issue_object=fact, **options
     )
-    append_by_name(checked, result)
+    stored = spark.table(result)
+    if history.ACTIVE in stored.columns:
+        overwrite_table_partitions(settle(history.supersede(on_date(stored, day), checked, [DATE])), result)
+    else:
+        append_by_name(checked, result)
     return True
 
 
-def record_run(spark: SparkSession, root: str, run: DataFrame, keys: Sequence[str], inactive: str = "N") -> int:
-    """Add a run to a versioned result table: its rows become active, earlier rows of its keys do not."""
-    return staged_rewrite(
-        spark, root, lambda stored: history.supersede(stored, run, keys, inactive), [history.ACTIVE]
-    )
+def record_run(
+    spark: SparkSession, path: str, run: DataFrame, keys: Sequence[str], partition_by: Sequence[str], inactive: str = "N"
+) -> None:
+    """Add a run to a result table partitioned by ``partition_by``: its rows become active, earlier rows of its keys do not.
+
+    ``keys`` include the partition columns other than the active flag; only partitions that the run touches are
+    read and written.
+    """
+    touched = run.select(*[c for c in partition_by if c != history.ACTIVE])
+    if not touched.columns or not set(touched.columns) <= set(keys):
+        raise ValueError("partition the table by columns of the keys, a business date for instance")
+    rewrite_partitions(spark, path, partition_by, touched, lambda stored: history.supersede(stored, run, keys, inactive))
 
 
 def load_history(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
@@ -70,9 +85,10 @@ def load_history(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     return full_refresh(df, root, partition_by)
 
 
-def load_day(spark: SparkSession, root: str, day: DataFrame) -> int:
-    """Daily load: the table as it is plus the day's rows as active ones, written back."""
-    return staged_rewrite(spark, root, lambda table: history.bau_union(table, day), [history.ACTIVE])
+def load_day(spark: SparkSession, path: str, day: DataFrame, partition_by: Sequence[str]) -> None:
+    """Daily load: what the touched partitions hold plus the day's rows as active ones, written back to those partitions."""
+    rows = day.withColumn(history.ACTIVE, F.lit("Y"))
+    rewrite_partitions(spark, path, partition_by, rows.select(*partition_by), lambda table: history.bau_union(table, day))
 
 
 def split_table(df: DataFrame, keys: Sequence[str], actual_root: str, amend_root: str) -> tuple[int, int]:
@@ -104,19 +120,30 @@ def run_incremental(
     keys: Sequence[str] = ("dwh_business_date", "row_type"),
     only: str | None = None,
 ) -> None:
-    """One cycle: watermark of the target, newer lookup rows, their keys, rescan of the fact, append.
+    """One cycle: watermark of the target, newer lookup rows, their keys, rescan of the fact, replacement in the target.
 
-    Each environment has its own watermark; ``only`` processes a single one. The keys are fixed before
-    the target is written to. A key seen in an earlier cycle is scanned whole again, so a target that
-    must hold a row once needs :func:`record_run` instead of the append.
+    Each environment has its own watermark; ``only`` processes a single one. The touched slices (an environment's rows of a
+    key) are scanned whole and take the place of what the target has of them, so that a cycle can be repeated. The target
+    is partitioned by ``keys[0]``, and only touched partitions are written; one that is left without rows is dropped.
     """
     looked_up, loaded, facts = spark.table(lookup), spark.table(target), spark.table(fact)
+    by = keys[0]
+    if by not in [c.name for c in spark.catalog.listColumns(target) if c.isPartition]:
+        raise ValueError(f"{target} is not partitioned by {by}")
+    stored = loaded
     if only is not None:
         looked_up, loaded, facts = (df.where(F.col(environment) == only) for df in (looked_up, loaded, facts))
-    marks = incremental.high_watermark(loaded, created_ts, [environment])
-    fresh = incremental.delta(looked_up, marks, created_ts, [environment])
-    rows = incremental.rescan(facts, incremental.scan_keys(fresh, keys), partition_column=keys[0])
-    append_by_name(rows, target)
+    rows, slices = incremental.cycle(looked_up, facts, loaded, created_ts, environment, keys)
+    if slices.isEmpty():
+        return
+    days = slices.select(by).distinct()
+    part = stored.where(incremental.within_range(slices, by)).alias("t").join(days.alias("d"), null_safe("t", "d", [by]), "left_semi").select("t.*")
+    new = settle(incremental.replaced(part, rows.select(*stored.columns), slices))
+    gone = part.select(by).distinct().exceptAll(new.select(by).distinct()).where(F.col(by).isNotNull())
+    emptied = [r[0] for r in gone.collect()]
+    overwrite_table_partitions(new, target)
+    for value in emptied:
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({by} = '{value}')")
 
 
 def filter_csv(spark: SparkSession, source: str, target: str, column: str, above: float, schema=None) -> None:

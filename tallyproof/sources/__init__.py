@@ -4,7 +4,9 @@ from tallyproof.sources.tables import (
     append_by_name,
     create_table,
     overwrite_partitions,
+    overwrite_table_partitions,
     reload_by_sql,
+    rewrite_partitions,
 )
 from tallyproof.sources.versioned import (
     back_up,
@@ -26,12 +28,14 @@ __all__ = [
     "current_version",
     "full_refresh",
     "overwrite_partitions",
+    "overwrite_table_partitions",
     "publish",
     "read_csv",
     "read_current",
     "read_jdbc",
     "reload_by_sql",
     "retain_versions",
+    "rewrite_partitions",
     "staged_rewrite",
     "write_csv",
     "write_jdbc",

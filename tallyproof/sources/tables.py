@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyproof.functions import null_safe, settle
+from tallyproof.operators.incremental import within_range
+
 
 def create_table(
     spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()
@@ -60,6 +63,38 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def rewrite_partitions(
+    spark: SparkSession, path: str, by: Sequence[str], touched: DataFrame, change: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Replace the partitions of a Parquet table that ``touched`` names by ``change`` of their rows.
+
+    ``touched`` holds values of one or more of the partition columns ``by``. Only those partitions are read and
+    written; the new rows are settled first, since they derive from files that the write replaces. ``change`` must
+    leave a row in every partition that it reads, as a partition without new rows keeps its old ones.
+    """
+    wanted = settle(touched.distinct())
+    stored = spark.read.parquet(path)
+    for c in wanted.columns:
+        stored = stored.where(within_range(wanted, c))
+    part = stored.alias("s").join(wanted.alias("w"), null_safe("s", "w", wanted.columns), "left_semi").select("s.*")
+    overwrite_partitions(settle(change(part)), path, by)
+
+
+def overwrite_table_partitions(df: DataFrame, table: str) -> None:
+    """Replace exactly the partitions of a catalog table that ``df`` has rows for, columns by name.
+
+    ``df`` must be settled if it derives from the table.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def reload_by_sql(spark: SparkSession, table: str, view: str) -> None:
     """Reload a lookup table from a view in SQL, columns by name, files as the scan yields them."""
     spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {view}")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyproof.functions import null_safe, settle_small
+from tallyproof.functions import null_safe, settle
 from tallyproof.operators.history import fingerprint
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -38,7 +38,9 @@ def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     for entry in fs.listStatus(path):
         name = entry.getPath().getName()
         if name.startswith(_PREFIX):
-            found.append((int(name[len(_PREFIX):]), fs.exists(_fs(spark, f"{root}/{name}/{_MARKER}")[1])))
+            marker = _fs(spark, f"{root}/{name}/{_MARKER}")[1]
+            # A marker that is still empty is being written: its version is not yet published.
+            found.append((int(name[len(_PREFIX):]), fs.exists(marker) and fs.getFileStatus(marker).getLen() > 0))
     return sorted(found)
 
 
@@ -80,8 +82,13 @@ def publish(
     partition_by: Sequence[str] = (),
     validate: Callable[[DataFrame], bool] | None = None,
     max_records_per_file: int = 0,
+    replaces: int | None = None,
 ) -> int:
-    """Write ``df`` as the next version and make it current if ``validate`` accepts what was written."""
+    """Write ``df`` as the next version and make it current if ``validate`` accepts what was written.
+
+    ``replaces`` is the version that ``df`` derives from. If another has been published since, this one is not: it
+    would undo the other's changes.
+    """
     spark = df.sparkSession
     number = max((n for n, _ in _versions(spark, root)), default=0) + 1
     directory = _directory(root, number)
@@ -91,6 +98,8 @@ def publish(
     writer.parquet(directory)
     if validate is not None and not validate(spark.read.schema(df.schema).parquet(directory)):
         raise ValueError(f"{directory} failed validation and was not published")
+    if replaces is not None and current_version(spark, root) != replaces:
+        raise RuntimeError(f"version {current_version(spark, root)} came between; {directory} was not published")
     fs, marker = _fs(spark, f"{directory}/{_MARKER}")
     stream = fs.create(marker, True)
     stream.write(bytearray(df.schema.json(), "utf-8"))
@@ -106,10 +115,11 @@ def staged_rewrite(
     validate: Callable[[DataFrame], bool] | None = None,
 ) -> int:
     """Replace the table by ``change(table)``; the version read stays in place until retention."""
+    base = current_version(spark, root)
     changed = change(read_current(spark, root))
     if partition_by:
         changed = changed.hint("rebalance", *partition_by)
-    return publish(changed, root, partition_by, validate)
+    return publish(changed, root, partition_by, validate, replaces=base)
 
 
 def _matches(expected: Row, columns: Sequence[str]) -> Callable[[DataFrame], bool]:
@@ -154,24 +164,23 @@ def compact(
     root: str,
     partition_by: Sequence[str] = (),
     target_file_bytes: int = TARGET_FILE_BYTES,
-    max_tasks: int = 20_000,
 ) -> int:
     """Rewrite many small files as few near ``target_file_bytes``, and check that no row changed.
 
-    A table that needs more files than ``max_tasks`` is written by that many tasks, each of which
-    starts a new file after an average file's number of rows.
+    A table in which no partition has over twice the files that its bytes call for, nor files of over twice the target, is
+    left as it is; the current version is returned. Otherwise it is written by as many tasks as it needs files.
     """
+    base = current_version(spark, root)
     directory = _current_directory(spark, root)
-    rows = _read(spark, directory)
     wanted = F.greatest(F.ceil(F.col("n_bytes") / F.lit(target_file_bytes)), F.lit(1)).cast("int")
-    slots = settle_small(
-        file_sizes(spark, directory, partition_by).select(*partition_by, wanted.alias("_slots"))
-    )
+    slots = settle(file_sizes(spark, directory, partition_by).select(*partition_by, "n_files", "n_bytes", wanted.alias("_slots")))
+    if slots.where((F.col("n_files") > 2 * F.col("_slots")) | (F.col("n_bytes") > F.col("n_files") * (2 * target_file_bytes))).isEmpty():
+        return base
+    rows = _read(spark, directory)
     files = slots.agg(F.coalesce(F.sum("_slots"), F.lit(1))).first()[0]
     before = fingerprint(rows).first()
-    per_file = 0 if files <= max_tasks else -(-before["n_rows"] // files)
-    packed = _packed(rows, slots, partition_by, min(files, max_tasks))
-    return publish(packed, root, partition_by, _matches(before, rows.columns), per_file)
+    packed = _packed(rows, slots.drop("n_files", "n_bytes"), partition_by, files)
+    return publish(packed, root, partition_by, _matches(before, rows.columns), replaces=base)
 
 
 def full_refresh(
@@ -180,13 +189,19 @@ def full_refresh(
     partition_by: Sequence[str] = (),
     target_file_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
-    """Truncate and load: ``df`` becomes the whole table, in as few files as its measured size allows.
+    """Truncate and load: ``df`` becomes the whole table, written once.
 
-    A table below the target size ends up in a single file per directory; a larger one is split, so
-    no task ever takes more than about one file's worth.
+    A rebalancing shuffle gathers each partition's rows and splits them near ``target_file_bytes`` by their measured
+    size, so a small table ends up in a single file per directory and no task takes more than about one file's worth.
     """
-    publish(df, root, partition_by)
-    return compact(df.sparkSession, root, partition_by, target_file_bytes)
+    spark = df.sparkSession
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(target_file_bytes))
+    try:
+        return publish(df.hint("rebalance", *partition_by), root, partition_by)
+    finally:
+        spark.conf.set(size, before)
 
 
 def back_up(spark: SparkSession, root: str, backup_root: str, partition_by: Sequence[str] = ()) -> int:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyproof.functions import settle_small, surrogate_key
+from tallyproof.functions import checkpoint_folder, settle_small, surrogate_key
 from tallyproof.operators import dayflags, history, incremental, versions
 from tallyproof.plans import supplied
 
@@ -45,9 +45,10 @@ def test_previous_failures_by_calendar_or_by_data(spark):
         dayflags.previous_failures(df, "next")
 
 
-def test_repeated_failures_repeat_the_row(spark):
-    df = cob(spark, (SUNDAY, "a", "fail", "Y"), (SUNDAY, "a", "fail", "Y"), (MONDAY, "a", "pass", "Y"))
-    assert dayflags.flag_changes(df).count() == 2
+def test_repeated_failures_do_not_repeat_the_row(spark):
+    df = cob(spark, (SUNDAY, "a", "fail", "Y"), (SUNDAY, "a", "fail", "Y"), (MONDAY, "a", "pass", "Y"), (MONDAY, "b", "pass", "Y"))
+    assert [(r.row_type, r.failed_before) for r in dayflags.flag_changes(df).collect()] == [("a", True), ("b", False)]
+    assert dayflags.previous_failures(df).count() == 1
 
 
 LOOKUP = "environment string, created_ts timestamp, k int"
@@ -121,27 +122,47 @@ def test_incremental_rows_by_date_skip_older_partitions(spark, data, tmp_path):
     assert "run_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_rescan_is_the_same_with_and_without_broadcast(spark):
-    fact = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "a", 12), (None, "a", 13)], "d int, t string, v int")
-    keys = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a")], "d int, t string")
-    for options in ({}, {"max_keys": 1}, {"partition_column": "d"}, {"partition_column": "d", "max_partitions": 1}):
-        assert sorted(r.v for r in incremental.rescan(fact, keys, **options).collect()) == [10, 12], options
+def test_rescan_matches_null_keys(spark):
+    fact = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "a", 12), (None, "a", 13), (3, None, 14)], "d int, t string, v int")
+    keys = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a"), (2, "a"), (3, None)], "d int, t string")
+    for options in ({}, {"partition_column": "d"}):
+        assert sorted(r.v for r in incremental.rescan(fact, keys, **options).collect()) == [10, 12, 13, 14], options
+        assert incremental.rescan(fact, keys.limit(0), **options).count() == 0
+        assert [r.v for r in incremental.rescan(fact, keys.where("d is null"), **options).collect()] == [13]
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_sides_are_broadcast_after_counting_only(spark, data):
-    lookup = supplied.lookup(spark, data("0.001"))
-    keys = incremental.scan_keys(lookup, ["dwh_business_date", "row_type"])
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in _plan(incremental.rescan(lookup, keys))
-        assert "BroadcastHashJoin" not in _plan(incremental.rescan(lookup, keys, max_keys=3))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_delta_reaches_the_reader(spark, data, tmp_path):
+    path = str(tmp_path / "lookup")
+    supplied.lookup(spark, data("0.001")).write.parquet(path)
+    lookup = spark.read.parquet(path)
+    found = incremental.delta(lookup, incremental.high_watermark(supplied.loaded(lookup), "created_ts", ["environment"]), "created_ts", ["environment"])
+    plan = _plan(found)
+    assert "Join" not in plan and "Exchange" not in plan and "GreaterThan" in plan
+
+
+def test_too_many_environments(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "MAX_ENVIRONMENTS", 2)
+    rows = spark.createDataFrame([(str(k), T0, k) for k in range(3)], LOOKUP)
+    with pytest.raises(ValueError, match="environments"):
+        incremental.delta(rows, incremental.high_watermark(rows, "created_ts", ["environment"]), "created_ts", ["environment"])
+
+
+def test_no_shared_folder_named(monkeypatch):
+    class Context:
+        folder = None
+        getCheckpointDir = lambda self: self.folder
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}
+
+    assert checkpoint_folder(Session) == Session.sparkContext.folder == "hdfs://store/warehouse/_checkpoints"
 
 
 def test_long_keys_are_not_broadcast(spark):
@@ -211,6 +232,11 @@ def test_scd2_close(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     latest = {(r.k, r.run) for r in history.latest_active(got, ["k"], ["run"]).collect()}
     assert latest == {("a", 3), ("b", 1), (None, 2), ("c", 1)}
+    tied = spark.createDataFrame([("a", D3, None, 2), ("a", D3, None, 2)], SCD)
+    with pytest.raises(Exception, match="apart"):
+        history.scd2_close(stored, tied, ["k"], ["run"]).collect()
+    with pytest.raises(ValueError):
+        history.latest_run(stored, ["k"], "run")
     with pytest.raises(TypeError):
         history.scd2_close(stored.withColumn("effective_from", F.col("effective_from").cast("timestamp")), incoming, ["k"], ["run"])
 
@@ -226,7 +252,7 @@ def test_latest_active_survives_a_reload_and_looks_back(spark):
 
 def test_latest_run_and_latest_execution(spark):
     rows = spark.createDataFrame([(1, "g", 1), (1, "h", 1), (1, "g", 2), (None, "g", 5)], "d int, g string, run_time int")
-    assert {tuple(r) for r in history.latest_run(rows, ["d", "g"]).collect()} == {(1, "h", 1), (1, "g", 2), (None, "g", 5)}
+    assert {tuple(r) for r in history.latest_run(rows, ["d", "g"], tie_breakers=["run_time"]).collect()} == {(1, "h", 1), (1, "g", 2), (None, "g", 5)}
     assert {tuple(r) for r in history.latest_execution(rows, ["d"]).collect()} == {(1, "g", 2), (None, "g", 5)}
 
 

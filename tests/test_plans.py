@@ -4,16 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from tallyproof.plans.registry import QUERIES
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_nothing_that_hurts_at_scale(name, spark, data):
-    text = plan(entry_point.queries()[name](spark, data("0.001")))
+    text = plan(QUERIES[name](spark, data("0.001")))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
     assert not re.search(r"EvalPython|MapInPandas|MapInArrow|FlatMapGroups", text)
     if name != "version_assign":  # its only such window runs over one row per partition
@@ -22,12 +22,12 @@ def test_nothing_that_hurts_at_scale(name, spark, data):
 
 @pytest.mark.parametrize("name", ["latest_active", "latest_run"])
 def test_newest_row_is_picked_before_the_shuffle(name, spark, data):
-    text = plan(entry_point.queries()[name](spark, data("0.001")))
+    text = plan(QUERIES[name](spark, data("0.001")))
     assert re.search(r"row_number\(\), 1, Final[\s\S]*Exchange hashpartitioning[\s\S]*row_number\(\), 1, Partial", text)
 
 
 def test_duplicate_count_aggregates_by_hash_and_does_not_sort_rows(spark, data):
-    text = plan(entry_point.queries()["dq_duplicates"](spark, data("0.001")))
+    text = plan(QUERIES["dq_duplicates"](spark, data("0.001")))
     assert "SortAggregate" not in text
     assert text.count("partial_count(1)") >= 3
     # The one window runs over grains, above the finished aggregate.
@@ -35,15 +35,15 @@ def test_duplicate_count_aggregates_by_hash_and_does_not_sort_rows(spark, data):
 
 
 def test_counters_share_one_scan_per_pass(spark, data):
-    text = plan(entry_point.queries()["dq_view_counters"](spark, data("0.001")))
+    text = plan(QUERIES["dq_view_counters"](spark, data("0.001")))
     assert text.count("l_orderkey") == 0, "columns that no check needs are not read"
     assert len(re.findall(r"FileScan parquet \[l_", text)) == 1
-    fact = plan(entry_point.queries()["dq_fact_counters"](spark, data("0.001")))
+    fact = plan(QUERIES["dq_fact_counters"](spark, data("0.001")))
     assert len(re.findall(r"FileScan parquet \[l_", fact)) == 2
 
 
 def test_daily_run_pushes_its_date_to_the_files(spark, data):
-    df = entry_point.queries()["dq_result_daily"](spark, data("0.001"))
+    df = QUERIES["dq_result_daily"](spark, data("0.001"))
     formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = df._jdf.queryExecution().explainString(formatted)
     assert text.count("GreaterThanOrEqual(l_shipdate,1998-01-01") == 3
@@ -52,6 +52,6 @@ def test_daily_run_pushes_its_date_to_the_files(spark, data):
 
 
 def test_filter_is_pushed_down(spark, data):
-    text = plan(entry_point.queries()["filter_gt"](spark, data("0.001")))
+    text = plan(QUERIES["filter_gt"](spark, data("0.001")))
     assert "GreaterThan(p_size,10)" in text
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in text

@@ -18,6 +18,7 @@ from tallyproof.operators.checks import (
     strict_hierarchy,
 )
 from tallyproof.operators.quality import (
+    _as_int,
     RESULT_SCHEMA,
     completeness,
     default_routing,
@@ -204,9 +205,12 @@ def test_completeness_colour(spark):
     assert got == {"NY": "Green", "NJ": "Red", "X": "Green"}
 
 
-def test_source_count_beyond_int_becomes_null(spark):
-    big = spark.createDataFrame([(2**31,)], "source_count bigint")
-    assert big.select(F.col("source_count").try_cast("int")).first()[0] is None
+def test_source_count_beyond_int_stops_the_job(spark):
+    counts = spark.createDataFrame([(2**31 - 1,), (2**31,)], "source_count bigint")
+    fits = counts.where("source_count < 2147483648").select(_as_int(F.col("source_count"))).first()[0]
+    assert fits == 2**31 - 1
+    with pytest.raises(Exception, match="exceeds the INT"):
+        counts.select(_as_int(F.col("source_count"))).collect()
 
 
 def test_null_grain_keys_match(spark):

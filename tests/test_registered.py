@@ -8,6 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tallyproof.operators.checks import BREAK_CHECKS
+from tallyproof.plans.oracle import ORACLE
+from tallyproof.plans.registry import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -44,14 +47,30 @@ def duck(data):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry_point.queries().items() and ORACLE.items() <= entry_point.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+def test_every_active_check_shows_both_colours(spark, data):
+    rows = QUERIES["dq_result"](spark, data("0.01")).collect()
+    for check in BREAK_CHECKS:
+        if check.result and check.rule != "constant":
+            assert {r[check.result] for r in rows} == {"Green", "Red"}, check.label
+    assert any("Completeness" in r.comments for r in rows) and any(r.completeness_count == 0 for r in rows)
+
+
+def test_planted_cases_occur(spark, data):
+    sides = QUERIES["recon_counts"](spark, data("0.01")).collect()
+    assert any(r.bi_count == 0 for r in sides) and any(r.gru_count == 0 for r in sides)
+    assert any(r.n_load_date > 0 for r in QUERIES["recon_counters"](spark, data("0.01")).collect())
+    assert any(r.count_a > 1 and r.count_b > 1 for r in QUERIES["table_copy_compare"](spark, data("0.01")).collect())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(name, spark, data, duck):
-    df = entry_point.queries()[name](spark, data(SF))
+    df = QUERIES[name](spark, data(SF))
     got = [tuple(r) for r in df.collect()]
-    cursor = duck.execute(entry_point.oracle_sql()[name])
+    cursor = duck.execute(ORACLE[name])
     columns = {d[0]: str(d[1]) for d in cursor.description}
     want = cursor.fetchall()
     assert want, "the check compares nothing"

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyproof import sources
 from tallyproof.operators import history
@@ -136,9 +137,8 @@ def test_compaction_splits_a_hot_partition(spark, data, tmp_path):
     assert 3 <= len([f for f in written if "p=Y" in str(f)]) <= 7
     assert len([f for f in written if "p=__HIVE_DEFAULT" in str(f)]) <= 2
     assert history.compare_copies(hot, sources.read_current(spark, root)).isEmpty()
-    # Fewer tasks than files: tasks start new files on the way.
-    sources.compact(spark, root, ["p"], target_file_bytes=sizes["Y"] // 6, max_tasks=2)
-    assert len(files(tmp_path / "t" / "version-00000003")) >= 4
+    sources.compact(spark, root, ["p"], target_file_bytes=sizes["Y"] // 6)
+    assert sources.current_version(spark, root) == 2  # nothing left to do
     assert history.compare_copies(hot, sources.read_current(spark, root)).isEmpty()
 
 
@@ -147,7 +147,23 @@ def test_full_refresh_of_a_small_table_is_one_file(spark, tmp_path):
     for n in (5, 7):
         sources.full_refresh(spark.range(n).repartition(4), root)
     assert sources.read_current(spark, root).count() == 7
-    assert len(files(tmp_path / "t" / "version-00000004")) == 1
+    assert len(files(tmp_path / "t" / "version-00000002")) == 1
+
+
+def test_a_marker_being_written_and_a_version_in_between(spark, tmp_path):
+    root = str(tmp_path / "t")
+    sources.publish(spark.range(3), root)
+    spark.range(9).write.parquet(f"{root}/version-00000002")
+    (tmp_path / "t" / "version-00000002" / "_PUBLISHED").touch()
+    assert sources.current_version(spark, root) == 1 and sources.read_current(spark, root).count() == 3
+
+    def slow(table):
+        sources.publish(spark.range(5), root)
+        return table
+
+    with pytest.raises(RuntimeError, match="came between"):
+        sources.staged_rewrite(spark, root, slow)
+    assert sources.read_current(spark, root).count() == 5
 
 
 def test_retention(spark, tmp_path):
@@ -174,12 +190,25 @@ def test_backup_and_compact(spark, tmp_path):
     assert not jobs.copy_confirmed(spark.range(100), spark.range(99))
 
 
-def test_daily_and_historical_load(spark, tmp_path):
+def test_historical_load(spark, tmp_path):
     root = str(tmp_path / "t")
-    old = spark.createDataFrame([(1, "N"), (2, "Y")], "k int, active_flag string")
-    jobs.load_history(old, root, ["active_flag"])
-    jobs.load_day(spark, root, spark.createDataFrame([(3,)], "k int"))
-    assert {tuple(r) for r in sources.read_current(spark, root).collect()} == {(1, "N"), (2, "Y"), (3, "Y")}
+    jobs.load_history(spark.createDataFrame([(1, "N"), (2, "Y")], "k int, active_flag string"), root, ["active_flag"])
+    assert {tuple(r) for r in sources.read_current(spark, root).collect()} == {(1, "N"), (2, "Y")}
+
+
+def stamps(path, part):
+    return {f: f.stat().st_mtime_ns for f in files(path) if part in str(f)}
+
+
+def test_daily_load_writes_touched_partitions_only(spark, tmp_path):
+    path, by = str(tmp_path / "t"), ["active_flag", "d"]
+    old = spark.createDataFrame([(1, 1, "N"), (2, 1, "Y"), (3, 2, "Y"), (4, None, "Y")], "k int, d int, active_flag string")
+    sources.overwrite_partitions(old, path, by)
+    before = {part: stamps(path, part) for part in ("active_flag=N", "d=1")}
+    jobs.load_day(spark, path, spark.createDataFrame([(5, 2), (6, 3), (7, None)], "k int, d int"), by)
+    assert {(r.k, r.d, r.active_flag) for r in spark.read.parquet(path).collect()} == {
+        (1, 1, "N"), (2, 1, "Y"), (3, 2, "Y"), (4, None, "Y"), (5, 2, "Y"), (6, 3, "Y"), (7, None, "Y")}
+    assert all(stamps(path, part) == files_ for part, files_ in before.items())
 
 
 def test_split_table(spark, tmp_path):
@@ -191,14 +220,16 @@ def test_split_table(spark, tmp_path):
 
 
 def test_rerun_keeps_one_active_row_per_key(spark, tmp_path):
-    root = str(tmp_path / "t")
-    schema = "d int, g string, run int, active_flag string"
-    sources.publish(spark.createDataFrame([], schema), root, ["active_flag"])
+    path, by = str(tmp_path / "t"), ["d", "active_flag"]
+    sources.overwrite_partitions(spark.createDataFrame([(2, "z", 0, "Y")], "d int, g string, run int, active_flag string"), path, by)
+    before = stamps(path, "d=2")
     for run in (1, 2, 3):
-        jobs.record_run(spark, root, spark.createDataFrame([(1, "a", run), (1, None, run)], "d int, g string, run int"), ["d", "g"])
-    table = sources.read_current(spark, root)
-    assert {(r.g, r.run) for r in table.where("active_flag = 'Y'").collect()} == {("a", 3), (None, 3)}
-    assert table.count() == 6
+        jobs.record_run(spark, path, spark.createDataFrame([(1, "a", run), (1, None, run)], "d int, g string, run int"), ["d", "g"], by)
+    table = spark.read.parquet(path)
+    assert {(r.g, r.run) for r in table.where("active_flag = 'Y' and d = 1").collect()} == {("a", 3), (None, 3)}
+    assert table.count() == 7 and stamps(path, "d=2") == before
+    with pytest.raises(ValueError):
+        jobs.record_run(spark, path, table.drop("active_flag"), ["g"], by)
 
 
 @pytest.fixture
@@ -244,18 +275,33 @@ def test_breaks_command_line(spark, breaks):
     assert spark.table("dq_out").select("dwh_business_date").distinct().first()[0] == 19990101
 
 
+def test_breaks_job_with_an_active_flag(spark, breaks):
+    fact, view, status, _ = breaks
+    spark.sql("DROP TABLE IF EXISTS dq_flagged")
+    sources.create_table(spark, "dq_flagged", T.StructType([*RESULT_SCHEMA.fields, T.StructField("active_flag", T.StringType())]), ["dwh_business_date"])
+    for day, hour in ((19980101, 5), (19970101, 5), (19980101, 6)):
+        assert jobs.run_breaks(spark, fact, view, status, "dq_flagged", business_date=day, now=datetime(2024, 6, 2, hour))
+    flags = {tuple(r) for r in spark.table("dq_flagged").selectExpr("dwh_business_date", "hour(run_time)", "active_flag").distinct().collect()}
+    assert flags == {(19980101, 5, "N"), (19980101, 6, "Y"), (19970101, 5, "Y")}
+
+
 def test_incremental_cycle(spark, data):
-    for name in ("inc_lookup", "inc_fact", "inc_target"):
+    """Watermarks in the middle of a day, all environments, one of them new, NULL keys: the target becomes the source, again and again."""
+    for name in ("inc_target", "inc_lookup", "inc_fact"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    lookup = supplied.lookup(spark, data("0.001"))
-    loaded = supplied.loaded(spark, data("0.001"))
-    lookup.createOrReplaceTempView("inc_lookup_v")
-    loaded.write.saveAsTable("inc_target")
-    before = spark.table("inc_target").count()
-    jobs.run_incremental(spark, "inc_lookup_v", "inc_lookup_v", "inc_target", "created_ts", only="NY")
-    added = spark.table("inc_target").count() - before
-    days = lookup.where("environment = 'NY' AND created_ts >= timestamp_ntz'2024-01-20 00:00:00'")
-    keys = days.select("dwh_business_date", "row_type").distinct()
-    assert added == lookup.where("environment = 'NY'").join(keys, keys.columns, "left_semi").count() > 0
-    jobs.run_incremental(spark, "inc_lookup_v", "inc_lookup_v", "inc_target", "created_ts", only="NY")
-    assert spark.table("inc_target").count() == before + added
+    sf = data("0.001")
+    supplied.lookup(spark, sf).createOrReplaceTempView("inc_lookup_v")
+    facts = supplied.event_fact(spark, sf)
+    facts.createOrReplaceTempView("inc_fact_v")
+    supplied.loaded(facts).write.partitionBy("dwh_business_date").saveAsTable("inc_target")
+    before = {tuple(r) for r in spark.table("inc_target").select(*facts.columns).where("environment = 'NY'").collect()}
+    jobs.run_incremental(spark, "inc_lookup_v", "inc_fact_v", "inc_target", "created_ts", only="NJ")
+    now = spark.table("inc_target").select(*facts.columns)
+    assert {tuple(r) for r in now.where("environment = 'NY'").collect()} == before
+    assert history.compare_copies(now.where("environment = 'NJ'"), facts.where("environment = 'NJ'")).isEmpty()
+    for _ in range(2):
+        jobs.run_incremental(spark, "inc_lookup_v", "inc_fact_v", "inc_target", "created_ts")
+        assert history.compare_copies(spark.table("inc_target").select(*facts.columns), facts).isEmpty()
+    facts.write.saveAsTable("inc_fact")
+    with pytest.raises(ValueError, match="partitioned"):
+        jobs.run_incremental(spark, "inc_lookup_v", "inc_fact_v", "inc_fact", "created_ts")
