@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from tallyproof.llm.common import with_fields
+from tallyproof.llm.common import sliced, tidied, with_fields
 from tallyproof.llm.labelled import labelled_sample
 from tallyproof.llm.superkmers import text_parts
 
@@ -154,7 +154,7 @@ def judge(model: Model, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarra
 
 def _score(model: Model, threshold: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             empty = pa.nulls(len(batch))
             texts = pa.RecordBatch.from_arrays([empty, empty, batch.column("text").fill_null("")], ["a", "b", "text"])
             found = [judge(model, [tokens(t) for t in part]) for _, _, part in text_parts(texts, 1 << 20)]
@@ -176,4 +176,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, threshold:
     """
     own = docs.drop("score", "mean_ratio", "peak_ratio", "predicted")
     model = fit(labelled_sample(own, labels, "toxic", learn, per_class, sample_bytes))
-    return own.mapInArrow(_score(model, threshold), with_fields(own.schema, "score double, mean_ratio double, peak_ratio double, predicted int"))
+    return own.mapInArrow(tidied(_score(model, threshold)), with_fields(own.schema, "score double, mean_ratio double, peak_ratio double, predicted int"))

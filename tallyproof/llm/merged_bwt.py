@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import pieces, text_bytes, with_fields
+from tallyproof.llm.common import pieces, sliced, text_bytes, tidied, tidied_group, with_fields
 from tallyproof.llm.superkmers import (
     CACHED,
     MULTIPLIERS,
@@ -87,7 +87,7 @@ def may_share(strings: list[bytes], anchor: list[int], length: int) -> np.ndarra
 def _send(length: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, out = {}, Outbox(buckets, b"", level=6)
-        for batch in batches:
+        for batch in sliced(batches, 1200):
             for ids, keys, texts in text_parts(batch):
                 data = b"".join(texts)
                 ends = np.cumsum([len(t) for t in texts])
@@ -265,13 +265,13 @@ def repeated_bytes(docs: DataFrame, length: int = 100, block: int = 10, bucket_b
         raise ValueError(f"length must be a multiple of {block}, from {2 * GRAIN} to {127 + GRAIN}")
     rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
     buckets = pieces(text_bytes(docs), bucket_bytes)
-    sent = rows.mapInArrow(_send(length, buckets), SENT)
-    return sent.groupBy("bucket").applyInPandas(_merge(length, block, shard_bytes, 1 << 20), SPANS)
+    sent = rows.mapInArrow(tidied(_send(length, buckets)), SENT)
+    return sent.groupBy("bucket").applyInPandas(tidied_group(_merge(length, block, shard_bytes, 1 << 20)), SPANS)
 
 
 def _cut(length: int, with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n_bytes, n_removed, n_spans, digests, kept_bytes = [], [], [], [], []
             for text, found in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 data, spans = text or b"", []
@@ -316,4 +316,4 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, with_text: bool =
     joined = own.withColumn("text_key", F.hash("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
     shape = own.schema if with_text else own.drop("text").schema
     added = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
-    return joined.mapInArrow(_cut(length, with_text), with_fields(shape, added))
+    return joined.mapInArrow(tidied(_cut(length, with_text)), with_fields(shape, added))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import components, reached, settled, within_bound
+from tallyproof.llm.common import components, reached, settled, sliced, tidied, tidied_group, within_bound
 from tallyproof.llm.superkmers import MULTIPLIERS, _Hashes, mixed, text_parts
 
 SHINGLE, BANDS, ROWS = 5, 32, 5  # a pair at 0.8 shares no band with a chance of 3 in a million
@@ -87,7 +87,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         texts = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), batch.column("text")], ["a", "b", "text"])
         for ids, digests, part in text_parts(texts, 1 << 20):
@@ -243,7 +243,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     members = pairs.join(sizes, "lead").selectExpr("lead", "node", "pmod(hash(node), parts) AS part")
     leads = sizes.selectExpr("lead", "lead AS node", "explode(sequence(0, parts - 1)) AS part")
     rows = _with_texts(members.unionByName(leads), texts, "lead, part")
-    return settled(rows.applyInPandas(_verify(threshold), "lead long, node long"))
+    return settled(rows.applyInPandas(tidied_group(_verify(threshold)), "lead long, node long"))
 
 
 def in_blocks(rows: DataFrame, key: str) -> DataFrame:
@@ -263,7 +263,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     NULL doc_id has a NULL class and is kept.
     """
     rows = docs.where("doc_id is not null").selectExpr("cast(doc_id as long) AS doc_id", "text")
-    signed = settled(rows.where("text is not null").withColumn("digest", F.unhex(F.sha2("text", 256))).mapInArrow(_sign, "doc_id long, digest binary, sign binary")).where("sign is not null")
+    signed = settled(rows.where("text is not null").withColumn("digest", F.unhex(F.sha2("text", 256))).mapInArrow(tidied(_sign), "doc_id long, digest binary, sign binary")).where("sign is not null")
     # One document stands for all exact copies.
     texts = settled(signed.groupBy("digest").agg(F.min(F.struct("doc_id", "sign")).alias("m")).select("digest", "m.doc_id", "m.sign"))
     width = 2 * ROWS
@@ -274,7 +274,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     by_node = texts.select(F.col("doc_id").alias("node"), "sign")
     stars = together.where("lead <> node").select("lead", "node").distinct()
     signs = stars.join(by_node, "node").join(by_node.withColumnsRenamed({"node": "lead", "sign": "lead_sign"}), "lead")
-    promising = settled(signs.mapInArrow(_promising(threshold - SLACK), "lead long, node long"))
+    promising = settled(signs.mapInArrow(tidied(_promising(threshold - SLACK)), "lead long, node long"))
     # Exact copies hang on their first document, and different texts under one doc_id belong together.
     first_of = settled(signed.select("doc_id", "digest").join(texts.select("digest", F.col("doc_id").alias("lead")), "digest").select("doc_id", "lead").distinct())
     several = first_of.groupBy("doc_id").agg(F.min("lead").alias("lead"), F.max("lead").alias("high")).where("lead <> high").select("doc_id", "lead")
@@ -287,12 +287,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     unlike = settled(in_blocks(placed.join(split, "key"), "key"))
     deals = max(8, unlike.count() // 20_000)
     signed_rows = unlike.join(by_node, "node").withColumn("deal", F.expr(f"pmod(xxhash64(key, left, right), {deals})"))
-    edges = settled(signed_rows.groupBy("deal").applyInPandas(_across(threshold - SLACK), "lead long, node long").distinct())
+    edges = settled(signed_rows.groupBy("deal").applyInPandas(tidied_group(_across(threshold - SLACK)), "lead long, node long").distinct())
     if not edges.isEmpty():
         clusters = components(edges, "lead", "node").withColumnRenamed("component", "cluster")
         members = clusters.join(classes, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
         rows_of = _with_texts(in_blocks(members, "cluster"), rows, "cluster, left, right")
-        more = settled(rows_of.applyInPandas(_compare(threshold), "lead long, node long"))
+        more = settled(rows_of.applyInPandas(tidied_group(_compare(threshold)), "lead long, node long"))
         classes = components(classes.select(F.col("component").alias("lead"), "node").unionByName(more), "lead", "node")
 
     own = first_of.groupBy("doc_id").agg(F.min("lead").alias("node"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from tallyproof.llm.common import with_fields
+from tallyproof.llm.common import sliced, tidied, with_fields
 from tallyproof.llm.labelled import labelled_sample
 from tallyproof.llm.superkmers import text_parts
 
@@ -131,7 +131,7 @@ def fit(examples: list[tuple[int, bytes]], hidden: int = 24, gate: int = 12, epo
 def _score(p: dict[str, np.ndarray], threshold: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = WordBuckets()
-        for batch in batches:
+        for batch in sliced(batches):
             scores, attention = [], []
             empty = pa.nulls(len(batch))
             texts = pa.RecordBatch.from_arrays([empty, empty, batch.column("text").fill_null("")], ["a", "b", "text"])
@@ -157,4 +157,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, threshold:
     """
     own = docs.drop("score", "top_attention", "predicted")
     weights = fit(labelled_sample(own, labels, "quality", learn, per_class, sample_bytes))
-    return own.mapInArrow(_score(weights, threshold), with_fields(own.schema, "score double, top_attention double, predicted int"))
+    return own.mapInArrow(tidied(_score(weights, threshold)), with_fields(own.schema, "score double, top_attention double, predicted int"))

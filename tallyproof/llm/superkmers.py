@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import pieces, text_bytes, with_fields
+from tallyproof.llm.common import pieces, sliced, text_bytes, tidied, tidied_group, with_fields
 
 NUMBERS = {"docs": np.int64, "keys": np.int32, "starts": np.int32, "windows": np.int32, "tags": np.uint32}
 SENT = "bucket int, " + ", ".join(f"{n} binary" for n in NUMBERS) + ", packed binary"
@@ -157,7 +157,7 @@ def span_frame(parts: list[tuple]) -> pd.DataFrame:
 def _send(width: int, grain: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, out = _Hashes(), {}, Outbox(buckets, b" ")
-        for batch in batches:
+        for batch in sliced(batches):
             for ids, keys, texts in text_parts(batch):
                 flat: list[bytes] = []
                 ends = np.zeros(len(ids), np.int64)
@@ -266,13 +266,13 @@ def repeated_windows(docs: DataFrame, width: int = 13, grain: int = 2, bucket_by
     """
     rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
     buckets = pieces(text_bytes(docs), bucket_bytes)
-    sent = rows.mapInArrow(_send(width, grain, buckets), SENT)
-    return sent.groupBy("bucket").applyInPandas(_count(width), SPANS)
+    sent = rows.mapInArrow(tidied(_send(width, grain, buckets)), SENT)
+    return sent.groupBy("bucket").applyInPandas(tidied_group(_count(width)), SPANS)
 
 
 def _cut(width: int, with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n_words, n_removed, digests, kept_texts = [], [], [], []
             spans = batch.column("spans").to_pylist()
             for text, found in zip(batch.column("text").cast(pa.binary()).to_pylist(), spans, strict=True):
@@ -316,4 +316,4 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = True) ->
     joined = own.withColumn("text_key", F.hash("text")).join(spans, F.expr("doc_id = _doc and text_key = _key"), "left").drop("_doc", "_key", "text_key")
     shape = own.schema if with_text else own.drop("text").schema
     added = "n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return joined.mapInArrow(_cut(width, with_text), with_fields(shape, added))
+    return joined.mapInArrow(tidied(_cut(width, with_text)), with_fields(shape, added))
