@@ -20,12 +20,12 @@ def is_blank(df: DataFrame, name: str) -> Column:
     Only the space character counts: a tab is a value. Numeric, date and boolean columns skip the
     cast to text, because a non-NULL value of theirs is never blank.
     """
+    # As text: one call to the JVM instead of one per step of the expression.
     dtype = df.schema[name].dataType
-    col = F.col(name)
     if isinstance(dtype, _NEVER_BLANK):
-        return col.isNull()
-    text = col if isinstance(dtype, T.StringType) else col.cast("string")
-    return col.isNull() | (F.trim(text) == "")
+        return F.expr(f"`{name}` IS NULL")
+    text = f"`{name}`" if isinstance(dtype, T.StringType) else f"CAST(`{name}` AS STRING)"
+    return F.expr(f"`{name}` IS NULL OR TRIM({text}) = ''")
 
 
 def any_null(names: Sequence[str]) -> Column:

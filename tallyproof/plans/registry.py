@@ -79,19 +79,17 @@ def dq_ownership_hierarchy_strict(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def dq_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every business date in one plan."""
-    return quality.dq_result(
-        supplied.fact(spark, sf_dir),
-        supplied.fact_view(spark, sf_dir),
-        supplied.source_status(spark, sf_dir),
-        RUN_TS,
-    )
+    fact = supplied.fact(spark, sf_dir)
+    view = supplied.fact_view(spark, sf_dir, base=fact)
+    return quality.dq_result(fact, view, supplied.source_status(spark, sf_dir), RUN_TS)
 
 
 def dq_result_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run: one business date."""
+    fact = supplied.fact(spark, sf_dir, ONE_YEAR)
     return quality.dq_result(
-        supplied.fact(spark, sf_dir, ONE_YEAR),
-        supplied.fact_view(spark, sf_dir, ONE_YEAR),
+        fact,
+        supplied.fact_view(spark, sf_dir, base=fact),
         supplied.source_status(spark, sf_dir, ONE_YEAR),
         RUN_TS,
         business_date=ONE_YEAR * 10000 + 101,

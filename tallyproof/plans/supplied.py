@@ -69,9 +69,12 @@ def fact(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame
     )
 
 
-def fact_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
-    """The fact with region, country, record types, exchange rate and the owner hierarchy."""
-    base = fact(spark, sf_dir, year)
+def fact_view(spark: SparkSession, sf_dir: str, year: int | None = None, base: DataFrame | None = None) -> DataFrame:
+    """The fact with region, country, record types, exchange rate and the owner hierarchy.
+
+    ``base`` is the fact where the caller has it already, which saves building it again.
+    """
+    base = fact(spark, sf_dir, year) if base is None else base
     # One table after the other: each is then judged by its own file size, and broadcast if small.
     # Left joins: a row without its part or supplier must reach the checks that are to find it.
     part = F.when(~(_nth("k", 113) & (F.col("row_type") == "F")), F.col("l_partkey"))
