@@ -8,6 +8,7 @@ its log-likelihood ratio divided by its length, over the whole text and over its
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +25,13 @@ from tallyproof.llm.superkmers import text_parts
 #: Letters A-Z in lower case; ASCII other than letters and digits as spaces.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 STRETCH = 1  # words
-STEM = 7  # bytes
+#: Letters of scripts without spaces between words (Han, kana, Bopomofo, Yi, Thai, Lao, Tibetan, Burmese, Khmer, Tai): each is a word.
+UNSPACED = re.compile(
+    "([\u0e00-\u0eff\u0f00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u312f\u31a0-\ua4cf"
+    "\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00016fe0-\U00018dff\U0001aff0-\U0001b2ff\U00020000-\U0003ffff])"
+)
+#: White space and punctuation beyond ASCII.
+BETWEEN = re.compile("[\u0080-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u2000-\u200b\u200e-\u206f\u3000-\u3004\u3008-\u3020\u3030\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 RARE = 4  # words in fewer texts are one unknown word
 PRIOR = 10  # texts' worth of shared counts behind every expression
 
@@ -52,8 +59,10 @@ class Model:
 
 
 def tokens(text: bytes) -> list[bytes]:
-    """Words cut to their first STEM bytes, so that the forms of a word count together."""
-    return [w[:STEM] for w in text.translate(PLAIN).split()]
+    """Whole words; each letter of an unspaced script is a word of its own."""
+    if not text.isascii():
+        text = UNSPACED.sub(r" \1 ", BETWEEN.sub(" ", text.decode(errors="replace"))).encode()
+    return text.translate(PLAIN).split()
 
 
 def _numbers(texts: list[list[bytes]], words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -80,6 +80,18 @@ def test_expressions_of_neither_class_say_nothing():
     assert x[0, 1] > 0.5 and x[1, 1] < -0.5 and abs(x[2, 1]) < 0.2 and x[3].tolist() == [0, 0] and x[4].tolist() == [0, 0]
 
 
+def test_words_are_read_to_their_end_and_unspaced_texts_letter_by_letter():
+    assert kneser_ney.tokens("Unbelievable Хорошенький \u201cquoted\u201d".encode()) == [b"unbelievable", "Хорошенький".encode(), b"quoted"]
+    assert kneser_ney.tokens("今天天气。好ab".encode()) == [*(c.encode() for c in "今天天气好"), b"ab"]
+    assert kneser_ney.tokens("ภาษาไทย".encode()) == [c.encode() for c in "ภาษาไทย"]
+    # Toxic and clean words with one beginning, in a spaced script and in texts without any space.
+    for bad, good, line in [("хорошомерзкий", "хорошосветлый", "{} слово номер{}"), ("笨蛋", "先生", "今天我们在公园里看见{}然后回家{}")]:
+        examples = [(k % 2, line.format(bad if k % 2 else good, "甲乙丙丁戊"[k % 5]).encode()) for k in range(80)]
+        model = kneser_ney.fit(examples)
+        scores, _ = kneser_ney.judge(model, [kneser_ney.tokens(line.format(w, "己").encode()) for w in (bad, good)])
+        assert scores[0] > 0.8 and scores[1] < 0.2
+
+
 def test_recurrent_gradients():
     rng = np.random.default_rng(0)
     n = 64
