@@ -1,9 +1,12 @@
 """Toxicity by two class-conditional Kneser-Ney models.
 
-One bigram model is learned from toxic and one from ordinary texts. Both discount their counts, and both back
-off from pairs over their own words to the same continuation counts (in how many different contexts a word
-stands, in either class), so an expression too rare to be counted says nothing for either side. A text is judged by
-its log-likelihood ratio divided by its length, over the whole text and over its most telling stretch.
+One bigram model is learned from toxic and one from ordinary texts. Each level gives the mass that its discounts
+free to the next: a class's pairs to the class's words, and these to continuation counts that both classes share (in how many
+different contexts a word stands, in either), so that every word has a probability in both, however rare it is.
+In addition to the freed mass a backoff has a strength in proportion to the class's share of all counts (the
+Bayesian form of the method): classes differ in size, and by freed mass alone a word that the smaller one
+lacks would be likelier there. A text is judged by its log-likelihood ratio divided by its length, and by its most
+telling stretch of one to STRETCH words.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from tallyproof.llm.superkmers import text_parts
 
 #: Letters A-Z in lower case; ASCII other than letters and digits as spaces.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
-STRETCH = 1  # words
+STRETCH = 3  # words at most
+FLAT = 40  # contexts added to those of every word in the shared backoff
+SHARED = 0.25  # strength of the backoff, in its contexts
 #: Letters of scripts without spaces between words (Han, kana, Bopomofo, Yi, Thai, Lao, Tibetan, Burmese, Khmer, Tai): each is a word.
 UNSPACED = re.compile(
     "([\u0e00-\u0eff\u0f00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u312f\u31a0-\ua4cf"
@@ -32,17 +37,16 @@ UNSPACED = re.compile(
 )
 #: White space and punctuation beyond ASCII.
 BETWEEN = re.compile("[\u0080-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u2000-\u200b\u200e-\u206f\u3000-\u3004\u3008-\u3020\u3030\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
-RARE = 4  # words in fewer texts are one unknown word
-PRIOR = 10  # texts' worth of shared counts behind every expression
 
 
 @dataclass
 class Model:
-    """Words by number (0: unknown), and for each class its discounted bigrams, contexts and backoff to single words."""
+    """Words by number (0: in no text of either class), and for each class its discounted bigrams, the mass that each context frees, and the words after it."""
 
     words: dict[bytes, int]
     keys: list[np.ndarray]
     gains: list[np.ndarray]
+    freed: list[np.ndarray]
     totals: list[np.ndarray]
     singles: list[np.ndarray]
     calibration: np.ndarray
@@ -51,11 +55,11 @@ class Model:
         """log10 P(word | word before, toxic) / P(word | word before, ordinary)."""
         wanted = before * np.int64(len(self.words) + 2) + ids
         logs = []
-        for keys, gains, totals, singles in zip(self.keys, self.gains, self.totals, self.singles, strict=True):
+        for keys, gains, freed, totals, singles in zip(self.keys, self.gains, self.freed, self.totals, self.singles, strict=True):
             at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
             gain = np.where(keys[at] == wanted, gains[at], 0.0) if len(keys) else np.zeros(len(ids))
-            logs.append(np.log10((gain + singles[ids]) / totals[before]))
-        return np.where(ids > 0, logs[1] - logs[0], 0.0)  # an unknown word says nothing
+            logs.append(np.log10((gain + freed[before] * singles[ids]) / totals[before]))
+        return np.where(ids > 0, logs[1] - logs[0], 0.0)  # no text of either class has the word
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -78,36 +82,38 @@ def _numbers(texts: list[list[bytes]], words: dict[bytes, int]) -> tuple[np.ndar
 def count(examples: list[tuple[int, list[bytes]]], discount: float) -> Model:
     """Both models, without calibration.
 
-    An expression counts once per text. Discounts, backoff and prior mass of a class are in proportion to its
-    share of all counts, so an expression that neither class has counted is equally likely in both.
+    An expression counts once per text. In each context the probabilities of all words, the unknown and the mark of
+    a start included, sum to one.
     """
-    often = Counter(w for _, t in examples for w in set(t))
-    words = {w: k + 1 for k, w in enumerate(sorted(w for w, n in often.items() if n >= RARE))}
+    words = {w: k + 1 for k, w in enumerate(sorted({w for _, t in examples for w in t}))}
     base = len(words) + 2
-    keys, counts = [], []
+    counted = []
     for label in (0, 1):
         texts = [t for y, t in examples if y == label]
         ids, before, sizes = _numbers(texts, words)
+        # Pairs by number first: with the text they would not fit 64 bits.
+        key, pair = np.unique(before * np.int64(base) + ids, return_inverse=True)
         text = np.repeat(np.arange(len(texts)), sizes)
-        pairs = np.unique(text * np.int64(base) ** 2 + before * np.int64(base) + ids) % base**2
-        key, n = np.unique(pairs, return_counts=True)
-        keys.append((key, n))
-        counts.append(np.bincount(np.unique(text * np.int64(base) + ids) % base, minlength=base).astype(float))
-    shares = np.array([n.sum() for n in counts]) / max(1, sum(n.sum() for n in counts))
-    shared = sum(counts) + PRIOR
-    model = Model(words, [], [], [], [], np.zeros(3))
-    for share, n, (key, pairs) in zip(shares, counts, keys, strict=True):
-        # Relative to the shared backoff: 1 where the class says no more than both together.
-        single = (np.maximum(n - discount * share, 0) / share + PRIOR) / shared
+        n = np.bincount(np.unique(text * np.int64(max(1, len(key))) + pair) % max(1, len(key)), minlength=len(key)).astype(float)
+        single = np.bincount(np.unique(text * np.int64(base) + ids) % base, minlength=base).astype(float)
+        counted.append((key, n, single))
+    contexts = np.bincount(np.unique(np.concatenate([key for key, _, _ in counted])) % base, minlength=base).astype(float)
+    strength = SHARED * (contexts.sum() + FLAT * base)
+    shared = (contexts + FLAT) / (contexts.sum() + FLAT * base)
+    shares = np.array([single.sum() for _, _, single in counted]) / max(1, sum(single.sum() for _, _, single in counted))
+    model = Model(words, [], [], [], [], [], np.zeros(3))
+    for share, (key, n, single) in zip(shares, counted, strict=True):
+        own, more = discount * share, max(strength * share, 1e-9)
         model.keys.append(key)
-        model.gains.append(np.maximum(pairs - discount * share, 0))
-        model.singles.append(share * PRIOR * single)
-        model.totals.append(np.bincount(key // base, pairs, base) + share * 5 * PRIOR)
+        model.gains.append(np.maximum(n - own, 0))
+        model.freed.append(np.bincount(key // base, np.minimum(n, own), base) + more)
+        model.totals.append(np.bincount(key // base, n, base) + more)
+        model.singles.append((np.maximum(single - own, 0) + (np.minimum(single, own).sum() + more) * shared) / (single.sum() + more))
     return model
 
 
 def measures(model: Model, texts: list[list[bytes]]) -> np.ndarray:
-    """For each text: mean ratio, and mean ratio of its most toxic stretch of STRETCH words; 0 without words."""
+    """For each text: mean ratio, and the highest sum over a stretch divided by the root of its words; 0 without words."""
     ids, before, sizes = _numbers(texts, model.words)
     out = np.zeros((len(texts), 2))
     if not len(ids):
@@ -117,8 +123,9 @@ def measures(model: Model, texts: list[list[bytes]]) -> np.ndarray:
     starts = ends - sizes
     out[:, 0] = (sums[ends] - sums[starts]) / np.maximum(sizes, 1)
     text_end = np.repeat(ends, sizes)
-    stop = np.minimum(np.arange(len(ids)) + STRETCH, text_end)
-    stretch = (sums[stop] - sums[:-1]) / STRETCH
+    at, text_end = np.arange(len(ids)), np.repeat(ends, sizes)
+    # Over the root of its words, as the chance ratios of a stretch vary: so words that are each a little toxic add up.
+    stretch = np.max([(sums[np.minimum(at + n, text_end)] - sums[:-1]) / np.sqrt(np.minimum(n, text_end - at)) for n in range(1, STRETCH + 1)], axis=0)
     some = sizes > 0
     out[some, 1] = np.maximum.reduceat(stretch, starts[some])
     return out

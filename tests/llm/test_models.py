@@ -92,6 +92,22 @@ def test_words_are_read_to_their_end_and_unspaced_texts_letter_by_letter():
         assert scores[0] > 0.8 and scores[1] < 0.2
 
 
+def test_rare_words_back_off_to_shared_contexts():
+    texts = [(k % 2, kneser_ney.tokens(f"some common words{' slur' if k in (1, 3, 5) else ''} end".encode())) for k in range(60)]
+    texts += [(0, [b"San", b"Francisco"])] * 5 + [(0, [w, b"often"]) for w in (b"a", b"b", b"c", b"d", b"e")]
+    model = kneser_ney.count(texts, 0.75)
+    # Three texts are enough to say something.
+    assert kneser_ney.measures(model, [kneser_ney.tokens(b"some slur end")])[0, 1] > 0.15
+    # As many texts, but more contexts.
+    assert all(s[model.words[b"often"]] > s[model.words[b"Francisco"]] for s in model.singles)
+    base = len(model.words) + 2
+    for keys, gains, freed, totals, singles in zip(model.keys, model.gains, model.freed, model.totals, model.singles, strict=True):
+        assert (np.bincount(keys // base, gains, base) + freed * singles.sum()) / totals == pytest.approx(np.ones(base))
+    # Words that are each a little toxic add up.
+    alone, together = kneser_ney.measures(model, [[b"slur"], [b"slur", b"slur"]])[:, 1]
+    assert together > alone * 1.2
+
+
 def test_recurrent_gradients():
     rng = np.random.default_rng(0)
     n = 64
