@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,26 +33,42 @@ from tallyproof.llm.superkmers import (
     SENT,
     SPANS,
     Outbox,
+    heavy_keys,
+    keyed_strings,
+    level_keys,
     mixed,
     received,
     runs_of,
     sliding_min,
     span_frame,
-    strings_of,
     text_parts,
 )
 
 GRAIN = 16  # bytes of a minimiser
+ALL, EQUAL = 1, 3  # the low byte of a tag: to be compared with all of its minimiser; one window, of which only equal strings are repeats
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * MULTIPLIERS[0])
 
 
 def byte_grams(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAIN bytes from every place on, by doubling."""
-    h, have = BYTES[data], 1
-    while have < GRAIN:
-        h = h[:-have] * MULTIPLIERS[have] + h[have:] if len(h) > have else h[:0]
-        have *= 2
-    return mixed(h)
+    """A hash of the GRAIN bytes from every place on."""
+    return grams_by_length(data, [GRAIN])[0]
+
+
+def grams_by_length(data: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    """A hash of the bytes from every place on, for each of some lengths in order, by doubling."""
+    h, have, out = BYTES[data], 1, []
+    for length in lengths:
+        while have * 2 <= length:
+            h = h[:-have] * MULTIPLIERS[have] + h[have:] if len(h) > have else h[:0]
+            have *= 2
+        more = length - have  # the rest by two that overlap
+        out.append(mixed(h if not more else h[:-more] * MULTIPLIERS[have - 1] + h[more:] if len(h) > more else h[:0]))
+    return out
+
+
+def levels(length: int) -> list[int]:
+    """Bytes of the minimisers of each level, up to whole windows."""
+    return sorted({GRAIN, 64 if length > 64 else 32, length})
 
 
 def anchors(grams: np.ndarray, starts: np.ndarray, windows: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,31 +100,53 @@ def may_share(strings: list[bytes], anchor: list[int], length: int) -> np.ndarra
     return out
 
 
-def _send(length: int, buckets: int):
+def _grams(length: int) -> Callable:
+    def grams_at(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        return grams_by_length(np.frombuffer(b"".join(texts), np.uint8), levels(length)), np.cumsum([len(t) for t in texts])
+
+    return grams_at
+
+
+def _send(length: int, buckets: int, heavy: list[np.ndarray]):
+    grains = levels(length)
+    spans = [length - g + 1 for g in grains]
+    top = max([k + 1 for k, x in enumerate(heavy) if len(x)], default=0)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, out = {}, Outbox(buckets, b"", level=6)
         for batch in sliced(batches, 1200):
             for ids, keys, texts in text_parts(batch):
                 data = b"".join(texts)
                 ends = np.cumsum([len(t) for t in texts])
-                grams = byte_grams(np.frombuffer(data, np.uint8))
-                starts, windows, low = strings_of(grams, ends, length, GRAIN)
+                grams = grams_by_length(np.frombuffer(data, np.uint8), grains[: top + 1])
+                key, level = level_keys(grams, spans, heavy[:top])
+                starts, windows, low = keyed_strings(key, ends, length)
                 if not len(starts):
                     continue
-                anchor, multi = anchors(grams, starts, windows, low, length)
-                tags = (low >> np.uint64(40)).astype(np.uint32) << np.uint32(8) | (anchor << 1 | multi).astype(np.uint32)
+                tags = (low >> np.uint64(40)).astype(np.uint32) << np.uint32(8) | np.uint32(ALL)
+                depth = level[starts]
+                plain = depth == 0
+                anchor, multi = anchors(grams[0], starts[plain], windows[plain], low[plain], length)
+                tags[plain] += (np.where(multi, ALL, anchor << 1) - ALL).astype(np.uint32)
+                whole = depth == len(grains) - 1
+                tags[whole] |= np.uint32(EQUAL)
                 owner = np.searchsorted(ends, starts, side="right")
                 first = np.concatenate([[0], ends])[owner]
                 of = low % np.uint64(buckets)
-                for s, w, b, k, f, t in zip(starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), tags.tolist(), strict=True):
+                for s, w, b, k, f, t, e in zip(
+                    starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), tags.tolist(), whole.tolist(), strict=True
+                ):
                     packed, place = data[s : s + w + length - 1], (ids[k], keys[k], s - f)
+                    if e and w > 1 and packed.count(packed[:1]) == len(packed):  # one window again and again
+                        out.repeats(*place[:2], place[2] + 1, w - 1)
+                        packed, w = packed[:length], 1
                     if seen.get(packed, place) < place:
                         out.repeats(*place, w)
                         continue
                     if len(seen) > CACHED:
                         seen.clear()
                     seen[packed] = place
-                    out.send(b, *place, w, t, packed)
+                    out.send(b, *place, w, t if not e or w == 1 else t & ~EQUAL | ALL, packed)
                 if out.full():
                     yield out.flush()
         if out.queue or out.known:
@@ -226,13 +264,14 @@ def _merge(length: int, block: int, shard_bytes: int, chunk_bytes: int):
         out.append(tuple(x[n][earlier] for n in ("docs", "keys", "starts", "windows")))
         tags = x["tags"][alone]
         _, inverse, shared = np.unique(tags >> 8, return_inverse=True, return_counts=True)
-        multi = tags & 1 == 1
+        whole = tags & 255 == EQUAL
+        multi = (tags & 1 == 1) & ~whole
         _, mixed_in = np.unique(np.concatenate([np.arange(len(shared)), inverse[multi]]), return_counts=True)
-        kin = np.flatnonzero((shared[inverse] > 1) & (mixed_in[inverse] == 1))
+        kin = np.flatnonzero((shared[inverse] > 1) & (mixed_in[inverse] == 1) & ~whole)
         own = [alone[i] for i in kin.tolist()]
         close = may_share([data[ends[i] - sizes[i] : ends[i]] for i in own], ((tags[kin] >> 1) & 127).tolist(), length)
         # With a minimiser that some run holds twice, all of its runs are compared.
-        wanted = np.concatenate([kin[close], np.flatnonzero(mixed_in[inverse] > 1)])
+        wanted = np.concatenate([kin[close], np.flatnonzero((mixed_in[inverse] > 1) & ~whole)])
         wanted = wanted[np.argsort(inverse[wanted], kind="stable")]
         total = np.cumsum(sizes[np.array(alone)[wanted]]) if len(wanted) else wanted
         new = np.flatnonzero(np.diff(inverse[wanted], prepend=-1))
@@ -259,13 +298,16 @@ def repeated_bytes(docs: DataFrame, length: int = 100, block: int = 10, bucket_b
 
     Earlier: in a smaller doc_id, or in the same document further ahead. ``length`` is a multiple of ``block``.
     ``text_key`` is ``hash(text)``; different texts under one doc_id are documents in the order of
-    that key. Rows with a NULL id or text have no places.
+    that key. Rows with a NULL id or text have no places. Windows of a minimiser that fills a bucket are dealt by a
+    longer one, and where that does too, by a hash of all their bytes.
     """
     if length % block or not 2 * GRAIN <= length <= 127 + GRAIN:
         raise ValueError(f"length must be a multiple of {block}, from {2 * GRAIN} to {127 + GRAIN}")
     rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
-    buckets = pieces(text_bytes(docs), bucket_bytes)
-    sent = rows.mapInArrow(tidied(_send(length, buckets)), SENT)
+    total = text_bytes(docs)
+    buckets = pieces(total, bucket_bytes)
+    heavy = heavy_keys(rows, total, _grams(length), [length - g + 1 for g in levels(length)], length, bucket_bytes)
+    sent = rows.mapInArrow(tidied(_send(length, buckets, heavy)), SENT)
     return sent.groupBy("bucket").applyInPandas(tidied_group(_merge(length, block, shard_bytes, 1 << 20)), SPANS)
 
 

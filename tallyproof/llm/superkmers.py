@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -29,6 +29,8 @@ NUMBERS = {"docs": np.int64, "keys": np.int32, "starts": np.int32, "windows": np
 SENT = "bucket int, " + ", ".join(f"{n} binary" for n in NUMBERS) + ", packed binary"
 SPANS = "doc_id long, text_key int, start int, windows int"
 FLUSH, CACHED = 120_000, 250_000  # strings held before they are sent; entries of a task's caches
+WORD = 6  # bytes of a word and the space after it, about
+SURVEYED = 64 << 20  # bytes of text of which all are read to find hot keys
 MULTIPLIERS = np.random.default_rng(13).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -79,11 +81,83 @@ def strings_of(grams: np.ndarray, ends: np.ndarray, width: int, grain: int) -> t
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
-    low = sliding_min(grams, width - grain + 1)
+    return keyed_strings(sliding_min(grams, width - grain + 1)[:n], ends, width)
+
+
+def level_keys(grams: list[np.ndarray], spans: list[int], heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The key of the window at each place, and its level: the minimum over ``spans[0]`` of its ``grams[0]``, unless that is among
+    ``heavy[0]``; then the next level's, and so on. The last level has no heavy keys."""
+    n = max(0, len(grams[0]) - spans[0] + 1)
+    level = np.zeros(n, np.int8)
+    if not n:
+        return np.zeros(0, np.uint64), level
+    key = sliding_min(grams[0], spans[0])[:n]
+    open_ = np.arange(n)
+    for k, known in enumerate(heavy):
+        at = np.searchsorted(known, key[open_])
+        open_ = open_[known[np.minimum(at, len(known) - 1)] == key[open_]] if len(known) else open_[:0]
+        if not len(open_):
+            break
+        key[open_] = sliding_min(grams[k + 1], spans[k + 1])[open_]
+        level[open_] = k + 1
+    return key, level
+
+
+def keyed_strings(key: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of windows and key of each run of windows that share a key, in documents that end at ``ends``."""
+    n = len(key)
     last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))[:n]
     at = np.flatnonzero(np.arange(n) + width <= last)
-    first, windows = runs_of(low[at], at)
-    return at[first], windows, low[at[first]]
+    first, windows = runs_of(key[at], at)
+    return at[first], windows, key[at[first]]
+
+
+def _tally(grams_at: Callable, spans: list[int], width: int):
+    """(level, key, n): different windows by key on every level but the last; a key comes once per task."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in spans[:-1]]
+
+        def merged(parts: list) -> list:
+            value, inverse = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+            return [(value, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(value)))]
+
+        for batch in sliced(batches):
+            for _, _, texts in text_parts(batch):
+                grams, ends = grams_at(texts)
+                windows = grams[-1]
+                last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(windows)]
+                own = np.flatnonzero(np.arange(len(windows)) + width <= last)
+                own = own[np.unique(windows[own], return_index=True)[1]]  # copies are not sent again
+                if not len(own):
+                    continue
+                for k, span in enumerate(spans[:-1]):
+                    value, n = np.unique(sliding_min(grams[k], span)[own], return_counts=True)
+                    held[k].append((value, n.astype(float)))
+                    if len(held[k]) > 8:
+                        held[k] = merged(held[k])
+        for k, parts in enumerate(held):
+            if parts:
+                [(value, n)] = merged(parts)
+                rows = [np.full(len(value), k, np.int32), value.view(np.int64), n.astype(np.int64)]
+                for i in range(0, len(value), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in rows], ["level", "key", "n"])
+
+    return tally
+
+
+def heavy_keys(rows: DataFrame, total: int, grams_at: Callable, spans: list[int], width: int, most: int) -> list[np.ndarray]:
+    """The keys of each level but the last that more than ``most`` windows share, copies that are read together apart.
+
+    They only say where windows go, so any choice leaves the result exact; so those of large inputs are found on a
+    sixteenth of the documents, where a key of ``most`` windows still has thousands.
+    """
+    part = 16 if total > SURVEYED else 1
+    some = rows.where(f"pmod(xxhash64(doc_id, text_key, 5), {part}) = 0") if part > 1 else rows
+    counted = some.mapInArrow(tidied(_tally(grams_at, spans, width)), "level int, key long, n long")
+    found = counted.groupBy("level", "key").agg(F.sum("n").alias("n")).where(F.col("n") > max(1, most // part)).select("level", "key").toArrow()
+    level, key = found["level"].to_numpy(), found["key"].to_numpy().view(np.uint64)
+    return [np.sort(key[level == k]) for k in range(len(spans) - 1)]
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -154,18 +228,37 @@ def span_frame(parts: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({n: np.concatenate([np.asarray(x[i]) for x in parts]) for i, n in enumerate(("doc_id", "text_key", "start", "windows"))})
 
 
-def _send(width: int, grain: int, buckets: int):
+def _read(texts: list[bytes], hashes: _Hashes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """All words of some texts, where each text ends among them, and their hashes."""
+    flat: list[bytes] = []
+    ends = np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        flat += text.split()
+        ends[k] = len(flat)
+    return flat, ends, np.fromiter(map(hashes.__getitem__, flat), np.uint64, len(flat))
+
+
+def _grams(grains: list[int]) -> Callable:
+    hashes = _Hashes()
+
+    def grams_at(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        _, ends, values = _read(texts, hashes)
+        return [grams_of(values, g) for g in grains], ends
+
+    return grams_at
+
+
+def _send(width: int, grains: list[int], buckets: int, heavy: list[np.ndarray]):
+    spans = [width - g + 1 for g in grains]
+    last = max([k + 1 for k, x in enumerate(heavy) if len(x)], default=0)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, out = _Hashes(), {}, Outbox(buckets, b" ")
         for batch in sliced(batches):
             for ids, keys, texts in text_parts(batch):
-                flat: list[bytes] = []
-                ends = np.zeros(len(ids), np.int64)
-                for k, text in enumerate(texts):
-                    flat += text.split()
-                    ends[k] = len(flat)
-                values = np.fromiter(map(hashes.__getitem__, flat), np.uint64, len(flat))
-                starts, windows, low = strings_of(grams_of(values, grain), ends, width, grain)
+                flat, ends, values = _read(texts, hashes)
+                key, _ = level_keys([grams_of(values, g) for g in grains[: last + 1]], spans, heavy[:last])
+                starts, windows, low = keyed_strings(key, ends, width)
                 owner = np.searchsorted(ends, starts, side="right")
                 first = np.concatenate([[0], ends])[owner]
                 of = low % np.uint64(buckets)
@@ -262,11 +355,15 @@ def repeated_windows(docs: DataFrame, width: int = 13, grain: int = 2, bucket_by
     """(doc_id, text_key, start, windows): runs of windows that also start in a document with a smaller id.
 
     ``text_key`` is ``hash(text)`` and tells rows that share a doc_id apart. Rows with a NULL id or text
-    have no windows. Bucket count follows the bytes of text.
+    have no windows. Bucket count follows the bytes of text. Windows of a minimiser that fills a bucket are dealt
+    by a longer one, and where that does too, by a hash of all their words.
     """
     rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
-    buckets = pieces(text_bytes(docs), bucket_bytes)
-    sent = rows.mapInArrow(tidied(_send(width, grain, buckets)), SENT)
+    total = text_bytes(docs)
+    buckets = pieces(total, bucket_bytes)
+    grains = sorted({min(grain, width), (grain + width) // 2, width})
+    heavy = heavy_keys(rows, total, _grams(grains), [width - g + 1 for g in grains], width, bucket_bytes // WORD)
+    sent = rows.mapInArrow(tidied(_send(width, grains, buckets, heavy)), SENT)
     return sent.groupBy("bucket").applyInPandas(tidied_group(_count(width)), SPANS)
 
 

@@ -64,6 +64,45 @@ def test_many_short_windows(spark, prose):
     assert collected(superkmers.remove_repeats(df, width=4), "doc_id", "n_words", "n_removed", "kept_sha256") == words_kept(rows, 4)
 
 
+@pytest.mark.parametrize("bucket", [60, 600, 6000])
+def test_hot_minimisers_are_split(spark, prose, bucket):
+    """The same pair of words, and the same run of bytes, in ever different contexts."""
+    rows = [(k, f"{prose(k % 9, 12 + k % 5, 50)} of the {prose(k, 9)} of the {prose(k + 1, 9)}{' ' * (k % 150)}{'-' * (k % 160)} {prose(k % 11, 20)}") for k in range(150)]
+    rows += [(150, "- " * 60), (151, "- " * 90), (152, "-" * 400), (152, "-" * 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    words = superkmers.repeated_windows(df, 13, bucket_bytes=bucket).collect()
+    got = {(r["doc_id"], s) for r in words for s in range(r["start"], r["start"] + r["windows"])}
+    first, want = {}, set()
+    for doc, text in rows:
+        w = text.split()
+        want |= {(doc, i) for i in range(len(w) - 12) if first.setdefault(tuple(w[i : i + 13]), doc) < doc}
+    assert got == want
+    found = merged_bwt.repeated_bytes(df, 50, bucket_bytes=bucket)
+    keys = {r["text"]: r["k"] for r in df.selectExpr("text", "hash(text) k").collect()}
+    got = {(r["doc_id"], r["text_key"], s) for r in found.collect() for s in range(r["start"], r["start"] + r["windows"])}
+    seen, want = set(), set()
+    for doc, key, text in sorted((d, keys[t], t) for d, t in rows):
+        for i in range(len(text) - 49):
+            if text[i : i + 50] in seen:
+                want.add((doc, key, i))
+            seen.add(text[i : i + 50])
+    assert got == want
+
+
+def test_no_bucket_holds_a_hot_pair():
+    rng = np.random.default_rng(3)
+    texts = [b" ".join(b"w%d" % x if k % 4 else b"of the" for k, x in enumerate(rng.integers(0, 10**6, 200))) for _ in range(300)]
+    grains = [2, 7, 13]
+    grams, ends = superkmers._grams(grains)(texts)
+    spans = [12, 7, 1]
+    plain, _ = superkmers.level_keys(grams, spans, [])
+    value, n = np.unique(plain, return_counts=True)
+    heavy = [np.sort(value[n > 500]), np.zeros(0, np.uint64)]
+    assert n.max() > 2000  # all in one bucket
+    split, _ = superkmers.level_keys(grams, spans, heavy)
+    assert np.unique(split, return_counts=True)[1].max() <= 500
+
+
 def test_hash_collisions_do_not_matter(monkeypatch):
     monkeypatch.setattr(superkmers, "mixed", lambda x: x * np.uint64(0))
     ids = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3])
