@@ -18,23 +18,56 @@ from tallyproof.llm.phrase_index import words_of
 
 SHINGLE, WINDOW, STRIDE, BANDS = 5, 8, 4, 24
 
-# Public license notices, as their authors publish them.
+# Fixed values. A license is named by words that no other license listed has: as ``least`` is below 1, a template that
+# tells versions or relatives apart is so short that another version's or name's words leave too few of its shingles.
+# GPL and BSD without a number are notices that several versions share.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("GPL-3.0", "GNU General Public License, version 3"),
+    ("GPL", "under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "terms of the Mozilla Public License, v. 2.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Proprietary", "All rights reserved. No part of this work may be reproduced without written permission."),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL-2.0", "GNU General Public License v2"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License"),
+    ("GPL-3.0", "GNU General Public License v3"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, version 3 of the License"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "GNU Lesser General Public License v2.1"),
+    ("LGPL-2.1", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or"),
+    ("LGPL-2.1", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, version 2.1 of the License"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License v3"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, version 3 of the License"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License v3"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3 of the License"),
+    ("BSD-2-Clause", "or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS"),
+    ("BSD-3-Clause", "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSD-4-Clause", "All advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("BSL-1.0", "Boost Software License, Version 1.0"),
+    ("EPL-2.0", "Eclipse Public License v. 2.0"),
+    ("EPL-2.0", "Eclipse Public License v2.0"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0"),
 ]
 
 

@@ -62,6 +62,22 @@ def test_licenses(spark, awkward):
     assert 0.75**license_scan.BANDS < 0.0011
 
 
+def test_versions_and_relatives_are_told_apart(spark):
+    notice = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; {}version {} of the License, or (at your option) any later version."
+    conditions = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce the above copyright notice in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"
+    third = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+    cases = [(notice.format(name, either, v), want) for either in ("", "either ") for name, v, want in (
+        ("", 2, ["GPL", "GPL-2.0"]), ("", 3, ["GPL", "GPL-3.0"]), ("Lesser ", 2.1, ["LGPL-2.1"]), ("Lesser ", 3, ["LGPL-3.0"]), ("Affero ", 3, ["AGPL-3.0"]))]
+    cases += [(conditions.format(""), ["BSD", "BSD-2-Clause"]), (conditions.format(third), ["BSD", "BSD-3-Clause"])]
+    cases += [(f"This work is licensed under the GNU General Public License, version {v}.", [f"GPL-{v}.0"]) for v in (2, 3)]
+    cases += [("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ["LGPL-3.0"]), ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3", ["AGPL-3.0"])]
+    cases += [("This is free and unencumbered software released into the public domain.", ["Unlicense"]), ("Apache License Version 2.0, January 2004", ["Apache-2.0"])]
+    cases += [("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", ["ISC"])]
+    docs = spark.createDataFrame([(k, f"x y z {text} and so on") for k, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan(docs, license_scan.default_templates(spark)).collect()}
+    assert got == {k: want for k, (_, want) in enumerate(cases)}
+
+
 def split(budget, children):
     """{name: (weight, cap)}: fill the child that is full first, again and again."""
     out, left = {}, dict(children)
