@@ -7,6 +7,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,6 +67,33 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 400) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, so that no more become Python objects; a longer text is a batch of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // most
+        cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1) != 0) if len(batch) else []
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            yield batch.slice(i, j - i)
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers, compressed: first all lowest bytes, then all the next, which suits small and slowly changing ones."""
+    return zstandard.ZstdCompressor(level=3).compress(x.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    """What ``pack`` was given."""
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def block_numbers() -> Iterator[int]:
+    """Numbers for the blocks that a task makes, which no other task of the stage uses; at most 2^14 in a task."""
+    first = TaskContext.get().partitionId() << 14
+    return iter(range(first, first + (1 << 14)))
+
+
 def with_fields(schema: StructType, added: str) -> StructType:
     """A schema with more fields, given as DDL."""
     return StructType([*schema.fields, *StructType.fromDDL(added).fields])

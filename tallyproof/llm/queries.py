@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import binary_codes, kneser_ney, language_model, license_scan, merged_bwt, mixing, phrase_index, probminhash, quality_mil, superkmers
-from tallyproof.llm.common import fold, table
+from tallyproof.llm import binary_codes, kneser_ney, language_model, license_scan, merged_bwt, mixing, phrase_index, probminhash, quality_mil, sequence_files, superkmers, token_alignment
+from tallyproof.llm.common import fold, shared_folder, table
 
 
 def op2_superkmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,17 @@ def op10_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, F.expr(DOMAIN), WEIGHTS, budget_share=(3, 5), max_epochs=2, seed=7)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/sequences-{uuid4().hex}"
+    sequence_files.write_sequences(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return sequence_files.read_documents(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_superkmer_repeats": op2_superkmer_repeats,
@@ -79,4 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_bands": op8_license_bands,
     "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
     "op10_hierarchical_mix": op10_hierarchical_mix,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_arrow_sequences": op12_arrow_sequences,
 }
