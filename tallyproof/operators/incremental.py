@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from tallyproof.functions import joined_stamp, null_safe, settle
 
 WATERMARK = "last_loaded"
 MAX_ENVIRONMENTS = 1000
+MAX_RANGES = 64
 
 
 def last_load_ts(stored: DataFrame, date_col: str = "run_date", time_col: str = "run_time") -> DataFrame:
@@ -127,8 +128,8 @@ def scan_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def rescan(fact: DataFrame, keys: DataFrame, partition_column: str | None = None) -> DataFrame:
     """Rows of ``fact`` whose key occurs in ``keys``; a NULL key matches NULL.
 
-    The keys are computed once. If ``partition_column`` is among them, their range of it becomes a literal
-    filter, so that a fact partitioned or sorted by the column is read in that range only. Within it the join selects.
+    The keys are computed once. If ``partition_column`` is among them, their values or ranges of it become a literal
+    filter, so that a fact partitioned or sorted by the column is read there only. Within it the join selects.
     """
     on = list(keys.columns)
     wanted = settle(keys.distinct())
@@ -137,11 +138,39 @@ def rescan(fact: DataFrame, keys: DataFrame, partition_column: str | None = None
     return fact.alias("f").join(wanted.alias("k"), null_safe("f", "k", on), "left_semi").select("f.*")
 
 
-def within_range(keys: DataFrame, column: str) -> Column:
-    """Whether ``column`` lies in the range of settled ``keys``, or is NULL as one of them is."""
-    low, high = (_fixed(keys.agg(f(column).alias("v"))) for f in (F.min, F.max))
+def within_range(keys: DataFrame, column: str, most: int = MAX_RANGES) -> Column:
+    """Whether ``column`` lies in one of up to ``most`` ranges that hold all values of settled ``keys``, or is NULL as one of them is.
+
+    Few values are listed one by one. Of more, neighbours are joined to ranges that end at the widest gaps between them, so that
+    scattered dates do not open what lies between; values without a distance have one range. Ranges always hold every key, so what
+    they let through is only ever too much, and the join after them selects.
+    """
+    dtype = keys.schema[column].dataType
     absent = F.col(column).isNull() if keys.where(F.col(column).isNull()).limit(1).count() else F.lit(False)
-    return absent if low is None else F.col(column).between(low, high) | absent
+    values = keys.select(F.col(column).alias("v")).where("v is not null").distinct()
+    listed = [r[0] for r in values.select(_portable(F.col("v"), dtype)).limit(most + 1).collect()]
+    if not listed:
+        return absent
+    if len(listed) <= most:
+        return reduce(or_, [F.col(column) == _literal(v, dtype) for v in sorted(listed)], absent)
+    low, high = (_fixed(values.agg(f("v").alias("v"))) for f in (F.min, F.max))
+    distance = _distance(dtype)
+    if distance is None:
+        return F.col(column).between(low, high) | absent
+    # One row for each partition of the fact at most: few enough for one ordered pass.
+    gaps = values.select("v", F.lag("v").over(Window.orderBy("v")).alias("before")).where("before is not null")
+    widest = gaps.orderBy(distance.desc(), "v").limit(most - 1).select(_portable(F.col("before"), dtype).alias("a"), _portable(F.col("v"), dtype).alias("b")).collect()
+    edges = [low, *(x for r in sorted(widest, key=lambda r: r["b"]) for x in (_literal(r["a"], dtype), _literal(r["b"], dtype))), high]
+    return reduce(or_, [F.col(column).between(i, j) for i, j in zip(edges[::2], edges[1::2], strict=True)], absent)
+
+
+def _distance(dtype: T.DataType) -> Column | None:
+    """How far ``v`` is from ``before``, for types that have distances."""
+    if isinstance(dtype, T.DateType):
+        return F.date_diff("v", "before")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros("v") - F.unix_micros("before")
+    return F.col("v") - F.col("before") if isinstance(dtype, T.NumericType) else None
 
 
 def replaced(stored: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.functions import null_safe, settle
 from tallyproof.operators import history, incremental
 from tallyproof.operators.quality import DATE, dq_result, on_date
 from tallyproof.sources import (
@@ -18,9 +17,10 @@ from tallyproof.sources import (
     back_up,
     compact,
     full_refresh,
-    overwrite_table_partitions,
+    partition_columns,
     read_csv,
     rewrite_partitions,
+    rewrite_table_partitions,
     write_csv,
 )
 
@@ -60,7 +60,8 @@ def run_breaks(
     )
     stored = spark.table(result)
     if history.ACTIVE in stored.columns:
-        overwrite_table_partitions(settle(history.supersede(on_date(stored, day), checked, [DATE])), result)
+        touched = spark.createDataFrame([(day,)], f"{DATE} int").select(F.col(DATE).cast(stored.schema[DATE].dataType))
+        rewrite_table_partitions(spark, result, touched, lambda part: history.supersede(part, checked, [DATE]))
     else:
         append_by_name(checked, result)
     return True
@@ -85,10 +86,27 @@ def load_history(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     return full_refresh(df, root, partition_by)
 
 
-def load_day(spark: SparkSession, path: str, day: DataFrame, partition_by: Sequence[str]) -> None:
-    """Daily load: what the touched partitions hold plus the day's rows as active ones, written back to those partitions."""
-    rows = day.withColumn(history.ACTIVE, F.lit("Y"))
-    rewrite_partitions(spark, path, partition_by, rows.select(*partition_by), lambda table: history.bau_union(table, day))
+def load_day(spark: SparkSession, path: str, day: DataFrame, partition_by: Sequence[str], batch: str | None = None) -> None:
+    """Daily load: what the touched partitions hold plus the day's rows as active ones, written back to those partitions.
+
+    With a ``batch``, rows carry it as ``batch_id`` and the load can be repeated: what the batch loaded before is replaced, wherever
+    it was, and other batches of the day stay. A load that died on its way is finished by the next one. Without a
+    batch, a second run adds the rows once more.
+    """
+    if batch is None:
+        rows = day.withColumn(history.ACTIVE, F.lit("Y"))
+        rewrite_partitions(spark, path, partition_by, rows.select(*partition_by), lambda table: history.bau_union(table, day))
+        return
+    if history.BATCH in partition_by:
+        raise ValueError("batches must share partitions with others")
+    own = day.withColumn(history.BATCH, F.lit(batch))
+    rows = own.withColumn(history.ACTIVE, F.lit("Y"))
+    # Rows may all be gone from a repeated batch, so that they cannot tell which batch is replaced.
+    rewrite_partitions(
+        spark, path, partition_by, rows.select(*partition_by),
+        lambda table: history.bau_union(table.where(~F.col(history.BATCH).eqNullSafe(F.lit(batch))), own),
+        schema=rows.schema, batch=batch,
+    )
 
 
 def split_table(df: DataFrame, keys: Sequence[str], actual_root: str, amend_root: str) -> tuple[int, int]:
@@ -124,26 +142,20 @@ def run_incremental(
 
     Each environment has its own watermark; ``only`` processes a single one. The touched slices (an environment's rows of a
     key) are scanned whole and take the place of what the target has of them, so that a cycle can be repeated. The target
-    is partitioned by ``keys[0]``, and only touched partitions are written; one that is left without rows is dropped.
+    is partitioned by ``keys[0]``, and only touched partitions are written; one that is left without rows is dropped. Partitions are
+    written aside, checked and then switched; a cycle that died on its way is finished by the next one, and one that another writer
+    crossed stops.
     """
     looked_up, loaded, facts = spark.table(lookup), spark.table(target), spark.table(fact)
-    by = keys[0]
-    if by not in [c.name for c in spark.catalog.listColumns(target) if c.isPartition]:
-        raise ValueError(f"{target} is not partitioned by {by}")
-    stored = loaded
+    columns = loaded.columns
+    if keys[0] not in partition_columns(spark, target):
+        raise ValueError(f"{target} is not partitioned by {keys[0]}")
     if only is not None:
         looked_up, loaded, facts = (df.where(F.col(environment) == only) for df in (looked_up, loaded, facts))
     rows, slices = incremental.cycle(looked_up, facts, loaded, created_ts, environment, keys)
     if slices.isEmpty():
         return
-    days = slices.select(by).distinct()
-    part = stored.where(incremental.within_range(slices, by)).alias("t").join(days.alias("d"), null_safe("t", "d", [by]), "left_semi").select("t.*")
-    new = settle(incremental.replaced(part, rows.select(*stored.columns), slices))
-    gone = part.select(by).distinct().exceptAll(new.select(by).distinct()).where(F.col(by).isNotNull())
-    emptied = [r[0] for r in gone.collect()]
-    overwrite_table_partitions(new, target)
-    for value in emptied:
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({by} = '{value}')")
+    rewrite_table_partitions(spark, target, slices.select(keys[0]), lambda part: incremental.replaced(part, rows.select(*columns), slices))
 
 
 def filter_csv(spark: SparkSession, source: str, target: str, column: str, above: float, schema=None) -> None:

@@ -262,6 +262,16 @@ def scd2_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of finished orders, each good for 30 days, after runs of any date: open ones, and some that are limited to 60 days."""
+    rows = supplied.effective_rows(spark, sf_dir)
+    finished = F.col("o_orderstatus") == "F"
+    by = (["o_custkey"], ["run_time", "o_orderkey"])
+    stored = history.scd2_split(rows.where("false"), rows.where(finished), *by)
+    limited = F.when(F.col("o_orderstatus") == "P", F.date_add("effective_from", 60))
+    return history.scd2_split(stored, rows.where(~finished).withColumn("effective_to", limited), *by)
+
+
 def latest_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = supplied.effective_rows(spark, sf_dir)
     return history.latest_active(rows, ["o_custkey"], ["run_time", "o_orderkey"])
@@ -292,6 +302,14 @@ def bau_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.bau_union(runs.where(done).withColumn("active_flag", F.lit("N")), runs.where(~done))
 
 
+def daily_load_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table loaded by batches, after new batches and a repeated one that lost half of its rows."""
+    runs = supplied.runs(spark, sf_dir).withColumn("batch_id", F.concat_ws("-", "o_orderstatus", "period"))
+    stored = runs.where("o_orderstatus <> 'P'").withColumn("active_flag", F.lit("N"))
+    again = runs.where("o_orderstatus = 'P' OR (o_orderstatus = 'F' AND period = 1996 AND o_custkey % 2 = 0)")
+    return history.replace_batches(stored, again)
+
+
 def table_copy_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem, with some lines twice, against a copy that lost the tax of some suppliers and has some lines three times."""
     lines = supplied.table(spark, sf_dir, "lineitem")
@@ -339,8 +357,8 @@ QUERIES: dict[str, Query] = {
         cob_status_history, last_load_ts, incremental_rows, version_assign, high_watermark_per_env,
         lookup_delta, incremental_scan_keys, incremental_rescan, incremental_cycle, kpi_theme_filter, recon_counts,
         recon_status_view, recon_result, recon_counters, status_domain_violations,
-        cluster_domain_violations, update_date_on_change, active_flag_supersede, scd2_close,
-        latest_active, latest_run, latest_execution, split_actual_amend, bau_union, table_copy_compare,
+        cluster_domain_violations, update_date_on_change, active_flag_supersede, scd2_close, scd2_late,
+        latest_active, latest_run, latest_execution, split_actual_amend, bau_union, daily_load_rerun, table_copy_compare,
         schema_contract_violations, scalar_lpad,
     )
 }

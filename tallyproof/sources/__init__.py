@@ -1,4 +1,7 @@
+from tallyproof.sources.changes import finish_changes, rewrite_partitions
+from tallyproof.sources.compaction import compact_partitions
 from tallyproof.sources.external import read_csv, read_jdbc, write_csv, write_jdbc
+from tallyproof.sources.switching import finish_switches, partition_columns, rewrite_table_partitions
 from tallyproof.sources.tables import (
     add_columns,
     append_by_name,
@@ -6,7 +9,6 @@ from tallyproof.sources.tables import (
     overwrite_partitions,
     overwrite_table_partitions,
     reload_by_sql,
-    rewrite_partitions,
 )
 from tallyproof.sources.versioned import (
     back_up,
@@ -24,11 +26,15 @@ __all__ = [
     "append_by_name",
     "back_up",
     "compact",
+    "compact_partitions",
     "create_table",
     "current_version",
+    "finish_changes",
+    "finish_switches",
     "full_refresh",
     "overwrite_partitions",
     "overwrite_table_partitions",
+    "partition_columns",
     "publish",
     "read_csv",
     "read_current",
@@ -36,6 +42,7 @@ __all__ = [
     "reload_by_sql",
     "retain_versions",
     "rewrite_partitions",
+    "rewrite_table_partitions",
     "staged_rewrite",
     "write_csv",
     "write_jdbc",

@@ -12,12 +12,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyproof.functions import null_safe, settle
-from tallyproof.operators.history import fingerprint
+from tallyproof.operators.history import Watched
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 _MARKER = "_PUBLISHED"
@@ -122,10 +122,6 @@ def staged_rewrite(
     return publish(changed, root, partition_by, validate, replaces=base)
 
 
-def _matches(expected: Row, columns: Sequence[str]) -> Callable[[DataFrame], bool]:
-    return lambda written: fingerprint(written.select(*columns)).first() == expected
-
-
 def file_sizes(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Number and bytes of Parquet files per partition, by a distributed listing that reads no content."""
     files = (
@@ -176,11 +172,9 @@ def compact(
     slots = settle(file_sizes(spark, directory, partition_by).select(*partition_by, "n_files", "n_bytes", wanted.alias("_slots")))
     if slots.where((F.col("n_files") > 2 * F.col("_slots")) | (F.col("n_bytes") > F.col("n_files") * (2 * target_file_bytes))).isEmpty():
         return base
-    rows = _read(spark, directory)
     files = slots.agg(F.coalesce(F.sum("_slots"), F.lit(1))).first()[0]
-    before = fingerprint(rows).first()
-    packed = _packed(rows, slots.drop("n_files", "n_bytes"), partition_by, files)
-    return publish(packed, root, partition_by, _matches(before, rows.columns), replaces=base)
+    packed = Watched(_packed(_read(spark, directory), slots.drop("n_files", "n_bytes"), partition_by, files))
+    return publish(packed.frame, root, partition_by, packed.agrees, replaces=base)
 
 
 def full_refresh(
@@ -206,8 +200,8 @@ def full_refresh(
 
 def back_up(spark: SparkSession, root: str, backup_root: str, partition_by: Sequence[str] = ()) -> int:
     """Copy the current version to another root and check the copy before publishing it."""
-    table = read_current(spark, root)
-    return publish(table, backup_root, partition_by, _matches(fingerprint(table).first(), table.columns))
+    table = Watched(read_current(spark, root))
+    return publish(table.frame, backup_root, partition_by, table.agrees)
 
 
 def retain_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
