@@ -160,10 +160,51 @@ SELECT doc_id, coalesce(licenses, '') AS licenses, CAST(coalesce(n, 0) AS BIGINT
 """
 )
 
+OP13 = r"""
+WITH split AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM split
+), starts AS (
+  SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM pieces
+), sizes(k) AS (
+  VALUES (1), (2), (3), (4)
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM starts, sizes WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30
+), cuts AS (
+  SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ends AS (
+  SELECT *, unnest(generate_series(1, k)) AS i FROM candidates
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + s.k - 1], ' ') AS phrase, max(a) AS most
+  FROM ends e, sizes s WHERE s.k > 1 AND s.k < e.k AND i + s.k - 1 <= e.k GROUP BY ALL
+), kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_superkmer_repeats": OP2,
     "op6_merged_bwt_repeats": OP6,
     "op7_positional_index": OP7,
     "op8_license_bands": OP8,
     "op10_hierarchical_mix": OP10,
+    "op13_setm_phrases": OP13,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm import binary_codes, kneser_ney, language_model, license_scan, merged_bwt, mixing, phrase_index, probminhash, quality_mil, sequence_files, superkmers, token_alignment
+from tallyproof.llm import binary_codes, kneser_ney, language_model, license_scan, merged_bwt, mixing, phrase_index, phrase_mining, probminhash, quality_mil, sequence_files, superkmers, token_alignment
 from tallyproof.llm.common import fold, shared_folder, table
 
 
@@ -81,6 +81,10 @@ def op12_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.read_documents(spark, folder)
 
 
+def op13_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents").select("lang", "text"), longest=4, least=30, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_superkmer_repeats": op2_superkmer_repeats,
@@ -94,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_hierarchical_mix": op10_hierarchical_mix,
     "op11_token_alignment": op11_token_alignment,
     "op12_arrow_sequences": op12_arrow_sequences,
+    "op13_setm_phrases": op13_setm_phrases,
 }

@@ -24,7 +24,7 @@ def test_equals_sql(spark, data, name):
     assert as_text(got, columns).equals(as_text(want, columns))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_binary_code_links"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_binary_code_links", "op13_setm_phrases"}))
 def test_a_row_for_every_document(spark, data, name):
     folder = data("0.001")
     got = QUERIES[name](spark, folder)
