@@ -14,9 +14,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from tallyproof.llm.common import sliced, tidied, with_fields
+from tallyproof.llm.common import by_bytes, tidied, with_fields
 from tallyproof.llm.labelled import labelled_sample
-from tallyproof.llm.superkmers import text_parts
 
 PASSAGE = 512  # bytes
 WORDS, CLASSES, RATES = 256, 16, 4
@@ -58,7 +57,8 @@ def features(texts: list[bytes], buckets: WordBuckets) -> tuple[np.ndarray, np.n
     offset = np.arange(len(data)) - np.repeat(begins, sizes + 1)
     passage = np.repeat(base, sizes + 1) + np.minimum(offset // PASSAGE, np.repeat(passages, sizes + 1) - 1)
     kind = CHAR_CLASS[data].astype(np.int64)
-    pairs = np.bincount(passage[:-1] * 256 + kind[:-1] * CLASSES + kind[1:], minlength=total * 256).reshape(total, 256)
+    own = np.flatnonzero(offset[1:])  # a separator and the first byte of the next text are no pair
+    pairs = np.bincount(passage[own] * 256 + kind[own] * CLASSES + kind[own + 1], minlength=total * 256).reshape(total, 256)
     solid = kind > 1
     starts = np.flatnonzero(solid & ~np.concatenate([[False], solid[:-1]]))
     words = [w for t in texts for w in t.split()]
@@ -131,18 +131,12 @@ def fit(examples: list[tuple[int, bytes]], hidden: int = 24, gate: int = 12, epo
 def _score(p: dict[str, np.ndarray], threshold: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = WordBuckets()
-        for batch in sliced(batches):
-            scores, attention = [], []
-            empty = pa.nulls(len(batch))
-            texts = pa.RecordBatch.from_arrays([empty, empty, batch.column("text").fill_null("")], ["a", "b", "text"])
-            for _, _, part in text_parts(texts, 1 << 20):
-                x, counts = features(part, buckets)
-                f = _forward(p, x, counts)
-                scores.append(f["score"].astype(np.float64))
-                attention.append(np.maximum.reduceat(f["weight"], f["first"]).astype(np.float64))
-            value = np.concatenate(scores) if scores else np.zeros(0)
+        for batch in by_bytes(batches, "text"):
+            x, counts = features(batch.column("text").fill_null("").cast(pa.binary()).to_pylist(), buckets)
+            f = _forward(p, x, counts)
+            value, attention = f["score"].astype(np.float64), np.maximum.reduceat(f["weight"], f["first"]).astype(np.float64)
             rest = {n: batch.column(n) for n in batch.schema.names}
-            rest |= {"score": pa.array(value), "top_attention": pa.array(np.concatenate(attention) if attention else value), "predicted": pa.array((value >= threshold).astype(np.int32))}
+            rest |= {"score": pa.array(value), "top_attention": pa.array(attention), "predicted": pa.array((value >= threshold).astype(np.int32))}
             yield pa.RecordBatch.from_arrays(list(rest.values()), list(rest))
 
     return score
