@@ -22,26 +22,26 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import pieces, sliced, text_bytes, tidied, tidied_group, with_fields
 from tallyproof.llm.superkmers import (
-    CACHED,
     MULTIPLIERS,
+    PART,
     SENT,
     SPANS,
     Outbox,
+    Seen,
     heavy_keys,
     keyed_strings,
     level_keys,
     mixed,
     received,
     runs_of,
+    segments,
     sliding_min,
     span_frame,
-    text_parts,
 )
 
 GRAIN = 16  # bytes of a minimiser
@@ -107,48 +107,54 @@ def _grams(length: int) -> Callable:
     return grams_at
 
 
-def _send(length: int, buckets: int, heavy: list[np.ndarray]):
+def byte_segments(length: int) -> Callable:
+    """Cuts a long text into pieces that share ``length - 1`` bytes, so that each window is in one: (first byte, piece)."""
+
+    def cut(text: bytes, most: int) -> Iterator[tuple[int, bytes]]:
+        for at in range(0, max(1, len(text) - length + 1), most):
+            yield at, text[at : at + most + length - 1]
+
+    return cut
+
+
+def _send(length: int, buckets: int, parts: int, heavy: list[np.ndarray]):
     grains = levels(length)
     spans = [length - g + 1 for g in grains]
     top = max([k + 1 for k, x in enumerate(heavy) if len(x)], default=0)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, out = {}, Outbox(buckets, b"", level=6)
-        for batch in sliced(batches, 1200):
-            for ids, keys, texts in text_parts(batch):
-                data = b"".join(texts)
-                ends = np.cumsum([len(t) for t in texts])
-                grams = grams_by_length(np.frombuffer(data, np.uint8), grains[: top + 1])
-                key, level = level_keys(grams, spans, heavy[:top])
-                starts, windows, low = keyed_strings(key, ends, length)
-                if not len(starts):
+        seen, out = Seen(), Outbox(buckets, parts, b"", level=6)
+        for ids, keys, begins, texts in segments(batches, byte_segments(length)):
+            data = b"".join(texts)
+            ends = np.cumsum([len(t) for t in texts])
+            grams = grams_by_length(np.frombuffer(data, np.uint8), grains[: top + 1])
+            key, level = level_keys(grams, spans, heavy[:top])
+            starts, windows, low = keyed_strings(key, ends, length)
+            if not len(starts):
+                continue
+            tags = (low >> np.uint64(40)).astype(np.uint32) << np.uint32(8) | np.uint32(ALL)
+            depth = level[starts]
+            plain = depth == 0
+            anchor, multi = anchors(grams[0], starts[plain], windows[plain], low[plain], length)
+            tags[plain] += (np.where(multi, ALL, anchor << 1) - ALL).astype(np.uint32)
+            whole = depth == len(grains) - 1
+            tags[whole] |= np.uint32(EQUAL)
+            del grams, key, level, depth, plain
+            owner = np.searchsorted(ends, starts, side="right")
+            first = (np.concatenate([[0], ends[:-1]]) - np.array(begins))[owner]
+            of = low % np.uint64(buckets)
+            for s, w, b, k, f, t, e in zip(starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), tags.tolist(), whole.tolist(), strict=True):
+                packed, place = data[s : s + w + length - 1], (ids[k], keys[k], s - f)
+                if e and w > 1 and packed.count(packed[:1]) == len(packed):  # one window again and again
+                    out.repeats(*place[:2], place[2] + 1, w - 1)
+                    packed, w = packed[:length], 1
+                if seen.get(packed, place) < place:
+                    out.repeats(*place, w)
                     continue
-                tags = (low >> np.uint64(40)).astype(np.uint32) << np.uint32(8) | np.uint32(ALL)
-                depth = level[starts]
-                plain = depth == 0
-                anchor, multi = anchors(grams[0], starts[plain], windows[plain], low[plain], length)
-                tags[plain] += (np.where(multi, ALL, anchor << 1) - ALL).astype(np.uint32)
-                whole = depth == len(grains) - 1
-                tags[whole] |= np.uint32(EQUAL)
-                owner = np.searchsorted(ends, starts, side="right")
-                first = np.concatenate([[0], ends])[owner]
-                of = low % np.uint64(buckets)
-                for s, w, b, k, f, t, e in zip(
-                    starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), tags.tolist(), whole.tolist(), strict=True
-                ):
-                    packed, place = data[s : s + w + length - 1], (ids[k], keys[k], s - f)
-                    if e and w > 1 and packed.count(packed[:1]) == len(packed):  # one window again and again
-                        out.repeats(*place[:2], place[2] + 1, w - 1)
-                        packed, w = packed[:length], 1
-                    if seen.get(packed, place) < place:
-                        out.repeats(*place, w)
-                        continue
-                    if len(seen) > CACHED:
-                        seen.clear()
-                    seen[packed] = place
-                    out.send(b, *place, w, t if not e or w == 1 else t & ~EQUAL | ALL, packed)
-                if out.full():
-                    yield out.flush()
+                seen.note(packed, place)
+                out.send(b, *place, w, t if not e or w == 1 else t & ~EQUAL | ALL, packed)
+            if out.full():
+                yield out.flush()
         if out.queue or out.known:
             yield out.flush()
 
@@ -242,52 +248,53 @@ def repeated_in(strings: list[bytes], length: int, block: int, shard_bytes: int)
     return repeated[left >= length]
 
 
+def _repeats(x: dict[str, np.ndarray], data: bytes, length: int, block: int, shard_bytes: int, chunk_bytes: int) -> list[tuple]:
+    """Runs of repeated windows among the strings of a bucket, which lie in ``data`` one after another."""
+    sizes = x["windows"].astype(np.int64) + length - 1
+    ends = np.cumsum(sizes)
+    earlier, alone = [], []
+    first: set[bytes] = set()
+    for i in np.lexsort([x["starts"], x["keys"], x["docs"]]).tolist():
+        string = data[ends[i] - sizes[i] : ends[i]]
+        (earlier if string in first else alone).append(i)
+        first.add(string)
+    del first
+    out = [tuple(x[n][earlier] for n in ("docs", "keys", "starts", "windows"))]
+    tags = x["tags"][alone]
+    _, inverse, shared = np.unique(tags >> 8, return_inverse=True, return_counts=True)
+    whole = tags & 255 == EQUAL
+    multi = (tags & 1 == 1) & ~whole
+    _, mixed_in = np.unique(np.concatenate([np.arange(len(shared)), inverse[multi]]), return_counts=True)
+    kin = np.flatnonzero((shared[inverse] > 1) & (mixed_in[inverse] == 1) & ~whole)
+    own = [alone[i] for i in kin.tolist()]
+    close = may_share([data[ends[i] - sizes[i] : ends[i]] for i in own], ((tags[kin] >> 1) & 127).tolist(), length)
+    # With a minimiser that some run holds twice, all of its runs are compared.
+    wanted = np.concatenate([kin[close], np.flatnonzero((mixed_in[inverse] > 1) & ~whole)])
+    wanted = wanted[np.argsort(inverse[wanted], kind="stable")]
+    total = np.cumsum(sizes[np.array(alone)[wanted]]) if len(wanted) else wanted
+    new = np.flatnonzero(np.diff(inverse[wanted], prepend=-1))
+    # Whole minimisers to each chunk, so that a chunk holds all strings that may share a window.
+    chunk = np.repeat((total[new] // chunk_bytes), np.diff(np.append(new, len(wanted)))) if len(wanted) else wanted
+    for c in np.unique(chunk):
+        members = np.sort(wanted[chunk == c])  # positions in ``alone`` follow document order
+        own = np.array(alone)[members]
+        repeated = repeated_in([data[ends[i] - sizes[i] : ends[i]] for i in own.tolist()], length, block, shard_bytes)
+        windows = x["windows"][own]
+        string = np.repeat(own, windows)
+        offset = np.arange(len(string)) - np.repeat(np.cumsum(windows) - windows, windows)
+        hit = np.flatnonzero(repeated)
+        at, n = runs_of(string[hit], hit)
+        at = hit[at]
+        out.append((x["docs"][string[at]], x["keys"][string[at]], x["starts"][string[at]] + offset[at], n))
+    return out
+
+
 def _merge(length: int, block: int, shard_bytes: int, chunk_bytes: int):
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        known, sent = rows[rows["packed"].isna()], rows[~rows["packed"].isna()]
-        x = received(known)
+        x, buckets = received(rows)
         out = [(x["docs"], x["keys"], x["starts"], x["windows"])]
-        if not len(sent):
-            return span_frame(out)
-        x = received(sent)
-        open_ = zstandard.ZstdDecompressor()
-        data = b"".join([open_.decompress(b) for b in sent["packed"]])
-        sizes = x["windows"].astype(np.int64) + length - 1
-        ends = np.cumsum(sizes)
-        earlier, alone = [], []
-        first: set[bytes] = set()
-        for i in np.lexsort([x["starts"], x["keys"], x["docs"]]).tolist():
-            string = data[ends[i] - sizes[i] : ends[i]]
-            (earlier if string in first else alone).append(i)
-            first.add(string)
-        del first
-        out.append(tuple(x[n][earlier] for n in ("docs", "keys", "starts", "windows")))
-        tags = x["tags"][alone]
-        _, inverse, shared = np.unique(tags >> 8, return_inverse=True, return_counts=True)
-        whole = tags & 255 == EQUAL
-        multi = (tags & 1 == 1) & ~whole
-        _, mixed_in = np.unique(np.concatenate([np.arange(len(shared)), inverse[multi]]), return_counts=True)
-        kin = np.flatnonzero((shared[inverse] > 1) & (mixed_in[inverse] == 1) & ~whole)
-        own = [alone[i] for i in kin.tolist()]
-        close = may_share([data[ends[i] - sizes[i] : ends[i]] for i in own], ((tags[kin] >> 1) & 127).tolist(), length)
-        # With a minimiser that some run holds twice, all of its runs are compared.
-        wanted = np.concatenate([kin[close], np.flatnonzero((mixed_in[inverse] > 1) & ~whole)])
-        wanted = wanted[np.argsort(inverse[wanted], kind="stable")]
-        total = np.cumsum(sizes[np.array(alone)[wanted]]) if len(wanted) else wanted
-        new = np.flatnonzero(np.diff(inverse[wanted], prepend=-1))
-        # Whole minimisers to each chunk, so that a chunk holds all strings that may share a window.
-        chunk = np.repeat((total[new] // chunk_bytes), np.diff(np.append(new, len(wanted)))) if len(wanted) else wanted
-        for c in np.unique(chunk):
-            members = np.sort(wanted[chunk == c])  # positions in ``alone`` follow document order
-            own = np.array(alone)[members]
-            repeated = repeated_in([data[ends[i] - sizes[i] : ends[i]] for i in own.tolist()], length, block, shard_bytes)
-            windows = x["windows"][own]
-            string = np.repeat(own, windows)
-            offset = np.arange(len(string)) - np.repeat(np.cumsum(windows) - windows, windows)
-            hit = np.flatnonzero(repeated)
-            at, n = runs_of(string[hit], hit)
-            at = hit[at]
-            out.append((x["docs"][string[at]], x["keys"][string[at]], x["starts"][string[at]] + offset[at], n))
+        for x, strings in buckets:
+            out += _repeats(x, b"".join(strings), length, block, shard_bytes, chunk_bytes)
         return span_frame(out)
 
     return merge
@@ -306,9 +313,9 @@ def repeated_bytes(docs: DataFrame, length: int = 100, block: int = 10, bucket_b
     rows = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as long) doc_id", "hash(text) text_key", "text")
     total = text_bytes(docs)
     buckets = pieces(total, bucket_bytes)
-    heavy = heavy_keys(rows, total, _grams(length), [length - g + 1 for g in levels(length)], length, bucket_bytes)
-    sent = rows.mapInArrow(tidied(_send(length, buckets, heavy)), SENT)
-    return sent.groupBy("bucket").applyInPandas(tidied_group(_merge(length, block, shard_bytes, 1 << 20)), SPANS)
+    heavy = heavy_keys(rows, total, _grams(length), byte_segments(length), [length - g + 1 for g in levels(length)], length, bucket_bytes)
+    sent = rows.mapInArrow(tidied(_send(length, buckets, min(buckets, pieces(total, PART)), heavy)), SENT)
+    return sent.groupBy("part").applyInPandas(tidied_group(_merge(length, block, shard_bytes, 1 << 20)), SPANS)
 
 
 def _cut(length: int, with_text: bool):

@@ -11,6 +11,7 @@ exactly: hashes only bring them next to each other, words decide.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import count
@@ -23,14 +24,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import pieces, sliced, text_bytes, tidied, tidied_group, with_fields
+from tallyproof.llm.common import by_bytes, pieces, sliced, text_bytes, tidied, tidied_group, with_fields
 
 NUMBERS = {"docs": np.int64, "keys": np.int32, "starts": np.int32, "windows": np.int32, "tags": np.uint32}
-SENT = "bucket int, " + ", ".join(f"{n} binary" for n in NUMBERS) + ", packed binary"
+SENT = "part int, known boolean, data binary"
 SPANS = "doc_id long, text_key int, start int, windows int"
-FLUSH, CACHED = 120_000, 250_000  # strings held before they are sent; entries of a task's caches
+HELD = 24 << 20  # bytes of memory of the strings that a task holds before it sends them
+OBJECT = 200  # bytes of memory that a held or remembered string takes besides its own, about
+CACHED = 80_000  # entries of a task's caches
+REMEMBERED = 16 << 20  # bytes of memory of the strings that a task remembers
+TEXT = 1 << 20  # bytes of text that are looked at together
+PART = 24 << 20  # bytes of text whose strings go to one task as one group
 WORD = 6  # bytes of a word and the space after it, about
 SURVEYED = 64 << 20  # bytes of text of which all are read to find hot keys
+SPACE = re.compile(rb"[ \t-\r]")  # where bytes.split() divides
 MULTIPLIERS = np.random.default_rng(13).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -112,7 +119,7 @@ def keyed_strings(key: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.nda
     return at[first], windows, key[at[first]]
 
 
-def _tally(grams_at: Callable, spans: list[int], width: int):
+def _tally(grams_at: Callable, cut: Callable, spans: list[int], width: int):
     """(level, key, n): different windows by key on every level but the last; a key comes once per task."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,20 +129,19 @@ def _tally(grams_at: Callable, spans: list[int], width: int):
             value, inverse = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
             return [(value, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(value)))]
 
-        for batch in sliced(batches):
-            for _, _, texts in text_parts(batch):
-                grams, ends = grams_at(texts)
-                windows = grams[-1]
-                last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(windows)]
-                own = np.flatnonzero(np.arange(len(windows)) + width <= last)
-                own = own[np.unique(windows[own], return_index=True)[1]]  # copies are not sent again
-                if not len(own):
-                    continue
-                for k, span in enumerate(spans[:-1]):
-                    value, n = np.unique(sliding_min(grams[k], span)[own], return_counts=True)
-                    held[k].append((value, n.astype(float)))
-                    if len(held[k]) > 8:
-                        held[k] = merged(held[k])
+        for _, _, _, texts in segments(batches, cut):
+            grams, ends = grams_at(texts)
+            windows = grams[-1]
+            last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(windows)]
+            own = np.flatnonzero(np.arange(len(windows)) + width <= last)
+            own = own[np.unique(windows[own], return_index=True)[1]]  # copies are not sent again
+            if not len(own):
+                continue
+            for k, span in enumerate(spans[:-1]):
+                value, n = np.unique(sliding_min(grams[k], span)[own], return_counts=True)
+                held[k].append((value, n.astype(float)))
+                if len(held[k]) > 8:
+                    held[k] = merged(held[k])
         for k, parts in enumerate(held):
             if parts:
                 [(value, n)] = merged(parts)
@@ -146,7 +152,7 @@ def _tally(grams_at: Callable, spans: list[int], width: int):
     return tally
 
 
-def heavy_keys(rows: DataFrame, total: int, grams_at: Callable, spans: list[int], width: int, most: int) -> list[np.ndarray]:
+def heavy_keys(rows: DataFrame, total: int, grams_at: Callable, cut: Callable, spans: list[int], width: int, most: int) -> list[np.ndarray]:
     """The keys of each level but the last that more than ``most`` windows share, copies that are read together apart.
 
     They only say where windows go, so any choice leaves the result exact; so those of large inputs are found on a
@@ -154,7 +160,7 @@ def heavy_keys(rows: DataFrame, total: int, grams_at: Callable, spans: list[int]
     """
     part = 16 if total > SURVEYED else 1
     some = rows.where(f"pmod(xxhash64(doc_id, text_key, 5), {part}) = 0") if part > 1 else rows
-    counted = some.mapInArrow(tidied(_tally(grams_at, spans, width)), "level int, key long, n long")
+    counted = some.mapInArrow(tidied(_tally(grams_at, cut, spans, width)), "level int, key long, n long")
     found = counted.groupBy("level", "key").agg(F.sum("n").alias("n")).where(F.col("n") > max(1, most // part)).select("level", "key").toArrow()
     level, key = found["level"].to_numpy(), found["key"].to_numpy().view(np.uint64)
     return [np.sort(key[level == k]) for k in range(len(spans) - 1)]
@@ -173,54 +179,95 @@ def _numbers(data: bytes, kind: type) -> np.ndarray:
 
 
 class Outbox:
-    """What a task sends: strings by bucket, and runs of windows that it already knows to repeat."""
+    """What a task sends: strings by bucket, and runs of windows that it already knows to repeat.
+
+    Buckets travel in parts of several: one row for a part, in which strings are in the order of their buckets. So what a
+    row costs besides its strings does not follow the number of buckets.
+    """
 
-    def __init__(self, buckets: int, joint: bytes, level: int = 3):
-        self.buckets, self.joint, self.flushed = buckets, joint, 0
+    def __init__(self, buckets: int, parts: int, joint: bytes, level: int = 3):
+        self.parts, self.each, self.joint, self.flushed = parts, -(-buckets // parts), joint, 0
         self.queue: list[tuple] = []
         self.known: list[tuple] = []
+        self.held = 0
         self.pack = zstandard.ZstdCompressor(level=level)
 
     def send(self, bucket: int, doc: int, key: int, start: int, windows: int, tag: int, packed: bytes) -> None:
         self.queue.append((bucket, doc, key, start, windows, tag, packed))
+        self.held += len(packed) + OBJECT
 
     def repeats(self, doc: int, key: int, start: int, windows: int) -> None:
         """Note a run of repeated windows; runs that follow each other become one."""
         if self.known and self.known[-1][:2] == (doc, key) and sum(self.known[-1][2:]) == start:
             start, windows = self.known[-1][2], self.known[-1][3] + windows
             self.known.pop()
+            self.held -= OBJECT
         self.known.append((doc, key, start, windows))
+        self.held += OBJECT
 
     def full(self) -> bool:
-        return len(self.queue) > FLUSH or len(self.known) > FLUSH
+        return self.held > HELD
+
+    def _data(self, columns: dict[str, np.ndarray], buckets: np.ndarray, packed: list[bytes]) -> bytes:
+        """Some strings in the order of their buckets: numbers, then the bucket, strings and bytes of each run, then the strings."""
+        cuts = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1))
+        runs = [self.joint.join(packed[i:j]) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        about = [np.array([len(buckets), len(runs)], np.int32), buckets[cuts[:-1]].astype(np.int32), np.diff(cuts).astype(np.int32), np.array([len(r) for r in runs], np.int32)]
+        return self.pack.compress(b"".join([*(x.tobytes() for x in about), *(_planes(columns[n]) for n in NUMBERS), *runs]))
 
     def flush(self) -> pa.RecordBatch:
-        rows: dict[str, list] = {name: [] for name in ("bucket", *NUMBERS, "packed")}
+        rows: list[tuple[int, bool, bytes]] = []
         if self.queue:
             of, *numbers, packed = zip(*self.queue, strict=True)
             of = np.array(of)
             order = np.argsort(of, kind="stable")
+            of, packed = of[order], [packed[k] for k in order.tolist()]
             columns = {n: np.array(x, t)[order] for x, (n, t) in zip(numbers, NUMBERS.items(), strict=True)}
-            cuts = np.flatnonzero(np.diff(of[order], prepend=-1, append=-1))
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                rows["bucket"].append(int(of[order[i]]))
-                for n, x in columns.items():
-                    rows[n].append(self.pack.compress(_planes(x[i:j])))
-                rows["packed"].append(self.pack.compress(self.joint.join([packed[k] for k in order[i:j]])))
+            cuts = np.flatnonzero(np.diff(of // self.each, prepend=-1, append=-1))
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                rows.append((int(of[i]) // self.each, False, self._data({n: x[i:j] for n, x in columns.items()}, of[i:j] % self.each, packed[i:j])))
         if self.known:
-            rows["bucket"].append((self.known[0][0] * 31 + self.flushed) % self.buckets)
-            for x, (n, t) in zip((*zip(*self.known, strict=True), ()), NUMBERS.items(), strict=True):
-                rows[n].append(self.pack.compress(_planes(np.array(x, t))))
-            rows["packed"].append(None)
-        self.queue, self.known, self.flushed = [], [], self.flushed + 1
-        types = {"bucket": pa.int32()}
-        return pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.binary())) for k, v in rows.items()], list(rows))
+            columns = {n: np.array(x, NUMBERS[n]) for n, x in zip(NUMBERS, zip(*self.known, strict=True), strict=False)}
+            columns["tags"] = np.zeros(len(self.known), NUMBERS["tags"])
+            rows.append(((self.known[0][0] * 31 + self.flushed) % self.parts, True, self._data(columns, np.zeros(len(self.known), int), [])))
+        self.queue, self.known, self.held, self.flushed = [], [], 0, self.flushed + 1
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.binary()), strict=True)], ["part", "known", "data"])
+
+
+def _opened(data: bytes) -> tuple[dict[str, np.ndarray], list[tuple[int, int, int]], bytes]:
+    """Numbers, (bucket, strings, bytes) of each run, and the strings of a row that an Outbox made."""
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n, runs = np.frombuffer(data, np.int32, 2).tolist()
+    about = np.frombuffer(data, np.int32, 3 * runs, 8).reshape(3, runs)
+    at, numbers = 8 + 12 * runs, {}
+    for name, kind in NUMBERS.items():
+        size = n * np.dtype(kind).itemsize
+        numbers[name] = _numbers(data[at : at + size], kind)
+        at += size
+    return numbers, list(zip(*about.tolist(), strict=True)), data[at:]
 
 
-def received(rows: pd.DataFrame) -> dict[str, np.ndarray]:
-    """The numbers of some rows that an Outbox made."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    return {n: np.concatenate([_numbers(unpack(x), t) for x in rows[n]]) if len(rows) else np.zeros(0, t) for n, t in NUMBERS.items()}
+def received(rows: pd.DataFrame) -> tuple[dict[str, np.ndarray], Iterator[tuple[dict[str, np.ndarray], list[bytes]]]]:
+    """Of the rows of a part: runs that are known to repeat; and bucket by bucket, the strings' numbers and the strings, joined."""
+    known = [_opened(x)[0] for x in rows.loc[rows["known"], "data"]]
+    by_bucket: defaultdict[int, list] = defaultdict(list)
+    for data in rows.loc[~rows["known"], "data"]:
+        numbers, runs, strings = _opened(data)
+        i = at = 0
+        for bucket, n, size in runs:
+            by_bucket[bucket].append(({k: x[i : i + n] for k, x in numbers.items()}, strings[at : at + size]))
+            i, at = i + n, at + size
+
+    def buckets() -> Iterator[tuple[dict[str, np.ndarray], list[bytes]]]:
+        for bucket in sorted(by_bucket):
+            found = by_bucket.pop(bucket)
+            yield _together([x for x, _ in found]), [strings for _, strings in found]
+
+    return _together(known), buckets()
+
+
+def _together(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {n: np.concatenate([x[n] for x in parts]) if parts else np.zeros(0, t) for n, t in NUMBERS.items()}
 
 
 def span_frame(parts: list[tuple]) -> pd.DataFrame:
@@ -248,37 +295,79 @@ def _grams(grains: list[int]) -> Callable:
     return grams_at
 
 
-def _send(width: int, grains: list[int], buckets: int, heavy: list[np.ndarray]):
+def word_segments(width: int) -> Callable:
+    """Cuts a long text into pieces that share ``width - 1`` words, so that each window is in one: (first word, piece)."""
+
+    def cut(text: bytes, most: int) -> Iterator[tuple[int, bytes]]:
+        at, first, carried = 0, 0, []
+        while at < len(text):
+            found = SPACE.search(text, at + most)
+            end = found.start() if found else len(text)
+            words = text[at:end].split()
+            joined = [*carried, *words]
+            yield first - len(carried), b" ".join(joined)
+            first, at = first + len(words), end
+            carried = joined[max(0, len(joined) - width + 1) :]
+
+    return cut
+
+
+class Seen(dict):
+    """Strings that a task has sent, with where the earliest was; forgets everything when large, which costs time only."""
+
+    def __init__(self):
+        super().__init__()
+        self.held = 0
+
+    def note(self, packed: bytes, place) -> None:
+        self.held += len(packed) + OBJECT
+        if len(self) > CACHED or self.held > REMEMBERED:
+            self.clear()
+            self.held = len(packed) + OBJECT
+        self[packed] = place
+
+
+def _send(width: int, grains: list[int], buckets: int, parts: int, heavy: list[np.ndarray]):
     spans = [width - g + 1 for g in grains]
     last = max([k + 1 for k, x in enumerate(heavy) if len(x)], default=0)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, out = _Hashes(), {}, Outbox(buckets, b" ")
-        for batch in sliced(batches):
-            for ids, keys, texts in text_parts(batch):
-                flat, ends, values = _read(texts, hashes)
-                key, _ = level_keys([grams_of(values, g) for g in grains[: last + 1]], spans, heavy[:last])
-                starts, windows, low = keyed_strings(key, ends, width)
-                owner = np.searchsorted(ends, starts, side="right")
-                first = np.concatenate([[0], ends])[owner]
-                of = low % np.uint64(buckets)
-                for s, w, b, k, f in zip(starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), strict=True):
-                    packed, doc = b" ".join(flat[s : s + w + width - 1]), ids[k]
-                    if seen.get(packed, doc) < doc:
-                        out.repeats(doc, keys[k], s - f, w)
-                        continue
-                    if len(seen) > CACHED:
-                        seen.clear()
-                    seen[packed] = doc
-                    out.send(b, doc, keys[k], s - f, w, 0, packed)
-                if out.full():
-                    yield out.flush()
+        hashes, seen, out = _Hashes(), Seen(), Outbox(buckets, parts, b" ")
+        for ids, keys, begins, texts in segments(batches, word_segments(width)):
+            flat, ends, values = _read(texts, hashes)
+            key, _ = level_keys([grams_of(values, g) for g in grains[: last + 1]], spans, heavy[:last])
+            starts, windows, low = keyed_strings(key, ends, width)
+            owner = np.searchsorted(ends, starts, side="right")
+            first = (np.concatenate([[0], ends[:-1]]) - np.array(begins))[owner]
+            of = low % np.uint64(buckets)
+            for s, w, b, k, f in zip(starts.tolist(), windows.tolist(), of.tolist(), owner.tolist(), first.tolist(), strict=True):
+                packed, doc = b" ".join(flat[s : s + w + width - 1]), ids[k]
+                if seen.get(packed, doc) < doc:
+                    out.repeats(doc, keys[k], s - f, w)
+                    continue
+                seen.note(packed, doc)
+                out.send(b, doc, keys[k], s - f, w, 0, packed)
+            if out.full():
+                yield out.flush()
         if out.queue or out.known:
             yield out.flush()
 
     return send
 
 
+def segments(batches: Iterator[pa.RecordBatch], cut: Callable, most: int = TEXT) -> Iterator[tuple[list, list, list, list]]:
+    """(ids, keys, first places, texts) of the rows, in parts of about ``most`` bytes of text; ``cut`` divides longer texts."""
+    for batch in by_bytes(batches, "text", most):
+        ids, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
+        short = [k for k, text in enumerate(texts) if len(text) <= most]
+        if short:
+            yield [ids[k] for k in short], [keys[k] for k in short], [0] * len(short), [texts[k] for k in short]
+        for k, text in enumerate(texts):
+            if len(text) > most:
+                for first, piece in cut(text, most):
+                    yield [ids[k]], [keys[k]], [first], [piece]
+
+
 def text_parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[list, list, list]]:
     """The rows of a batch in parts of about ``most`` bytes of text (a longer text is a part of its own)."""
     ids, keys, texts, size = [], [], [], 0
@@ -322,18 +411,15 @@ def smallest_owner(ids: np.ndarray, at: np.ndarray, width: int, owners: np.ndarr
 
 def _count(width: int):
     def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        known, sent = rows[rows["packed"].isna()], rows[~rows["packed"].isna()]
-        x = received(known)
+        x, buckets = received(rows)
         out = [(x["docs"], x["keys"], x["starts"], x["windows"])]
-        if len(sent):
-            x = received(sent)
+        for x, packed in buckets:
             docs, keys, starts, windows = x["docs"], x["keys"], x["starts"], x["windows"]
-            open_ = zstandard.ZstdDecompressor()
             number: defaultdict[bytes, int] = defaultdict(count().__next__)
             sizes = windows.astype(np.int64) + width - 1
             ids, filled = np.empty(int(sizes.sum()), np.int32), 0
-            for blob in sent["packed"]:
-                words = open_.decompress(blob).split()
+            for strings in packed:
+                words = strings.split()
                 ids[filled : filled + len(words)] = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
                 filled += len(words)
             del number
@@ -362,9 +448,9 @@ def repeated_windows(docs: DataFrame, width: int = 13, grain: int = 2, bucket_by
     total = text_bytes(docs)
     buckets = pieces(total, bucket_bytes)
     grains = sorted({min(grain, width), (grain + width) // 2, width})
-    heavy = heavy_keys(rows, total, _grams(grains), [width - g + 1 for g in grains], width, bucket_bytes // WORD)
-    sent = rows.mapInArrow(tidied(_send(width, grains, buckets, heavy)), SENT)
-    return sent.groupBy("bucket").applyInPandas(tidied_group(_count(width)), SPANS)
+    heavy = heavy_keys(rows, total, _grams(grains), word_segments(width), [width - g + 1 for g in grains], width, bucket_bytes // WORD)
+    sent = rows.mapInArrow(tidied(_send(width, grains, buckets, min(buckets, pieces(total, PART)), heavy)), SENT)
+    return sent.groupBy("part").applyInPandas(tidied_group(_count(width)), SPANS)
 
 
 def _cut(width: int, with_text: bool):
