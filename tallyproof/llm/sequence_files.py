@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import by_bytes, pieces, text_bytes, tidied
-from tallyproof.llm.tokenizing import Remembered, byte_level
+from tallyproof.llm.tokenizing import Remembered, after_a_space, byte_level, byte_level_bytes, byte_sizes, parts_of
 
 MANIFEST = "shard int, sequences string, documents string, n_docs long, n_ids long"
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
@@ -42,7 +42,7 @@ def store(path: str) -> tuple[arrow_fs.FileSystem, str]:
 
 def schema_of(length: int, kind: np.dtype) -> pa.Schema:
     meta = {"length": str(length), "per_batch": str(PER_BATCH)}
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))], meta)
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))], meta)
 
 
 class _Shard:
@@ -76,7 +76,7 @@ class _Shard:
             self.waiting, self.n_waiting = [flat[whole:]], len(flat) - whole
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
+        mask = np.arange(len(ids)) < real
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.files[0].write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
@@ -96,19 +96,25 @@ class _Shard:
 def _write(folder: str, path: str, end_id: int, length: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, cut = byte_level(path, False)
+        sizes_of = byte_sizes(byte_level_bytes(path, False)) if cut is parts_of else None
         kind = np.dtype(np.uint16 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32)
         end = kind.type(end_id).tobytes()
 
-        def encode(parts: list[str]) -> list[bytes]:
+        def first_parts(parts: list[str]) -> list[bytes]:
             return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-        known, shard = Remembered(encode), None
+        def others(parts: list[str]) -> list[bytes]:
+            return [ids.astype(kind).tobytes() for ids in after_a_space(tokenizer, sizes_of, parts)] if parts else []
+
+        known, shard = Remembered(others), None
         for batch in by_bytes(batches, "text"):
             if not len(batch):
                 continue
             if shard is None:
                 shard = _Shard(folder, TaskContext.get().partitionId(), length, kind)
-            coded = [b"".join([*x, end]) for x in known.of([cut(t) if t else [] for t in batch.column("text").to_pylist()])]
+            parts = [cut(t) if t else [""] for t in batch.column("text").to_pylist()]
+            heads = first_parts([p[0] for p in parts])
+            coded = [b"".join([head, *rest, end]) for head, rest in zip(heads, known.of([p[1:] for p in parts]), strict=True)]
             sizes = np.array([len(x) for x in coded]) // kind.itemsize
             shard.add(batch.column("doc_id"), sizes, np.frombuffer(b"".join(coded), kind))
         if shard is not None:
@@ -161,14 +167,14 @@ class SequenceFile:
     def __len__(self) -> int:
         return self.size
 
-    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of the k-th sequence."""
+    def __getitem__(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of the k-th sequence; a mask has a bit for each id."""
         if not 0 <= k < self.size:
             raise IndexError(k)
         at = k % self.per_batch * self.length
         batch = self.file.get_batch(k // self.per_batch)
-        ids, mask = (x.flatten().to_numpy(zero_copy_only=True)[at : at + self.length] for x in batch.columns)
-        return ids, mask
+        ids, mask = (x.flatten().slice(at, self.length) for x in batch.columns)
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def between(self, start: int, stop: int) -> Iterator[np.ndarray]:
         """The ids from place ``start`` up to ``stop`` of the shard, as views of its batches."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import block_numbers, by_bytes, pack, settled, tidied, unpack, within_bound
-from tallyproof.llm.tokenizing import Remembered, _whole, byte_level, byte_level_bytes, piece_bytes, sentence_pieces
+from tallyproof.llm.tokenizing import Remembered, after_a_space, byte_level, byte_level_bytes, byte_sizes, parts_of, piece_bytes, sentence_pieces, whole
 
 #: A block: 32 bytes a text in ``keys`` and ``digests``; its parts' codes by text; numbers and links (places in ``pairs``) by part; copies of each pair.
 ARRAYS = {"sizes": np.int32, "codes": np.int32, "n_a": np.int32, "n_b": np.int32, "n_groups": np.int32, "n_links": np.int32, "links": np.int32, "pairs": np.int64, "weights": np.int64}
@@ -70,18 +70,21 @@ class _Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, cut_a = byte_level(path_a, True)
         self.b, cut_b = sentence_pieces(path_b)
-        self.cut = _whole if _whole in (cut_a, cut_b) else cut_a
+        self.cut = parts_of if cut_a is cut_b is parts_of else whole
         self.bytes_a, self.bytes_b = byte_level_bytes(path_a, True), piece_bytes(path_b)
+        self.sizes_a = byte_sizes(self.bytes_a)
         self.known = Remembered(self._aligned)
 
     def _aligned(self, parts: list[str]) -> list[tuple | None]:
-        # B puts a space before what it is given, and each part starts with one.
-        ids_a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        ids_b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        return align(ids_a, ids_b, self.bytes_a, self.bytes_b, [p.encode() for p in parts])
+        # B puts a space before what it is given.
+        if not parts:
+            return []
+        ids_a = [x.tolist() for x in after_a_space(self.a, self.sizes_a, parts)]
+        ids_b = self.b.encode(parts, num_threads=1)
+        return align(ids_a, ids_b, self.bytes_a, self.bytes_b, [f" {p}".encode() for p in parts])
 
     def of(self, texts: list[str]) -> tuple[list[list[str]], list[list[tuple | None]]]:
-        parts = [self.cut(f" {t}") for t in texts]
+        parts = [self.cut(t) for t in texts]
         return parts, self.known.of(parts)
 
 

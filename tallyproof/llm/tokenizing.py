@@ -1,8 +1,9 @@
 """Given tokenizers inside tasks.
 
 Natural text repeats its words, and a tokenizer's work on a word does not depend on the words around it as long as
-a single space lies between. So texts are cut before such spaces, and each distinct part is encoded once per task.
-``parts_of`` says when that is sure to give the ids of the whole text; where it isn't, a text is one part.
+a single space lies between. So texts are cut at such spaces, and each distinct part is encoded once per task, as if it
+followed a space. What says that a tokenizer allows it, ``byte_level`` and ``sentence_pieces``, looks at its rules; where
+they don't, a text is one part.
 """
 
 from __future__ import annotations
@@ -13,35 +14,58 @@ import re
 from collections.abc import Callable
 from functools import lru_cache
 
-PARTS = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")  # before a single space between two visible characters
-HELD = 200_000  # parts that a task remembers
+import numpy as np
+
+#: A single space between two visible characters, and a space that isn't.
+CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+OTHER = re.compile(r" (?:(?![!-~\w])|(?<=[^!-~\w] ))")
+#: A part that can stand between others without a tokenizer seeing them.
+APART = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.S)
+HELD = 200_000  # parts that a task remembers twice over
 LONGEST = 64  # characters of a part that is worth remembering
 
 
-class Remembered(dict):
-    """Part to what ``encode`` makes of it, for parts that are asked for many at a time; forgets everything when large."""
+def parts_of(text: str) -> list[str]:
+    """A text cut at single spaces between visible characters; the spaces belong to neither part."""
+    return CUT.split(text) if text[:1] == " " or OTHER.search(text) else text.split(" ")
+
+
+def whole(text: str) -> list[str]:
+    return [text]
+
+
+class Remembered:
+    """What ``encode`` makes of parts, which it is given many at a time.
+
+    Parts that are met again stay when a generation of them is full, so the frequent ones are encoded once.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list]):
-        super().__init__()
         self.encode = encode
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
 
     def of(self, texts: list[list[str]]) -> list[list]:
         """What each part of each text becomes, in order."""
-        if len(self) > HELD:
-            self.clear()
-        new = list({part for parts in texts for part in parts if part not in self})
-        self.update(zip(new, self.encode(new), strict=True))
-        out = [[self[part] for part in parts] for parts in texts]
+        if len(self.young) > HELD:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        wanted = {part for parts in texts for part in parts if part not in young}
+        new = []
+        for part in wanted:
+            found = old.get(part)
+            if found is None and part not in old:
+                new.append(part)
+            else:
+                young[part] = found
+        young.update(zip(new, self.encode(new), strict=True))
+        out = [[young[part] for part in parts] for parts in texts]
         for part in new:
             if len(part) > LONGEST:
-                del self[part]
+                del young[part]
         return out
 
 
-def _whole(text: str) -> list[str]:
-    return [text]
-
-
 @lru_cache(maxsize=4)
 def byte_level(path: str, specials_as_text: bool):
     """A tokenizer from a file of the tokenizers library, and how to cut texts for it."""
@@ -55,7 +79,32 @@ def byte_level(path: str, specials_as_text: bool):
     plain = told["normalizer"] is None and told["truncation"] is None and told["padding"] is None and told["model"].get("dropout") is None
     cut = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
     added = all(" " not in a["content"] and not (a["lstrip"] or a["rstrip"] or a["single_word"]) for a in told["added_tokens"])
-    return tokenizer, PARTS.split if plain and cut and added else _whole
+    return tokenizer, parts_of if plain and cut and added else whole
+
+
+def after_a_space(tokenizer, sizes: np.ndarray, parts: list[str]) -> list[np.ndarray]:
+    """The ids of each part as it is encoded after a space; ``sizes`` has the bytes of each id.
+
+    Parts that can stand next to each other are encoded as one text, which costs half as much as one by one; the bytes that
+    their ids stand for tell them apart again.
+    """
+    joined = [k for k, part in enumerate(parts) if APART.fullmatch(part)]
+    out: list = [None] * len(parts)
+    for i in range(0, len(joined), 4000):
+        some = joined[i : i + 4000]
+        texts = [f" {parts[k]}" for k in some]
+        ids = np.array(tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum(sizes[ids])
+        stops = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
+        at = np.searchsorted(ends, stops)
+        if len(ends) and ends[-1] == stops[-1] and (ends[at] == stops).all():
+            cuts = (at + 1).tolist()
+            for k, a, b in zip(some, [0, *cuts], cuts, strict=False):
+                out[k] = ids[a:b]
+    alone = [k for k, x in enumerate(out) if x is None]
+    for k, e in zip(alone, tokenizer.encode_batch_fast([f" {parts[k]}" for k in alone], add_special_tokens=False), strict=True):
+        out[k] = np.array(e.ids, np.uint32)
+    return out
 
 
 @lru_cache(maxsize=4)
@@ -66,7 +115,7 @@ def sentence_pieces(path: str):
     processor = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (processor.id_to_piece(i) for i in range(processor.get_piece_size()))
     # No piece goes on after a space, so parts never share one.
-    return processor, _whole if any(re.search("[^\u2581]\u2581", p) for p in pieces) else PARTS.split
+    return processor, whole if any(re.search("[^\u2581]\u2581", p) for p in pieces) else parts_of
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -86,6 +135,10 @@ def byte_level_bytes(path: str, specials_as_text: bool) -> list[bytes]:
     return [added[i] if i in added else bytes(of[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
 
 
+def byte_sizes(table: list[bytes]) -> np.ndarray:
+    return np.array([len(x) for x in table], np.int64)
+
+
 @lru_cache(maxsize=4)
 def piece_bytes(path: str) -> list[bytes]:
     """The bytes of each piece: U+2581 is a space, <0xHH> a byte."""

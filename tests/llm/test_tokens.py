@@ -25,15 +25,25 @@ def encoded(texts, specials_as_text=False):
     return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_parts_give_the_ids_of_whole_texts(spark, data):
+def test_parts_give_the_ids_of_whole_texts(spark, data, monkeypatch):
+    monkeypatch.setattr(tokenizing, "HELD", 500)
     texts = [r["text"] or "" for r in spark.read.parquet(f"{data('0.001')}/documents.parquet").select("text").collect()] + ODD
     for specials in (False, True):
         tokenizer, cut = tokenizing.byte_level(A, specials)
-        known = tokenizing.Remembered(lambda parts, t=tokenizer: [e.ids for e in t.encode_batch_fast(parts, add_special_tokens=False)])
-        got = [[i for ids in x for i in ids] for x in known.of([cut(t) for t in texts])]
-        assert got == encoded(texts, specials) and cut("a b") == ["a", " b"]
+        sizes = tokenizing.byte_sizes(tokenizing.byte_level_bytes(A, specials))
+        known = tokenizing.Remembered(lambda parts, t=tokenizer, n=sizes: [x.tolist() for x in tokenizing.after_a_space(t, n, parts)])
+        for some in (texts, texts[::-1], texts):
+            got = [[i for ids in x for i in ids] for x in known.of([cut(t) for t in some])]
+            assert got == encoded([f" {t}" for t in some], specials)
     processor, cut = tokenizing.sentence_pieces(B)
-    assert [[i for p in cut(f" {t}") for i in processor.encode(p[1:])] for t in texts] == [processor.encode(t) for t in texts]
+    assert [[i for p in cut(t) for i in processor.encode(p)] for t in texts] == [processor.encode(t) for t in texts]
+
+
+def test_texts_are_cut_at_single_spaces_between_visible_characters():
+    for text in ODD + ["a b c", " a b", "a  b c", "a \n b c", "a b ", "é à\u00a0b c", "x\u0301 y z"]:
+        parts = tokenizing.parts_of(text)
+        assert " ".join(parts) == text
+    assert tokenizing.parts_of("a b  c\td e ") == ["a", "b  c\td", "e "]
 
 
 def test_a_tokenizer_that_sees_more_is_given_whole_texts(tmp_path):
@@ -42,6 +52,7 @@ def test_a_tokenizer_that_sees_more_is_given_whole_texts(tmp_path):
     path = tmp_path / "other.json"
     path.write_text(json.dumps(told))
     assert tokenizing.byte_level(str(path), False)[1]("a b") == ["a b"]
+    tokenizing.byte_level.cache_clear()
 
 
 def crc(ids):
@@ -80,11 +91,11 @@ def test_sequences_are_views_of_the_file(spark, awkward, tmp_path):
     for shard in manifest:
         file = sequence_files.SequenceFile(f"{tmp_path}/f/{shard['sequences']}")
         flat = np.concatenate([file[k][0] for k in range(len(file))])
-        mask = np.concatenate([file[k][1] for k in range(len(file))])
+        mask = np.concatenate([file[k][1].to_numpy(zero_copy_only=False) for k in range(len(file))])
         assert mask.sum() == shard["n_ids"] and mask[: shard["n_ids"]].all() and len(mask) - mask.sum() < 64
         before = pa.total_allocated_bytes()
-        ids, _ = file[len(file) // 2]
-        assert len(ids) == 64 and not ids.flags.owndata and pa.total_allocated_bytes() == before
+        ids, bits = file[len(file) // 2]
+        assert len(ids) == len(bits) == 64 and not ids.flags.owndata and pa.total_allocated_bytes() == before
         assert flat.dtype == np.uint16
         with pytest.raises(IndexError):
             file[len(file)]
