@@ -29,11 +29,11 @@ READ = bytes.maketrans(bytes(range(ord("A"), ord("Z") + 1)) + b"\t.,;:!?\n\x0b\x
 
 #: Places of words and their codes in ``words``; langs, one after another with their numbers of words.
 READ_BLOCK = "block long, places binary, codes binary, langs array<string>, sizes array<int>, words binary, counts binary"
-#: Places of phrases and their codes; the phrase of a code is ``heads`` (of one word less) and ``tails``; places of frequent words and their ids.
-BLOCK = "block long, places binary, codes binary, heads binary, tails binary, counts binary, word_places binary, word_ids binary"
+#: Places of phrases and their codes; the phrase of a code is ``heads`` (of one word less) and ``tails``; places of frequent words and their codes in ``word_ids``.
+BLOCK = "block long, places binary, codes binary, heads binary, tails binary, counts binary, word_places binary, word_codes binary, word_ids binary"
 #: Products and sums may pass 64 bits; div on decimals is exact.
 SCORE = "cast(cast(2000000 as decimal(7, 0)) * cast(a as decimal(20, 0)) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0))) as long)"
-SHIFT = 28  # an id is the number of a block, and below it the code that the phrase has there
+SHIFT = 28  # where a block has a phrase: the number of the block, and below it the code that the phrase has there
 
 
 class _Words:
@@ -103,23 +103,26 @@ def _sliced(columns: dict[str, np.ndarray | pa.Array], rows: int = 50_000) -> It
         yield pa.RecordBatch.from_arrays([c.slice(i, rows) if isinstance(c, pa.Array) else pa.array(c[i : i + rows]) for c in columns.values()], list(columns))
 
 
+def _at(block: int, n: int) -> np.ndarray:
+    return (block << SHIFT) + np.arange(n)
+
+
 def _ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, code, lang, word, n): each word of a block and how often it occurs there."""
+    """(at, lang, word, n): each word of a block and how often it occurs there."""
     for batch in batches:
         for row in batch.to_pylist():
-            counts = unpack(row["counts"], np.int32).astype(np.int64)
+            counts = unpack(row["counts"], np.int32)
             words = pa.array(unpack(row["words"], np.uint8).tobytes().split(b" ") if len(counts) else [], pa.binary())
             langs = pa.array(row["langs"], pa.string()).take(pa.array(np.repeat(np.arange(len(row["sizes"])), row["sizes"])))
-            yield from _sliced({"block": np.full(len(counts), row["block"]), "code": np.arange(len(counts), dtype=np.int32), "lang": langs, "word": words.cast(pa.string()), "n": counts})
+            yield from _sliced({"at": _at(row["block"], len(counts)), "lang": langs, "word": words.cast(pa.string()), "n": counts})
 
 
 def _ask_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, code, head, tail, n): each phrase of a block and how often it occurs there."""
+    """(at, head, tail, n): each phrase of a block and how often it occurs there."""
     for batch in batches:
         for row in batch.to_pylist():
-            heads, tails = (unpack(row[n], np.int64) for n in ("heads", "tails"))
-            counts = unpack(row["counts"], np.int32).astype(np.int64)
-            yield from _sliced({"block": np.full(len(counts), row["block"]), "code": np.arange(len(counts), dtype=np.int32), "head": heads, "tail": tails, "n": counts})
+            heads, tails, counts = (unpack(row[n], t) for n, t in (("heads", np.int64), ("tails", np.int64), ("counts", np.int32)))
+            yield from _sliced({"at": _at(row["block"], len(counts)), "head": heads, "tail": tails, "n": counts})
 
 
 def _extend(length: int):
@@ -133,24 +136,25 @@ def _extend(length: int):
         heads = ids[codes]
         places, heads = places[heads >= 0], heads[heads >= 0]
         if length == 2:
-            word_places, word_ids = places, heads
+            word_places, (word_ids, word_codes) = places, np.unique(heads, return_inverse=True)
         else:
-            word_places, word_ids = np.cumsum(unpack(row["word_places"], np.int32), dtype=np.int32), unpack(row["word_ids"], np.int64)
+            word_places = np.cumsum(unpack(row["word_places"], np.int32), dtype=np.int32)
+            word_codes, word_ids = unpack(row["word_codes"], np.int32), unpack(row["word_ids"], np.int64)
         # Both sides are sorted by place: the word that follows a phrase, if it is in the same piece and frequent.
         at = np.searchsorted(word_places, places + (length - 1))
         at[at == len(word_places)] = 0
         met = word_places[at] == places + (length - 1) if len(word_places) else np.zeros(0, bool)
-        places, heads, tails = places[met], heads[met], word_ids[at[met]]
+        places, heads, tail_code = places[met], heads[met], word_codes[at[met]]
         head, head_code = np.unique(heads, return_inverse=True)
-        tail, tail_code = np.unique(tails, return_inverse=True)
-        both, codes, counts = np.unique(head_code * np.int64(len(tail)) + tail_code, return_inverse=True, return_counts=True)
+        both, codes, counts = np.unique(head_code * np.int64(max(1, len(word_ids))) + tail_code, return_inverse=True, return_counts=True)
         values = {
             "places": np.diff(places, prepend=np.int32(0)),
             "codes": codes.astype(np.int32),
-            "heads": head[both // max(1, len(tail))],
-            "tails": tail[both % max(1, len(tail))],
+            "heads": head[both // max(1, len(word_ids))],
+            "tails": word_ids[both % max(1, len(word_ids))],
             "counts": counts.astype(np.int32),
             "word_places": np.diff(word_places, prepend=np.int32(0)),
+            "word_codes": word_codes.astype(np.int32),
             "word_ids": word_ids,
         }
         return pa.table({"block": pa.array([row["block"]])} | {n: pa.array([pack(x)], pa.binary()) for n, x in values.items()})
@@ -158,38 +162,43 @@ def _extend(length: int):
     return extend
 
 
-def _frequent(asked: DataFrame, by: list[str], least: int) -> DataFrame:
-    """(block, code, id, f, *by) of the phrases that occur ``least`` times in all blocks together, settled.
+def _frequent(asked: DataFrame, by: list[str], least: int) -> tuple[DataFrame, DataFrame]:
+    """((block, code, id) where a block has a phrase that occurs ``least`` times in all blocks together, (id, f, *by) of these phrases).
 
-    The id is taken from the first block that holds the phrase. A phrase has at most one row for each block.
+    A phrase has at most one row for each block, so no group is larger than the number of blocks. Ids are small numbers, which
+    travel well: the place in a settled frame.
     """
     whole = Window.partitionBy(*by)
-    place = F.shiftleft("block", SHIFT) + F.col("code")
-    counted = asked.select("block", "code", *by, F.sum("n").over(whole).alias("f"), F.min(place).over(whole).alias("id"))
-    return settled(counted.where(F.col("f") >= least))
+    counted = asked.select("at", *by, F.sum("n").over(whole).alias("f"), F.min("at").over(whole).alias("first"))
+    met = settled(counted.where(F.col("f") >= least))
+    owners = settled(met.where("at = first").select("first", "f", *by, F.monotonically_increasing_id().alias("row")))
+    parts = (owners.agg(F.max(F.shiftright("row", 33))).first()[0] or 0) + 1
+    numbered = owners.withColumn("id", F.expr(f"(row & {(1 << 33) - 1}) * {parts} + shiftright(row, 33)"))
+    replies = met.select("at", "first").join(numbered.select("first", "id"), "first")
+    return replies.select(F.shiftright("at", SHIFT).alias("block"), F.expr(f"cast(at & {(1 << SHIFT) - 1} as int)").alias("code"), "id"), numbered.select("id", "f", *by)
 
 
-def frequent_phrases(docs: DataFrame, longest: int = 4, least: int = 30, block_bytes: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, longest: int = 4, least: int = 30, block_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, length, f) of all phrases of up to ``longest`` words that occur ``least`` times, (lang, n) of all words of a lang).
 
     ``docs`` has ``text`` and ``lang``; phrases are joined by a space.
     """
     rows = docs.where("text is not null").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     blocks = settled(rows.mapInArrow(tidied(_read(block_bytes)), READ_BLOCK))
-    words = blocks.select("block", "langs", "sizes", "words", "counts").mapInArrow(_ask_words, "block long, code int, lang string, word string, n long")
+    words = blocks.select("block", "langs", "sizes", "words", "counts").mapInArrow(_ask_words, "at long, lang string, word string, n int")
     totals = settled(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    own = F.col("id") == F.shiftleft("block", SHIFT) + F.col("code")
-    answers = _frequent(words, ["lang", "word"], least)
-    singles = answers.where(own).select("id", "lang", F.col("word").alias("phrase"), "f")
+    replies, singles = _frequent(words, ["lang", "word"], least)
+    singles = singles.withColumnRenamed("word", "phrase")
     found = [singles]
+    carried = ["block", "places", "codes"]
     for length in range(2, longest + 1):
-        replies = answers.select("block", "code", "id")
-        blocks = settled(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_extend(length), BLOCK))
-        asked = blocks.select("block", "heads", "tails", "counts").mapInArrow(_ask_phrases, "block long, code int, head long, tail long, n long")
-        answers = _frequent(asked, ["head", "tail"], least)
+        blocks = settled(blocks.select(*carried).groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_extend(length), BLOCK))
+        carried = ["block", "places", "codes", "word_places", "word_codes", "word_ids"]
+        asked = blocks.select("block", "heads", "tails", "counts").mapInArrow(_ask_phrases, "at long, head long, tail long, n int")
+        replies, phrases = _frequent(asked, ["head", "tail"], least)
         heads = found[-1].select(F.col("id").alias("head"), "lang", F.col("phrase").alias("begin"))
         tails = singles.select(F.col("id").alias("tail"), F.col("phrase").alias("end"))
-        named = answers.where(own).select("id", "head", "tail", "f").join(heads, "head").join(tails, "tail")
+        named = phrases.join(heads, "head").join(tails, "tail")
         found.append(settled(named.select("id", "lang", F.concat_ws(" ", "begin", "end").alias("phrase"), "f")))
     every = [x.select("lang", "phrase", F.lit(k + 1).alias("length"), "f") for k, x in enumerate(found)]
     out = every[0]
@@ -198,7 +207,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 4, least: int = 30, block_b
     return out, totals
 
 
-def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int = 2000, block_bytes: int = 8 << 20) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int = 2000, block_bytes: int = 16 << 20) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of two to ``longest`` words of each lang.
 
     Texts are cut into pieces at ``.,;:!?`` and line ends, and pieces into words at spaces and tabs, with A-Z in lower case. ``a`` is how often the
