@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from uuid import uuid4
 
 import numpy as np
@@ -93,30 +94,44 @@ class _Shard:
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], ["shard", "sequences", "documents", "n_docs", "n_ids"])
 
 
-def _write(folder: str, path: str, end_id: int, length: int):
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, cut = byte_level(path, False)
-        sizes_of = byte_sizes(byte_level_bytes(path, False)) if cut is parts_of else None
-        kind = np.dtype(np.uint16 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32)
-        end = kind.type(end_id).tobytes()
+class _Encoder:
+    """Texts to ids and an end, with what a worker remembers of earlier texts."""
+
+    def __init__(self, path: str, end_id: int):
+        self.tokenizer, self.cut = byte_level(path, False)
+        self.kind = np.dtype(np.uint16 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32)
+        self.end = self.kind.type(end_id).tobytes()
+        self.sizes, endings = None, {}
+        if self.cut is parts_of:
+            self.sizes = byte_sizes(byte_level_bytes(path, False))
+            endings = dict(zip(",.;:!?", self._ids(list(",.;:!?")), strict=True))
+        self.known = Remembered(lambda parts: after_a_space(self.tokenizer, self.sizes, parts, self.kind) if parts else [], endings)
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        def first_parts(parts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        parts = [self.cut(t) if t else [""] for t in texts]
+        heads = self._ids([p[0] for p in parts])
+        return [b"".join([head, *rest, self.end]) for head, rest in zip(heads, self.known.of([p[1:] for p in parts]), strict=True)]
 
-        def others(parts: list[str]) -> list[bytes]:
-            return [ids.astype(kind).tobytes() for ids in after_a_space(tokenizer, sizes_of, parts)] if parts else []
 
-        known, shard = Remembered(others), None
+@lru_cache(maxsize=2)
+def _encoder(path: str, end_id: int) -> _Encoder:
+    return _Encoder(path, end_id)
+
+
+def _write(folder: str, path: str, end_id: int, length: int):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, shard = _encoder(path, end_id), None
         for batch in by_bytes(batches, "text"):
             if not len(batch):
                 continue
             if shard is None:
-                shard = _Shard(folder, TaskContext.get().partitionId(), length, kind)
-            parts = [cut(t) if t else [""] for t in batch.column("text").to_pylist()]
-            heads = first_parts([p[0] for p in parts])
-            coded = [b"".join([head, *rest, end]) for head, rest in zip(heads, known.of([p[1:] for p in parts]), strict=True)]
-            sizes = np.array([len(x) for x in coded]) // kind.itemsize
-            shard.add(batch.column("doc_id"), sizes, np.frombuffer(b"".join(coded), kind))
+                shard = _Shard(folder, TaskContext.get().partitionId(), length, encoder.kind)
+            coded = encoder.of(batch.column("text").to_pylist())
+            sizes = np.array([len(x) for x in coded]) // encoder.kind.itemsize
+            shard.add(batch.column("doc_id"), sizes, np.frombuffer(b"".join(coded), encoder.kind))
         if shard is not None:
             yield shard.close()
 

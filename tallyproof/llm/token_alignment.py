@@ -79,7 +79,7 @@ class _Aligner:
         # B puts a space before what it is given.
         if not parts:
             return []
-        ids_a = [x.tolist() for x in after_a_space(self.a, self.sizes_a, parts)]
+        ids_a = [np.frombuffer(x, np.uint32).tolist() for x in after_a_space(self.a, self.sizes_a, parts)]
         ids_b = self.b.encode(parts, num_threads=1)
         return align(ids_a, ids_b, self.bytes_a, self.bytes_b, [f" {p}".encode() for p in parts])
 

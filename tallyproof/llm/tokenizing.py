@@ -19,8 +19,8 @@ import numpy as np
 #: A single space between two visible characters, and a space that isn't.
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 OTHER = re.compile(r" (?:(?![!-~\w])|(?<=[^!-~\w] ))")
-#: A part that can stand between others without a tokenizer seeing them.
-APART = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.S)
+VISIBLE = frozenset(map(chr, range(0x21, 0x7F)))
+TOGETHER = 200  # parts that are encoded as one text
 HELD = 200_000  # parts that a task remembers twice over
 LONGEST = 64  # characters of a part that is worth remembering
 
@@ -37,11 +37,12 @@ def whole(text: str) -> list[str]:
 class Remembered:
     """What ``encode`` makes of parts, which it is given many at a time.
 
-    Parts that are met again stay when a generation of them is full, so the frequent ones are encoded once.
+    Parts that are met again stay when a generation of them is full, so the frequent ones are encoded once. ``endings`` has what
+    becomes of characters that a tokenizer always parts from a letter or digit before them: such a part is the one without it, and that.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list], endings: dict[str, bytes] | None = None):
+        self.encode, self.endings = encode, endings or {}
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
@@ -50,22 +51,35 @@ class Remembered:
         if len(self.young) > HELD:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        wanted = {part for parts in texts for part in parts if part not in young}
-        new = []
-        for part in wanted:
-            found = old.get(part)
-            if found is None and part not in old:
-                new.append(part)
-            else:
-                young[part] = found
+        new, ended = [], []
+        for part in set().union(*texts):
+            if part not in young:
+                if part in old:
+                    young[part] = old[part]
+                elif part[-1:] in self.endings and part[-2:-1].isalnum():
+                    ended.append(part)
+                else:
+                    new.append(part)
+        if ended:
+            met = set(new)
+            new += [x for x in {part[:-1] for part in ended} if x not in young and x not in old and x not in met]
         young.update(zip(new, self.encode(new), strict=True))
-        out = [[young[part] for part in parts] for parts in texts]
+        for part in ended:
+            bare = part[:-1]
+            young[part] = (young[bare] if bare in young else old[bare]) + self.endings[part[-1]]
+        new += ended
+        out = [list(map(young.__getitem__, parts)) for parts in texts]
         for part in new:
             if len(part) > LONGEST:
-                del young[part]
+                young.pop(part, None)
         return out
 
 
+def _stands_apart(part: str) -> bool:
+    """Whether a part can stand between others, after a space each, without a tokenizer seeing them."""
+    return bool(part) and all(c in VISIBLE or c.isalnum() for c in (part[0], part[-1]))
+
+
 @lru_cache(maxsize=4)
 def byte_level(path: str, specials_as_text: bool):
     """A tokenizer from a file of the tokenizers library, and how to cut texts for it."""
@@ -82,28 +96,30 @@ def byte_level(path: str, specials_as_text: bool):
     return tokenizer, parts_of if plain and cut and added else whole
 
 
-def after_a_space(tokenizer, sizes: np.ndarray, parts: list[str]) -> list[np.ndarray]:
-    """The ids of each part as it is encoded after a space; ``sizes`` has the bytes of each id.
+def after_a_space(tokenizer, sizes: np.ndarray, parts: list[str], kind: np.dtype = np.dtype(np.uint32)) -> list[bytes]:
+    """The ids of each part as it is encoded after a space, as numbers of ``kind``; ``sizes`` has the bytes of each id.
 
-    Parts that can stand next to each other are encoded as one text, which costs half as much as one by one; the bytes that
+    Parts that can stand next to each other are encoded as one text, which costs less than one by one; the bytes that
     their ids stand for tell them apart again.
     """
-    joined = [k for k, part in enumerate(parts) if APART.fullmatch(part)]
+    joined = [k for k, part in enumerate(parts) if _stands_apart(part)]
+    groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
+    texts = [" " + " ".join([parts[k] for k in group]) for group in groups]
     out: list = [None] * len(parts)
-    for i in range(0, len(joined), 4000):
-        some = joined[i : i + 4000]
-        texts = [f" {parts[k]}" for k in some]
-        ids = np.array(tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+    for group, text, found in zip(groups, texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        ids = np.array(found.ids, np.uint32)
         ends = np.cumsum(sizes[ids])
-        stops = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
+        lengths = [len(parts[k]) + 1 for k in group] if text.isascii() else [len(parts[k].encode()) + 1 for k in group]
+        stops = np.cumsum(lengths)
         at = np.searchsorted(ends, stops)
-        if len(ends) and ends[-1] == stops[-1] and (ends[at] == stops).all():
-            cuts = (at + 1).tolist()
-            for k, a, b in zip(some, [0, *cuts], cuts, strict=False):
-                out[k] = ids[a:b]
+        if ends[-1] == stops[-1] and (ends[at] == stops).all():
+            cuts = ((at + 1) * kind.itemsize).tolist()
+            data = ids.astype(kind).tobytes()
+            for k, a, b in zip(group, [0, *cuts], cuts, strict=False):
+                out[k] = data[a:b]
     alone = [k for k, x in enumerate(out) if x is None]
-    for k, e in zip(alone, tokenizer.encode_batch_fast([f" {parts[k]}" for k in alone], add_special_tokens=False), strict=True):
-        out[k] = np.array(e.ids, np.uint32)
+    for k, found in zip(alone, tokenizer.encode_batch_fast([f" {parts[k]}" for k in alone], add_special_tokens=False), strict=True):
+        out[k] = np.array(found.ids, kind).tobytes()
     return out
 
 

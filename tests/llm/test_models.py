@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyproof.llm import gru, kneser_ney, language_model, quality_mil
 from tallyproof.llm.common import fold
+from tallyproof.llm.labelled import labelled_sample
 from tallyproof.llm.queries import QUERIES
 
 CLASSIFIERS = [(quality_mil.score_quality, "quality"), (kneser_ney.score_toxicity, "toxic")]
@@ -45,6 +46,41 @@ def test_awkward_documents(spark, awkward, score, label):
     assert {round(r["score"], 6) for r in none} == {0.5}
 
 
+def test_passages_do_not_see_other_texts():
+    """Each text alone, in order, reversed, and in batches of other sizes."""
+    texts = [b"", b"One. Two!", b"", b"9", b"x" * 512, b"a b\n" * 400, b"(end)", b"\tz ", b"", b"caf\xc3\xa9 " * 300]
+    alone = [quality_mil.features([t], quality_mil.WordBuckets()) for t in texts]
+    for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+        for size in (1, 2, 3, len(texts)):
+            for at in range(0, len(texts), size):
+                some = list(order)[at : at + size]
+                x, counts = quality_mil.features([texts[k] for k in some], quality_mil.WordBuckets())
+                assert counts.tolist() == [alone[k][1][0] for k in some]
+                assert np.array_equal(x, np.concatenate([alone[k][0] for k in some]))
+    # The same numbers by plain counting over the characters of one passage.
+    x = alone[1][0][0]
+    kinds = [int(quality_mil.CHAR_CLASS[c]) for c in texts[1] + b" "]
+    pairs = Counter(zip(kinds, kinds[1:], strict=False))
+    want = np.zeros(256)
+    for (a, b), n in pairs.items():
+        want[a * quality_mil.CLASSES + b] = math.sqrt(n / sum(pairs.values()))
+    assert np.allclose(x[quality_mil.WORDS : quality_mil.WORDS + 256], want)
+
+
+def test_examples_that_do_not_fit_are_passed_over(spark, prose):
+    rows = [(k, prose(k, 20)) for k in range(40)] + [(100, prose(100, 3_000)), (101, prose(0, 20)), (102, prose(0, 20)), (5, prose(5, 21)), (None, "x"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(100, 1), (101, 0), (102, 1), (5, 0)], "doc_id long, mark int")
+    texts = {t for _, t in rows}
+    for size in (400, 1_000, 1 << 20):
+        got = labelled_sample(docs, marks, "mark", F.lit(True), 1_000, size)
+        found = [t.decode() for _, t in got]
+        assert len(found) == len(set(found)) and set(found) <= texts
+        assert all(sum(len(t) for y, t in got if y == label) <= size and all(len(t) <= size // 8 for y, t in got) for label in (0, 1))
+    assert len(found) == 42 and {y for y, t in got if t.decode() == prose(0, 20)} == {1}
+    assert len(labelled_sample(docs, marks, "mark", F.lit(True), 3, 1 << 20)) == 6
+
+
 def test_labels_outside_the_fold_are_not_learned(spark, awkward):
     labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(1, 12)], "doc_id long, quality int, toxic int")
     for score, _ in CLASSIFIERS:

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +157,57 @@ def test_empty(spark, awkward, remove):
     assert {r["n_removed"] for r in remove(awkward.where("text is null")).collect()} == {0}
     none = remove(awkward.withColumn("doc_id", F.lit(None).cast("long"))).collect()
     assert {r["n_removed"] for r in none} == {0}
+
+
+def test_long_texts_are_looked_at_in_segments(spark, prose):
+    """Texts beyond the megabyte that is looked at together, with passages across its borders."""
+    long = prose(5, 330_000, 30_000)
+    border = superkmers.TEXT
+    rows = [(1, long), (2, f"{prose(6, 50)} {long[border - 300 : border + 300]} {prose(7, 50)}"), (3, long[200:]), (4, long[2 * border - 90 : 2 * border + 90])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert len(long) > 2 * border
+    assert collected(superkmers.remove_repeats(df, width=13), "doc_id", "n_words", "n_removed", "kept_sha256") == words_kept(rows, 13)
+    got = {r["doc_id"]: r for r in merged_bwt.remove_repeated_bytes(df, length=100).collect()}
+    assert [got[k]["n_removed"] for k in (1, 2, 3, 4)] == [0, 602, len(long) - 200, 180]
+
+
+def test_segments_hold_every_window_once():
+    text = b"  a bb \t ccc\ndddd e  f " * 40
+    words = text.split()
+    pieces = list(superkmers.word_segments(5)(text, 50))
+    got = [(first + i, tuple(p.split()[i : i + 5])) for first, p in pieces for i in range(len(p.split()) - 4)]
+    assert len(pieces) > 10 and got == [(i, tuple(words[i : i + 5])) for i in range(len(words) - 4)]
+    got = [(first + i, p[i : i + 40]) for first, p in merged_bwt.byte_segments(40)(text, 64) for i in range(len(p) - 39)]
+    assert got == [(i, text[i : i + 40]) for i in range(len(text) - 39)]
+
+
+def sent(send, texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array(texts)], ["doc_id", "text_key", "text"])
+    return [b for b in send(iter([batch]))]
+
+
+@pytest.mark.parametrize("make", [lambda n, parts: superkmers._send(13, [2, 7, 13], n, parts, []), lambda n, parts: merged_bwt._send(100, n, parts, [])])
+def test_what_is_sent_does_not_follow_the_number_of_buckets(make, prose):
+    texts = [prose(k, 2_000, 5_000) for k in range(200)]
+    few, many = (sum(b.nbytes for b in sent(make(n, 20), texts)) for n in (20, 2_000))
+    assert many < 1.2 * few
+
+
+def test_what_is_received_is_what_was_sent():
+    rng = np.random.default_rng(1)
+    out = superkmers.Outbox(100, 7, b" ")
+    strings = [(int(rng.integers(100)), int(rng.integers(10**12)), int(rng.integers(-(2**31), 2**31)), int(k), int(rng.integers(1, 9)), int(rng.integers(2**32)), b"s%d" % k) for k in range(500)]
+    for s in strings:
+        out.send(*s)
+    out.repeats(5, 6, 7, 2)
+    out.repeats(5, 6, 9, 3)
+    rows = out.flush().to_pandas()
+    assert not out.held and out.flushed == 1 and rows["part"].max() < 7
+    got, known = [], []
+    for part, group in rows.groupby("part"):
+        x, buckets = superkmers.received(group)
+        known += list(zip(*(x[n].tolist() for n in ("docs", "keys", "starts", "windows")), strict=True))
+        for x, packed in buckets:
+            words = b" ".join(packed).split()
+            got += [(*row, w) for row, w in zip(zip(*(x[n].tolist() for n in superkmers.NUMBERS), strict=True), words, strict=True)]
+    assert known == [(5, 6, 7, 5)] and sorted(got) == sorted(s[1:] for s in strings)

@@ -31,7 +31,7 @@ def test_parts_give_the_ids_of_whole_texts(spark, data, monkeypatch):
     for specials in (False, True):
         tokenizer, cut = tokenizing.byte_level(A, specials)
         sizes = tokenizing.byte_sizes(tokenizing.byte_level_bytes(A, specials))
-        known = tokenizing.Remembered(lambda parts, t=tokenizer, n=sizes: [x.tolist() for x in tokenizing.after_a_space(t, n, parts)])
+        known = tokenizing.Remembered(lambda parts, t=tokenizer, n=sizes: [np.frombuffer(x, np.uint32).tolist() for x in tokenizing.after_a_space(t, n, parts)])
         for some in (texts, texts[::-1], texts):
             got = [[i for ids in x for i in ids] for x in known.of([cut(t) for t in some])]
             assert got == encoded([f" {t}" for t in some], specials)
