@@ -95,8 +95,44 @@ def dq_result(
     if on_missing_view not in ("error", "red"):
         raise ValueError("on_missing_view must be 'error' or 'red'")
     fact, view, status = (on_date(df, business_date, grain[0]) for df in (fact, view, status))
-    on_fact = counters(fact, reading(checks, "fact"), grain, duplicate_keys)
-    on_view = counters(view, reading(checks, "view"), grain).withColumnRenamed(ROWS, "_view_rows")
+    on_fact = fact_counters(fact, checks, grain, duplicate_keys)
+    on_view = view_counters(view, checks, grain)
+    return judged(on_fact, on_view, status, run_ts, checks, theme, issue_object, created_by, on_missing_view, grain, load_keys)
+
+
+def fact_counters(
+    fact: DataFrame, checks: Sequence[Check] = BREAK_CHECKS, grain: Sequence[str] = GRAIN, duplicate_keys: Sequence[str] = DUPLICATE_KEYS
+) -> DataFrame:
+    """Rows and counters of the fact's checks per grain."""
+    return counters(fact, reading(checks, "fact"), grain, duplicate_keys)
+
+
+def view_counters(view: DataFrame, checks: Sequence[Check] = BREAK_CHECKS, grain: Sequence[str] = GRAIN) -> DataFrame:
+    """Rows and counters of the view's checks per grain."""
+    return counters(view, reading(checks, "view"), grain)
+
+
+def judged(
+    on_fact: DataFrame,
+    on_view: DataFrame,
+    status: DataFrame,
+    run_ts: datetime,
+    checks: Sequence[Check] = BREAK_CHECKS,
+    theme: str = "Breaks",
+    issue_object: str = "fact",
+    created_by: str = "tallyproof",
+    on_missing_view: str = "error",
+    grain: Sequence[str] = GRAIN,
+    load_keys: Sequence[str] = (DATE, "cluster_type"),
+) -> DataFrame:
+    """The result rows of :func:`dq_result` from counters, fresh ones or those that are kept (``sources.recheck``).
+
+    Counters of business dates add up to those of the table: a date's rows are counted alone, as the keys of duplicates hold
+    the date. So a recheck counts only dates that changed and judges all.
+    """
+    if on_missing_view not in ("error", "red"):
+        raise ValueError("on_missing_view must be 'error' or 'red'")
+    on_view = on_view.withColumnRenamed(ROWS, "_view_rows")
     grains = completeness(on_fact, source_counts(status, by=load_keys), by=load_keys).alias("f").join(
         on_view.alias("v"), null_safe("f", "v", grain), "left"
     )

@@ -103,6 +103,25 @@ def dq_result_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.supersede(first, again, ["dwh_business_date"])
 
 
+def dq_result_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of every date from counters that were kept, and fresh ones of the dates that have changed since.
+
+    Since the counters were taken, two dates have got a third of their rows and one has lost some that were booked twice.
+    """
+    now = supplied.fact(spark, sf_dir)
+    late = "dwh_business_date IN (19940101, 19970101) AND k % 3 = 0"
+    then = now.where(f"NOT ({late})").unionByName(now.where("dwh_business_date = 19950101 AND k % 7 = 1"))
+    changed = counters.changed_parts(then, now, "dwh_business_date")
+    fresh = incremental.rescan(now, changed, "dwh_business_date")
+    sides = []
+    for count, old, new in (
+        (quality.fact_counters, then, fresh),
+        (quality.view_counters, supplied.fact_view(spark, sf_dir, base=then), supplied.fact_view(spark, sf_dir, base=fresh)),
+    ):
+        sides.append(incremental.replaced(count(old), count(new), changed))
+    return quality.judged(*sides, supplied.source_status(spark, sf_dir), RUN_TS)
+
+
 def count_table_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the count table for every check that failed."""
     booked = recon.count_by_grain(supplied.fact(spark, sf_dir), "bi_count")
@@ -353,7 +372,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         filter_gt, grain_distinct, source_counts, dq_fact_counters, dq_view_counters, dq_duplicates,
         dq_completeness, dq_fx_rate, dq_ownership_hierarchy, dq_ownership_hierarchy_strict, dq_result,
-        dq_result_daily, dq_result_rerun, count_table_failures, onfly_dashboard, onfly_routing, cob_prev_failures, cob_status_change,
+        dq_result_daily, dq_result_rerun, dq_result_incremental, count_table_failures, onfly_dashboard, onfly_routing, cob_prev_failures, cob_status_change,
         cob_status_history, last_load_ts, incremental_rows, version_assign, high_watermark_per_env,
         lookup_delta, incremental_scan_keys, incremental_rescan, incremental_cycle, kpi_theme_filter, recon_counts,
         recon_status_view, recon_result, recon_counters, status_domain_violations,

@@ -1,5 +1,6 @@
 from tallyproof.sources.changes import finish_changes, rewrite_partitions
 from tallyproof.sources.compaction import compact_partitions
+from tallyproof.sources.counter_store import recheck
 from tallyproof.sources.external import read_csv, read_jdbc, write_csv, write_jdbc
 from tallyproof.sources.switching import finish_switches, partition_columns, rewrite_table_partitions
 from tallyproof.sources.tables import (
@@ -39,6 +40,7 @@ __all__ = [
     "read_csv",
     "read_current",
     "read_jdbc",
+    "recheck",
     "reload_by_sql",
     "retain_versions",
     "rewrite_partitions",

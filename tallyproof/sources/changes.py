@@ -88,14 +88,14 @@ def _directories_of(part: DataFrame, by: Sequence[str]) -> list[str]:
     return [r[0] for r in part.select(directory_of("_file", by)).distinct().collect()]
 
 
-def _values(spark: SparkSession, directories: Iterable[str], schema: T.StructType, by: Sequence[str]) -> DataFrame:
-    """Partition directories as rows of partition values."""
+def _values(spark: SparkSession, directories: Iterable[str], schema: T.StructType, by: Sequence[str], with_directory: bool = False) -> DataFrame:
+    """Partition directories as rows of partition values, and ``_directory`` if asked for."""
     rows = []
     for directory in directories:
         texts = [unquote(level.split("=", 1)[1]) for level in directory.split("/")]
-        rows.append([None if t == _NULL else t for t in texts])
-    texts = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in by))
-    return texts.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in by])
+        rows.append([*(None if t == _NULL else t for t in texts), directory])
+    texts = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in (*by, "_directory")))
+    return texts.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in by], *["_directory"] * with_directory)
 
 
 def finish_changes(spark: SparkSession, path: str) -> int:

@@ -334,3 +334,35 @@ def test_equal_copies_shuffle_digests_only(spark):
     assert history.compare_copies(a, other).count() == 2
     typed = a.withColumn("id", F.col("id").cast("int"))
     assert history.compare_copies(a, typed).isEmpty()
+
+
+def test_a_recheck_reads_changed_partitions_only(spark, data, tmp_path):
+    from tallyproof.operators import quality
+    from tallyproof.plans import supplied
+    from tallyproof.plans.registry import RUN_TS
+
+    path, store = str(tmp_path / "fact"), str(tmp_path / "store")
+    by = ["dwh_business_date"]
+    fact = supplied.fact(spark, data("0.001"))
+    fact.write.partitionBy(*by).parquet(path)
+    read = []
+
+    def count(rows):
+        read.append({r[0] for r in rows.select(*by).distinct().collect()})
+        return quality.fact_counters(rows)
+
+    days = {r[0] for r in fact.select(*by).distinct().collect()}
+
+    def matches():
+        return history.compare_copies(sources.recheck(spark, path, by, store, count), quality.fact_counters(spark.read.parquet(path))).isEmpty()
+
+    assert matches() and read == [days]
+    assert matches() and read == [days]  # nothing has changed, nothing is read
+    spark.read.parquet(path).where("dwh_business_date = 19950101 AND k % 2 = 0").write.mode("append").partitionBy(*by).parquet(path)
+    (tmp_path / "fact" / "dwh_business_date=19970101").rename(tmp_path / "gone")
+    assert matches() and read == [days, {19950101}]
+    on_fact = sources.recheck(spark, path, by, store, count)
+    view = supplied.fact_view(spark, data("0.001"), base=spark.read.parquet(path))
+    status = supplied.source_status(spark, data("0.001"))
+    assert history.compare_copies(quality.judged(on_fact, quality.view_counters(view), status, RUN_TS), quality.dq_result(spark.read.parquet(path), view, status, RUN_TS)).isEmpty()
+    assert len(read) == 2 and versioned.current_version(spark, store) == 2
