@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import by_bytes, pieces, text_bytes, tidied
-from tallyproof.llm.tokenizing import Remembered, after_a_space, byte_level, byte_level_bytes, byte_sizes, parts_of
+from tallyproof.llm.tokenizing import Remembered, SpacedParts, byte_level, divided_words, parts_of
 
 MANIFEST = "shard int, sequences string, documents string, n_docs long, n_ids long"
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
 PER_BATCH = 128  # sequences of a batch
 INDEXED = 50_000  # documents of a batch of the second file
+HELD = 400_000  # words that a worker remembers twice over, in some 200 bytes each
 
 
 def store(path: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -101,11 +102,9 @@ class _Encoder:
         self.tokenizer, self.cut = byte_level(path, False)
         self.kind = np.dtype(np.uint16 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32)
         self.end = self.kind.type(end_id).tobytes()
-        self.sizes, endings = None, {}
-        if self.cut is parts_of:
-            self.sizes = byte_sizes(byte_level_bytes(path, False))
-            endings = dict(zip(",.;:!?", self._ids(list(",.;:!?")), strict=True))
-        self.known = Remembered(lambda parts: after_a_space(self.tokenizer, self.sizes, parts, self.kind) if parts else [], endings)
+        # Where texts are not cut, all there is is their first part.
+        encode = SpacedParts(path, False, self.kind, pieces=True) if self.cut is parts_of else self._ids
+        self.known = Remembered(encode, HELD, divided_words)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

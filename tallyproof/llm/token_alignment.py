@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import block_numbers, by_bytes, pack, settled, tidied, unpack, within_bound
-from tallyproof.llm.tokenizing import Remembered, after_a_space, byte_level, byte_level_bytes, byte_sizes, parts_of, piece_bytes, sentence_pieces, whole
+from tallyproof.llm.tokenizing import Remembered, SpacedParts, byte_level, byte_level_bytes, parts_of, piece_bytes, sentence_pieces, whole
 
 #: A block: 32 bytes a text in ``keys`` and ``digests``; its parts' codes by text; numbers and links (places in ``pairs``) by part; copies of each pair.
 ARRAYS = {"sizes": np.int32, "codes": np.int32, "n_a": np.int32, "n_b": np.int32, "n_groups": np.int32, "n_links": np.int32, "links": np.int32, "pairs": np.int64, "weights": np.int64}
@@ -72,14 +72,17 @@ class _Aligner:
         self.b, cut_b = sentence_pieces(path_b)
         self.cut = parts_of if cut_a is cut_b is parts_of else whole
         self.bytes_a, self.bytes_b = byte_level_bytes(path_a, True), piece_bytes(path_b)
-        self.sizes_a = byte_sizes(self.bytes_a)
+        self.spaced_a = SpacedParts(path_a, True) if self.cut is parts_of else None
         self.known = Remembered(self._aligned)
 
     def _aligned(self, parts: list[str]) -> list[tuple | None]:
         # B puts a space before what it is given.
         if not parts:
             return []
-        ids_a = [np.frombuffer(x, np.uint32).tolist() for x in after_a_space(self.a, self.sizes_a, parts)]
+        if self.spaced_a is None:
+            ids_a = [e.ids for e in self.a.encode_batch_fast([f" {p}" for p in parts], add_special_tokens=False)]
+        else:
+            ids_a = [np.frombuffer(x, np.uint32).tolist() for x in self.spaced_a(parts)]
         ids_b = self.b.encode(parts, num_threads=1)
         return align(ids_a, ids_b, self.bytes_a, self.bytes_b, [f" {p}".encode() for p in parts])
 

@@ -21,7 +21,9 @@ CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 OTHER = re.compile(r" (?:(?![!-~\w])|(?<=[^!-~\w] ))")
 VISIBLE = frozenset(map(chr, range(0x21, 0x7F)))
 TOGETHER = 200  # parts that are encoded as one text
-HELD = 200_000  # parts that a task remembers twice over
+#: A line end that does not stand between two visible characters, and marks that are parted from a letter or digit before them.
+LOOSE = re.compile(r"\n(?![!-~\w])|(?<![!-~\w])\n")
+MARKS = frozenset(",.;:!?")
 LONGEST = 64  # characters of a part that is worth remembering
 
 
@@ -37,44 +39,67 @@ def whole(text: str) -> list[str]:
 class Remembered:
     """What ``encode`` makes of parts, which it is given many at a time.
 
-    Parts that are met again stay when a generation of them is full, so the frequent ones are encoded once. ``endings`` has what
-    becomes of characters that a tokenizer always parts from a letter or digit before them: such a part is the one without it, and that.
+    Up to ``held`` parts of two generations stay, and those that are met again stay longer, so frequent ones are encoded once. ``divide`` may
+    take a part that is new apart, into parts that become the same one after another.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], endings: dict[str, bytes] | None = None):
-        self.encode, self.endings = encode, endings or {}
+    def __init__(self, encode: Callable[[list[str]], list], held: int = 100_000, divide: Callable[[str], list[str]] | None = None):
+        self.encode, self.held, self.divide = encode, held, divide
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
+    def _learn(self, parts: list[str]) -> None:
+        self.young.update(zip(parts, self.encode(parts), strict=True))
+
     def of(self, texts: list[list[str]]) -> list[list]:
         """What each part of each text becomes, in order."""
-        if len(self.young) > HELD:
+        if len(self.young) > self.held:
             self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        new, ended = [], []
+        young, old, divide = self.young, self.old, self.divide
+        new, divided = [], []
         for part in set().union(*texts):
             if part not in young:
-                if part in old:
-                    young[part] = old[part]
-                elif part[-1:] in self.endings and part[-2:-1].isalnum():
-                    ended.append(part)
-                else:
+                found = old.get(part)
+                if found is not None:
+                    young[part] = found
+                elif divide is None or part.isalpha():  # a word is never divided
                     new.append(part)
-        if ended:
-            met = set(new)
-            new += [x for x in {part[:-1] for part in ended} if x not in young and x not in old and x not in met]
-        young.update(zip(new, self.encode(new), strict=True))
-        for part in ended:
-            bare = part[:-1]
-            young[part] = (young[bare] if bare in young else old[bare]) + self.endings[part[-1]]
-        new += ended
+                else:
+                    pieces = divide(part)
+                    if len(pieces) > 1:
+                        divided.append((part, pieces))
+                    else:
+                        new.append(part)
+        self._learn(new)
+        if divided:
+            more = [piece for piece in {piece for _, pieces in divided for piece in pieces} if piece not in young]
+            young.update((piece, old[piece]) for piece in more if piece in old)
+            self._learn([piece for piece in more if piece not in young])
+            for part, pieces in divided:
+                young[part] = b"".join([young[piece] for piece in pieces])
         out = [list(map(young.__getitem__, parts)) for parts in texts]
         for part in new:
             if len(part) > LONGEST:
-                young.pop(part, None)
+                del young[part]
         return out
 
 
+def divided_words(part: str) -> list[str]:
+    """A part of words and line ends, as byte-level rules divide it: before a line end, and before a last mark of punctuation.
+
+    A piece that begins with a line end follows no space, nor does one that is a single mark after ``\\0``.
+    """
+    lines = part.split("\n") if "\n" in part and not LOOSE.search(part) else [part]
+    out = []
+    for k, line in enumerate(lines):
+        bare = f"\n{line}" if k else line
+        if line[-1:] in MARKS and line[-2:-1].isalnum():
+            out += [bare[:-1], f"\0{line[-1]}"]
+        else:
+            out.append(bare)
+    return out
+
+
 def _stands_apart(part: str) -> bool:
     """Whether a part can stand between others, after a space each, without a tokenizer seeing them."""
     return bool(part) and all(c in VISIBLE or c.isalnum() for c in (part[0], part[-1]))
@@ -96,31 +121,61 @@ def byte_level(path: str, specials_as_text: bool):
     return tokenizer, parts_of if plain and cut and added else whole
 
 
-def after_a_space(tokenizer, sizes: np.ndarray, parts: list[str], kind: np.dtype = np.dtype(np.uint32)) -> list[bytes]:
-    """The ids of each part as it is encoded after a space, as numbers of ``kind``; ``sizes`` has the bytes of each id.
+class SpacedParts:
+    """Encodes parts as they stand after a space, for a tokenizer whose texts can be cut.
 
     Parts that can stand next to each other are encoded as one text, which costs less than one by one; the bytes that
-    their ids stand for tell them apart again.
+    their ids stand for tell them apart again. Words of letters alone go to the same model without the rules that would
+    find them in a text. With ``pieces``, parts may be pieces of ``divided_words``; the parts of a text after its first never begin like these.
     """
-    joined = [k for k, part in enumerate(parts) if _stands_apart(part)]
-    groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
-    texts = [" " + " ".join([parts[k] for k in group]) for group in groups]
-    out: list = [None] * len(parts)
-    for group, text, found in zip(groups, texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-        ids = np.array(found.ids, np.uint32)
-        ends = np.cumsum(sizes[ids])
-        lengths = [len(parts[k]) + 1 for k in group] if text.isascii() else [len(parts[k].encode()) + 1 for k in group]
-        stops = np.cumsum(lengths)
-        at = np.searchsorted(ends, stops)
-        if ends[-1] == stops[-1] and (ends[at] == stops).all():
-            cuts = ((at + 1) * kind.itemsize).tolist()
-            data = ids.astype(kind).tobytes()
+
+    def __init__(self, path: str, specials_as_text: bool, kind: np.dtype = np.dtype(np.uint32), pieces: bool = False):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, _ = byte_level(path, specials_as_text)
+        self.sizes = np.array([len(x) for x in byte_level_bytes(path, specials_as_text)], np.int64)
+        self.kind, self.pieces = kind, pieces
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")  # which no word holds
+        self.written = str.maketrans({chr(b): c for c, b in byte_alphabet().items()} | {"\n": "\n"})
+
+    def __call__(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, as numbers of ``kind``."""
+        out: list = [None] * len(parts)
+        letters, others = [], []
+        for k, part in enumerate(parts):
+            if part.isalpha():
+                letters.append(k)
+            elif _stands_apart(part.removeprefix("\n") if self.pieces else part):
+                others.append(k)
+        for some, tokenizer, as_text in ((letters, self.words, self._as_words), (others, self.tokenizer, "".join)):
+            groups = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
+            spaced = [[self._placed(parts[k]) for k in group] for group in groups]
+            for group, texts, found in zip(groups, spaced, tokenizer.encode_batch_fast(list(map(as_text, spaced)), add_special_tokens=False), strict=True):
+                self._share(out, group, texts, found.ids)
+        alone = [k for k, x in enumerate(out) if x is None]
+        texts = [self._placed(parts[k]) for k in alone]
+        for k, found in zip(alone, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            out[k] = np.array(found.ids, self.kind).tobytes()
+        return out
+
+    def _placed(self, part: str) -> str:
+        return part.removeprefix("\0") if self.pieces and part[0] in "\n\0" else f" {part}"
+
+    def _as_words(self, texts: list[str]) -> str:
+        return "\n".join(texts).encode().decode("latin-1").translate(self.written)
+
+    def _share(self, out: list, group: list[int], texts: list[str], found: list[int]) -> None:
+        """Give each part of a group its ids, if their bytes end where the parts do."""
+        ids = np.array(found, np.uint32)
+        ends = np.cumsum(self.sizes[ids])
+        stops = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
+        at = np.minimum(np.searchsorted(ends, stops), len(ends) - 1)
+        if len(ends) and ends[-1] == stops[-1] and (ends[at] == stops).all():
+            cuts = ((at + 1) * self.kind.itemsize).tolist()
+            data = ids.astype(self.kind).tobytes()
             for k, a, b in zip(group, [0, *cuts], cuts, strict=False):
                 out[k] = data[a:b]
-    alone = [k for k, x in enumerate(out) if x is None]
-    for k, found in zip(alone, tokenizer.encode_batch_fast([f" {parts[k]}" for k in alone], add_special_tokens=False), strict=True):
-        out[k] = np.array(found.ids, kind).tobytes()
-    return out
 
 
 @lru_cache(maxsize=4)
@@ -151,10 +206,6 @@ def byte_level_bytes(path: str, specials_as_text: bool) -> list[bytes]:
     return [added[i] if i in added else bytes(of[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
 
 
-def byte_sizes(table: list[bytes]) -> np.ndarray:
-    return np.array([len(x) for x in table], np.int64)
-
-
 @lru_cache(maxsize=4)
 def piece_bytes(path: str) -> list[bytes]:
     """The bytes of each piece: U+2581 is a space, <0xHH> a byte."""

@@ -25,20 +25,34 @@ def encoded(texts, specials_as_text=False):
     return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_parts_give_the_ids_of_whole_texts(spark, data, monkeypatch):
-    monkeypatch.setattr(tokenizing, "HELD", 500)
+def test_parts_give_the_ids_of_whole_texts(spark, data):
     texts = [r["text"] or "" for r in spark.read.parquet(f"{data('0.001')}/documents.parquet").select("text").collect()] + ODD
+    encoder = sequence_files._Encoder(A, 0)
+    encoder.known.held = 500
+    for some in (texts, texts[::-1], texts):
+        assert [np.frombuffer(x, np.uint16)[:-1].tolist() for x in encoder.of(some)] == encoded(some)
     for specials in (False, True):
-        tokenizer, cut = tokenizing.byte_level(A, specials)
-        sizes = tokenizing.byte_sizes(tokenizing.byte_level_bytes(A, specials))
-        known = tokenizing.Remembered(lambda parts, t=tokenizer, n=sizes: [np.frombuffer(x, np.uint32).tolist() for x in tokenizing.after_a_space(t, n, parts)])
+        _, cut = tokenizing.byte_level(A, specials)
+        known = tokenizing.Remembered(tokenizing.SpacedParts(A, specials), 500)
         for some in (texts, texts[::-1], texts):
-            got = [[i for ids in x for i in ids] for x in known.of([cut(t) for t in some])]
+            got = [np.frombuffer(b"".join(x), np.uint32).tolist() for x in known.of([cut(t) for t in some])]
             assert got == encoded([f" {t}" for t in some], specials)
     processor, cut = tokenizing.sentence_pieces(B)
     assert [[i for p in cut(t) for i in processor.encode(p)] for t in texts] == [processor.encode(t) for t in texts]
 
 
+def test_parts_are_divided_as_the_rules_do():
+    assert tokenizing.divided_words("end.\nNext") == ["end", "\0.", "\nNext"]
+    assert tokenizing.divided_words("a,") == ["a", "\0,"] and tokenizing.divided_words("a),") == ["a),"]
+    for part in ("a\n", "\na", "a\n\nb", "a \nb", "a\r\nb"):
+        assert tokenizing.divided_words(part) == [part]
+    parts = ["end.\nNext,", "don't.\nI've", "x1.\n2y;", "É.\nÈ", "word", "ªº", "²³", "l\u0301ma", "<|endoftext|>.\nq", "\u2028x", "a\x0bb."]
+    pieces = [tokenizing.divided_words(p) for p in parts]
+    for specials in (False, True):
+        got = [np.frombuffer(b"".join(x), np.uint32).tolist() for x in tokenizing.Remembered(tokenizing.SpacedParts(A, specials, pieces=True)).of(pieces)]
+        assert got == encoded([f" {p}" for p in parts], specials)
+
+
 def test_texts_are_cut_at_single_spaces_between_visible_characters():
     for text in ODD + ["a b c", " a b", "a  b c", "a \n b c", "a b ", "é à\u00a0b c", "x\u0301 y z"]:
         parts = tokenizing.parts_of(text)
