@@ -99,6 +99,17 @@ def with_fields(schema: StructType, added: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(added).fields])
 
 
+def set_aside(docs: DataFrame, *replaced: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` as doc_id, text and all other columns in one, so that no name clashes with an operator's; and the columns to select at the end.
+
+    Columns in ``replaced`` are left out.
+    """
+    kept = [c for c in docs.columns if c not in replaced]
+    others = [c for c in kept if c not in ("doc_id", "text")]
+    rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest")] if others else []
+    return docs.select("doc_id", "text", *rest), [F.col("_rest").getField(c).alias(c) if c in others else F.col(c) for c in kept]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or one beside the warehouse's tables."""
     return checkpoint_folder(spark)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import settled, within_bound
+from tallyproof.llm.common import set_aside, settled, within_bound
 from tallyproof.llm.phrase_index import words_of
 
 SHINGLE, WINDOW, STRIDE, BANDS = 5, 8, 4, 24
@@ -126,10 +126,11 @@ def scan(docs: DataFrame, templates: DataFrame, least: float = 0.8) -> DataFrame
     Columns of ``docs`` with these names are replaced. A NULL or short text has none. Rows that share a
     doc_id are told apart by their text; a NULL doc_id is matched like any other.
     """
-    base = docs.drop("licenses", "n_templates", "text_key").withColumn("text_key", F.xxhash64("text"))
-    found = license_matches(docs, templates).where(F.col("containment") >= least)
+    own, columns = set_aside(docs, "licenses", "n_templates")
+    base = own.withColumn("text_key", F.xxhash64("text"))
+    found = license_matches(own, templates).where(F.col("containment") >= least)
     by_doc = found.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("license")).alias("_names"), F.count_distinct("template_id").alias("_n"))
     by_doc = by_doc.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
     out = base.join(by_doc, F.expr("doc_id <=> _doc AND text_key = _key"), "left")
     out = out.withColumns({"licenses": F.coalesce("_names", F.expr("cast(array() as array<string>)")), "n_templates": F.coalesce("_n", F.lit(0).cast("long"))})
-    return out.drop("_doc", "_key", "_names", "_n", "text_key")
+    return out.select(*columns, "licenses", "n_templates")

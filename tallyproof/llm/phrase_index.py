@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import settled, within_bound
+from tallyproof.llm.common import set_aside, settled, within_bound
 
 OTHER = r"[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what stands between words, in either case
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,8 +84,8 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     without words match nothing, and a repeated item_id is one item with several texts. Rows that share a doc_id
     are told apart by their text. A row with a NULL doc_id is matched like any other.
     """
-    mine = ("n_words", "n_hit", "item_ids", "n_items", "contaminated", "text_key")
-    own = docs.drop(*mine)
+    mine = ("n_words", "n_hit", "item_ids", "n_items", "contaminated")
+    own, columns = set_aside(docs, *mine)
     hits = matches(own, items.where("item_id is not null"), width).where("phrase")
     # Spans of one document, merged from left to right: a span adds what lies beyond the furthest end so far.
     covered = """aggregate(array_sort(spans), struct(0 AS upto, 0 AS n),
@@ -96,4 +96,5 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     joined = base.join(by_doc, F.expr("doc_id <=> _doc AND text_key = _key"), "left")
     none = F.expr("cast(array() as array<string>)")
     out = joined.withColumns({"n_hit": F.coalesce("_hit", F.lit(0).cast("long")), "item_ids": F.coalesce("_ids", none)})
-    return out.withColumns({"n_items": F.size("item_ids").cast("long"), "contaminated": F.col("n_hit") > 0}).drop("_doc", "_key", "_hit", "_ids", "text_key")
+    out = out.withColumns({"n_items": F.size("item_ids").cast("long"), "contaminated": F.col("n_hit") > 0})
+    return out.select(*columns, *mine)

@@ -135,3 +135,15 @@ def test_mixture_of_awkward_and_empty(spark, awkward):
     assert mixing.mix(awkward, F.lit("d"), {}).count() == awkward.count()
     assert mixing.mix(awkward.where("false"), F.lit("d"), {}).count() == 0
     assert {r["copies"] for r in mixing.mix(awkward.where("text is null"), F.lit("d"), {}).collect()} == {0}
+
+
+def test_columns_of_any_name_come_back(spark, awkward):
+    names = ["_doc", "_key", "_hit", "_ids", "_names", "_n", "_rest", "n_hit", "text_key", "words"]
+    docs = awkward.select("text", "doc_id", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    items = spark.createDataFrame([("i", awkward.where("doc_id = 1").first()["text"])], "item_id string, text string")
+    found = phrase_index.contamination(docs, items)
+    kept = [n for n in names if n != "n_hit"]
+    assert found.columns == ["text", "doc_id", *kept, "n_words", "n_hit", "item_ids", "n_items", "contaminated"]
+    assert found.where("contaminated").count() > 0 and {tuple(r) for r in found.select(*kept).collect()} == {tuple(k for k, n in enumerate(names) if n != "n_hit")}
+    scanned = license_scan.scan(docs, license_scan.default_templates(spark))
+    assert scanned.columns == [*docs.columns, "licenses", "n_templates"] and scanned.count() == docs.count()
