@@ -49,6 +49,15 @@ def test_near_dedup(stages):
     assert {r["doc_id"] for r in after.collect()} == {d for d in ids if low[d] == d} and after.count() < before.count()
 
 
+def test_one_of_equal_rows_stays(spark, data, prose):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a, 1), (1, a, 2), (1, a, 2), (2, a, 3), (3, b, 4), (None, a, 5), (None, c, 6), (None, c, 7), (4, "", 8), (None, "", 9), (None, "", 9), (5, "", 8), (6, None, 1), (None, None, 2)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string, _same long")
+    got = corpus_pipeline.near_dedup(spark, docs, data("0.001"))
+    assert got.columns == docs.columns
+    assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=str) == sorted([(1, a), (3, b), (None, c), (4, ""), (5, ""), (None, ""), (6, None), (None, None)], key=str)
+
+
 def test_substring_dedup(stages):
     before, after = stages["substring dedup"]
     rows = [(r["doc_id"], r["text"]) for r in before.collect()]
