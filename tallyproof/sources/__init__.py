@@ -10,6 +10,7 @@ from tallyproof.sources.tables import (
     overwrite_partitions,
     overwrite_table_partitions,
     reload_by_sql,
+    write_bucketed,
 )
 from tallyproof.sources.versioned import (
     back_up,
@@ -21,6 +22,7 @@ from tallyproof.sources.versioned import (
     retain_versions,
     staged_rewrite,
 )
+from tallyproof.sources.watermarks import partitioned_watermark
 
 __all__ = [
     "add_columns",
@@ -36,6 +38,7 @@ __all__ = [
     "overwrite_partitions",
     "overwrite_table_partitions",
     "partition_columns",
+    "partitioned_watermark",
     "publish",
     "read_csv",
     "read_current",
@@ -46,6 +49,7 @@ __all__ = [
     "rewrite_partitions",
     "rewrite_table_partitions",
     "staged_rewrite",
+    "write_bucketed",
     "write_csv",
     "write_jdbc",
 ]

@@ -63,12 +63,15 @@ def read_jdbc(
     partition_column: str | None = None,
     num_partitions: int = 16,
     properties: Mapping[str, str] | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Database table, read in ``num_partitions`` ranges of a numeric, date or timestamp column.
 
     The range bounds come from one MIN/MAX query that the database answers. Without a partition
-    column the table arrives through one task, which suits small tables only.
+    column the table arrives through one task: say that it is ``small``.
     """
+    if partition_column is None and not small:
+        raise ValueError("name a partition_column, or say that the table is small: it would come through one task")
     reader = spark.read.format("jdbc")
     options = jdbc_options(url, table, properties=properties)
     if partition_column is not None:

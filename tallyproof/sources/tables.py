@@ -28,6 +28,16 @@ def add_columns(spark: SparkSession, table: str, columns: dict[str, str]) -> Non
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({new})")
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a new table whose rows are dealt into ``buckets`` by ``keys`` and sorted by them.
+
+    What is grouped or joined by these keys later needs no shuffle: with the keys of duplicates, each check counts them where
+    the rows lie. Name all keys, so that a frequent value of one (a missing item) does not fill a bucket.
+    """
+    dealt = df.repartition(buckets, *keys)  # as the buckets are, so that each becomes one file
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
+
+
 def append_by_name(df: DataFrame, table: str) -> None:
     """Append to an existing table, matching columns by name.
 
@@ -63,14 +73,16 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 def overwrite_table_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions of a catalog table that ``df`` has rows for, columns by name.
 
-    ``df`` must be settled if it derives from the table.
+    ``df`` must be settled if it derives from the table. The rebalance hint gathers each partition's rows into few files.
+    :func:`tallyproof.sources.rewrite_table_partitions` reads and replaces in safe steps.
     """
     spark = df.sparkSession
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        df.select(*spark.table(table).columns).hint("rebalance", *by).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(mode, before)
 

@@ -366,3 +366,25 @@ def test_a_recheck_reads_changed_partitions_only(spark, data, tmp_path):
     status = supplied.source_status(spark, data("0.001"))
     assert history.compare_copies(quality.judged(on_fact, quality.view_counters(view), status, RUN_TS), quality.dq_result(spark.read.parquet(path), view, status, RUN_TS)).isEmpty()
     assert len(read) == 2 and versioned.current_version(spark, store) == 2
+
+
+def test_a_watermark_reads_the_newest_partitions(spark, data, tmp_path):
+    from tallyproof.plans import supplied
+
+    path, by = str(tmp_path / "t"), ["environment", "dwh_business_date"]
+    target = supplied.loaded(supplied.lookup(spark, data("0.001")))
+    target.write.partitionBy(*by).parquet(path)
+    found = sources.partitioned_watermark(spark, path, by, "created_ts", "dwh_business_date", ["environment"])
+    want = incremental.high_watermark(target, "created_ts", ["environment"])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert len(found.inputFiles()) < len(spark.read.parquet(path).inputFiles()) / 5
+    whole = sources.partitioned_watermark(spark, path, by, "created_ts", "dwh_business_date")
+    assert whole.first()[0] == target.agg(F.max("created_ts")).first()[0]
+    # A newest day without a stamp, and rows without a day: the answer is still that of the whole table.
+    rows = spark.createDataFrame([("NY", 20300101, 1), ("NJ", None, 2)], "environment string, dwh_business_date int, event_id long")
+    rows.withColumn("created_ts", F.when(F.col("environment") == "NJ", F.lit("2031-01-01").cast("timestamp_ntz"))).write.mode("append").partitionBy(*by).parquet(path)
+    found = sources.partitioned_watermark(spark, path, by, "created_ts", "dwh_business_date", ["environment"])
+    want = incremental.high_watermark(spark.read.parquet(path), "created_ts", ["environment"])
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    with pytest.raises(ValueError):
+        sources.partitioned_watermark(spark, path, by, "created_ts", "created_ts")

@@ -4,7 +4,12 @@ import re
 
 import pytest
 
+from tallyproof.operators import counters
+from tallyproof.operators.checks import DUPLICATE_KEYS
+from tallyproof.operators.history import compare_copies
+from tallyproof.plans import supplied
 from tallyproof.plans.registry import QUERIES
+from tallyproof.sources import write_bucketed
 
 
 def plan(df):
@@ -55,3 +60,14 @@ def test_filter_is_pushed_down(spark, data):
     text = plan(QUERIES["filter_gt"](spark, data("0.001")))
     assert "GreaterThan(p_size,10)" in text
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in text
+
+
+def test_duplicates_of_a_bucketed_fact_are_counted_where_they_lie(spark, data):
+    fact = supplied.fact(spark, data("0.001"))
+    spark.sql("DROP TABLE IF EXISTS bucketed_fact")
+    write_bucketed(fact, "bucketed_fact", DUPLICATE_KEYS, 8)
+    table = spark.table("bucketed_fact")
+    counted = counters.duplicate_counts(table, DUPLICATE_KEYS)
+    assert compare_copies(counted, counters.duplicate_counts(fact, DUPLICATE_KEYS)).isEmpty()
+    assert "hashpartitioning(item_id" in plan(counters.duplicate_counts(fact, DUPLICATE_KEYS))
+    assert "hashpartitioning(item_id" not in plan(counted) and "Bucketed: true" in plan(counted)

@@ -53,6 +53,11 @@ def test_jdbc_options():
     assert (_whole(Decimal("1.5"), False), _whole(Decimal("1.5"), True), _whole(7, True)) == (1, 2, 7)
 
 
+def test_a_database_table_through_one_task_must_be_asked_for(spark):
+    with pytest.raises(ValueError, match="small"):
+        sources.read_jdbc(spark, "jdbc:x:y", "t")
+
+
 def test_append_goes_by_name(spark):
     spark.sql("DROP TABLE IF EXISTS append_target")
     sources.create_table(spark, "append_target", spark.createDataFrame([], "a int, b string").schema)
