@@ -33,6 +33,7 @@ READ_BLOCK = "block long, places binary, codes binary, langs array<string>, size
 BLOCK = "block long, places binary, codes binary, heads binary, tails binary, counts binary, word_places binary, word_codes binary, word_ids binary"
 #: Products and sums may pass 64 bits; div on decimals is exact.
 SCORE = "cast(cast(2000000 as decimal(7, 0)) * cast(a as decimal(20, 0)) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0))) as long)"
+PARTS = 64  # into which the phrases of a lang are dealt before they are ranked
 SHIFT = 28  # where a block has a phrase: the number of the block, and below it the code that the phrase has there
 
 
@@ -227,6 +228,9 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int =
     parts = parts.select("lang", "a", "w", "size", F.explode(F.expr("sequence(1, length - size + 1)")).alias("at"))
     inside = parts.groupBy("lang", F.expr("array_join(slice(w, at, size), ' ')").alias("phrase")).agg(F.max("a").alias("most"))
     kept = lowest.join(inside, ["lang", "phrase"], "left").where("most is null or 100 * cast(most as decimal(20, 0)) < 80 * cast(a as decimal(20, 0))")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= top)
+    # A lang may hold most phrases: the best of each of its parts first, so that no task ranks all of them.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    scored = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.expr(f"pmod(xxhash64(phrase), {PARTS})").alias("part"))
+    some = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
