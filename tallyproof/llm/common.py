@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -121,6 +122,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have shuffle files and checkpoints deleted that nothing refers to any more.
+
+    Spark deletes them when the driver's garbage is collected, which is seldom in a job of few objects and many bytes. What a later
+    step needs has been settled by then, so nothing is computed anew.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def within_bound(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """A settled frame of narrow rows, marked for broadcast if it has at most ``rows`` of them; beyond that joins shuffle."""
     return F.broadcast(df) if df.count() <= rows else df

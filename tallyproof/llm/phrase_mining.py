@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import block_numbers, by_bytes, pack, settled, tidied, unpack
+from tallyproof.llm.common import block_numbers, by_bytes, let_go, pack, settled, tidied, unpack
 
 #: Lower-cases A-Z, turns a tab into a space, and what ends a piece into a byte that no UTF-8 text holds.
 GAP = b"\xff"
@@ -189,14 +189,20 @@ def frequent_phrases(docs: DataFrame, longest: int = 4, least: int = 30, block_b
     words = blocks.select("block", "langs", "sizes", "words", "counts").mapInArrow(_ask_words, "at long, lang string, word string, n int")
     totals = settled(words.groupBy("lang").agg(F.sum("n").alias("n")))
     replies, singles = _frequent(words, ["lang", "word"], least)
+    del words
+    let_go(docs.sparkSession)
     singles = singles.withColumnRenamed("word", "phrase")
     found = [singles]
     carried = ["block", "places", "codes"]
     for length in range(2, longest + 1):
         blocks = settled(blocks.select(*carried).groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_extend(length), BLOCK))
+        del replies
+        let_go(docs.sparkSession)
         carried = ["block", "places", "codes", "word_places", "word_codes", "word_ids"]
         asked = blocks.select("block", "heads", "tails", "counts").mapInArrow(_ask_phrases, "at long, head long, tail long, n int")
         replies, phrases = _frequent(asked, ["head", "tail"], least)
+        del asked
+        let_go(docs.sparkSession)
         heads = found[-1].select(F.col("id").alias("head"), "lang", F.col("phrase").alias("begin"))
         tails = singles.select(F.col("id").alias("tail"), F.col("phrase").alias("end"))
         named = phrases.join(heads, "head").join(tails, "tail")
