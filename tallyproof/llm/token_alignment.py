@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import count
 
 import numpy as np
@@ -73,7 +74,7 @@ class _Aligner:
         self.cut = parts_of if cut_a is cut_b is parts_of else whole
         self.bytes_a, self.bytes_b = byte_level_bytes(path_a, True), piece_bytes(path_b)
         self.spaced_a = SpacedParts(path_a, True) if self.cut is parts_of else None
-        self.known = Remembered(self._aligned)
+        self.known = Remembered(self._aligned, 200_000)
 
     def _aligned(self, parts: list[str]) -> list[tuple | None]:
         # B puts a space before what it is given.
@@ -91,6 +92,12 @@ class _Aligner:
         return parts, self.known.of(parts)
 
 
+@lru_cache(maxsize=1)
+def _aligner(path_a: str, path_b: str) -> _Aligner:
+    """The aligner of a worker, which remembers words from task to task."""
+    return _Aligner(path_a, path_b)
+
+
 class _Block:
     """Texts and their alignments, up to a size."""
 
@@ -131,9 +138,9 @@ class _Block:
 
 def _align(path_a: str, path_b: str, block_bytes: int):
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, aligner, block = block_numbers(), None, _Block()
+        names, block = block_numbers(), _Block()
         for batch in by_bytes(batches, "text"):
-            aligner = aligner or _Aligner(path_a, path_b)
+            aligner = _aligner(path_a, path_b)
             parts, found = aligner.of(batch.column("text").to_pylist())
             for row in zip(batch.column("key").to_pylist(), batch.column("copies").to_pylist(), parts, found, strict=True):
                 block.add(*row)
