@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from tallyproof.llm.common import pieces, sliced, text_bytes, tidied, tidied_group, with_fields
 from tallyproof.llm.superkmers import (
     MULTIPLIERS,
-    PART,
     SENT,
     SPANS,
     Outbox,
@@ -45,6 +44,7 @@ from tallyproof.llm.superkmers import (
 )
 
 GRAIN = 16  # bytes of a minimiser
+PART = 24 << 20  # bytes of text whose strings go to one task as one group; smaller groups pack worse
 ALL, EQUAL = 1, 3  # the low byte of a tag: to be compared with all of its minimiser; one window, of which only equal strings are repeats
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * MULTIPLIERS[0])
 

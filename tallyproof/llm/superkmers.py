@@ -34,7 +34,7 @@ OBJECT = 200  # bytes of memory that a held or remembered string takes besides i
 CACHED = 80_000  # entries of a task's caches
 REMEMBERED = 16 << 20  # bytes of memory of the strings that a task remembers
 TEXT = 1 << 20  # bytes of text that are looked at together
-PART = 24 << 20  # bytes of text whose strings go to one task as one group
+PART = 8 << 20  # bytes of text whose strings go to one task as one group, which takes several times that in JVM and worker
 WORD = 6  # bytes of a word and the space after it, about
 SURVEYED = 64 << 20  # bytes of text of which all are read to find hot keys
 SPACE = re.compile(rb"[ \t-\r]")  # where bytes.split() divides

@@ -211,3 +211,14 @@ def test_what_is_received_is_what_was_sent():
             words = b" ".join(packed).split()
             got += [(*row, w) for row, w in zip(zip(*(x[n].tolist() for n in superkmers.NUMBERS), strict=True), words, strict=True)]
     assert known == [(5, 6, 7, 5)] and sorted(got) == sorted(s[1:] for s in strings)
+
+
+def test_a_group_of_words_stays_small(spark, prose, monkeypatch):
+    """Strings of few bytes of text go to one task together, however much text there is; the result is the same."""
+    rows = [(k, prose(k % 50, 60)) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt, send = [], superkmers._send
+    monkeypatch.setattr(superkmers, "text_bytes", lambda docs: 480 << 20)
+    monkeypatch.setattr(superkmers, "_send", lambda width, grains, buckets, parts, heavy: dealt.append(parts) or send(width, grains, buckets, parts, heavy))
+    assert collected(superkmers.remove_repeats(df, width=13), "doc_id", "n_words", "n_removed", "kept_sha256") == words_kept(rows, 13)
+    assert (480 << 20) / dealt[0] <= 10 << 20
