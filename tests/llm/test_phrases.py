@@ -3,9 +3,12 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyproof.llm import phrase_mining
+from tallyproof.llm.common import pack
 
 
 def plain(rows, longest=4, least=30, top=2000):
@@ -71,3 +74,22 @@ def test_large_counts_are_exact(spark):
 def test_a_frequent_word_in_every_block(spark):
     docs = spark.createDataFrame([("en", "the cat sat on the mat " * 3)] * 300, "lang string, text string").repartition(40)
     assert mined(docs, block_bytes=1) == plain([("en", "the cat sat on the mat " * 3)] * 300)
+
+
+def test_phrases_travel_packed(spark, data, monkeypatch):
+    """A block sends the phrases of a part as one row of few bytes, and the result is the same with many parts."""
+    rng = np.random.default_rng(1)
+    heads, tails = np.sort(rng.integers(0, 50_000, 200_000)), rng.integers(0, 50_000, 200_000)
+    block = {"block": [3], "codes": [pack(np.arange(200_000, dtype=np.int32))], "heads": [pack(np.diff(heads, prepend=0))], "tails": [pack(tails)]}
+    rows = pa.concat_tables(map(pa.Table.from_batches, [[x] for x in phrase_mining._ask_phrases(8)(iter(pa.table(block).to_batches()))]))
+    assert len(rows) == 8 and rows.nbytes < 8 * 200_000
+    docs = spark.read.parquet(f"{data('0.001')}/documents.parquet").select("lang", "text")
+    monkeypatch.setattr(phrase_mining, "MEETING", 5_000)
+    assert mined(docs, least=8, block_bytes=50_000) == plain([tuple(r) for r in docs.collect()], 4, 8)
+
+
+def test_large_phrase_numbers():
+    """Numbers that do not fit half of a 64-bit key."""
+    heads, tails = np.array([1 << 40, 5, 1 << 40, 5, 5]), np.array([2, 7, 2, 1 << 35, 7])
+    order, new = phrase_mining._by_phrase(heads, tails)
+    assert order.tolist() == [1, 4, 3, 0, 2] and new.tolist() == [0, 2, 3]
