@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyproof.functions import joined_stamp, null_safe, settle
+from tallyproof.functions import joined_stamp, null_safe, settle, settle_small
 
 WATERMARK = "last_loaded"
 MAX_ENVIRONMENTS = 1000
@@ -130,9 +130,10 @@ def rescan(fact: DataFrame, keys: DataFrame, partition_column: str | None = None
 
     The keys are computed once. If ``partition_column`` is among them, their values or ranges of it become a literal
     filter, so that a fact partitioned or sorted by the column is read there only. Within it the join selects.
+    Few keys go to every task: dealt by key, all rows of a key would meet in one.
     """
     on = list(keys.columns)
-    wanted = settle(keys.distinct())
+    wanted = settle_small(keys.distinct())
     if partition_column is not None:
         fact = fact.where(within_range(wanted, partition_column))
     return fact.alias("f").join(wanted.alias("k"), null_safe("f", "k", on), "left_semi").select("f.*")

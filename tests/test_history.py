@@ -173,6 +173,20 @@ def test_long_keys_are_not_broadcast(spark):
     assert hinted == [False, True]
 
 
+def test_rescan_does_not_deal_the_fact_by_key(spark):
+    """All rows of a changed date would meet in one task. Nothing is known of the size of the keys before they are counted."""
+    fact, keys = spark.range(1000).selectExpr("id % 3 d", "id"), spark.range(1000).selectExpr("id % 2 d")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = incremental.rescan(fact, keys, "d")
+        assert found.count() == 667
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_rescan_opens_touched_partitions_only(spark, data, tmp_path):
     path = str(tmp_path / "fact")
     supplied.lookup(spark, data("0.001")).write.partitionBy("dwh_business_date").parquet(path)
