@@ -56,20 +56,22 @@ class Remembered:
         if len(self.young) > self.held:
             self.young, self.old = {}, self.young
         young, old, divide = self.young, self.old, self.divide
+        # Most parts are known: they are looked up once, and only the others a second time.
+        out = [list(map(young.get, parts)) for parts in texts]
+        holes = [[k for k, x in enumerate(found) if x is None] for found in out]
         new, divided = [], []
-        for part in set().union(*texts):
-            if part not in young:
-                found = old.get(part)
-                if found is not None:
-                    young[part] = found
-                elif divide is None or part.isalpha():  # a word is never divided
-                    new.append(part)
+        for part in {parts[k] for parts, places in zip(texts, holes, strict=True) for k in places}.difference(young):  # which may hold None
+            found = old.get(part)
+            if found is not None:
+                young[part] = found
+            elif divide is None or part.isalpha():  # a word is never divided
+                new.append(part)
+            else:
+                pieces = divide(part)
+                if len(pieces) > 1:
+                    divided.append((part, pieces))
                 else:
-                    pieces = divide(part)
-                    if len(pieces) > 1:
-                        divided.append((part, pieces))
-                    else:
-                        new.append(part)
+                    new.append(part)
         self._learn(new)
         if divided:
             more = [piece for piece in {piece for _, pieces in divided for piece in pieces} if piece not in young]
@@ -77,7 +79,9 @@ class Remembered:
             self._learn([piece for piece in more if piece not in young])
             for part, pieces in divided:
                 young[part] = b"".join([young[piece] for piece in pieces])
-        out = [list(map(young.__getitem__, parts)) for parts in texts]
+        for parts, found, places in zip(texts, out, holes, strict=True):
+            for k in places:
+                found[k] = young[parts[k]]
         for part in new:
             if len(part) > LONGEST:
                 del young[part]
@@ -89,7 +93,9 @@ def divided_words(part: str) -> list[str]:
 
     A piece that begins with a line end follows no space, nor does one that is a single mark after ``\\0``.
     """
-    lines = part.split("\n") if "\n" in part and not LOOSE.search(part) else [part]
+    if "\n" not in part:
+        return [part[:-1], f"\0{part[-1]}"] if part[-1:] in MARKS and part[-2:-1].isalnum() else [part]
+    lines = [part] if LOOSE.search(part) else part.split("\n")
     out = []
     for k, line in enumerate(lines):
         bare = f"\n{line}" if k else line

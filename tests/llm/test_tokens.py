@@ -200,3 +200,20 @@ def test_texts_in_small_blocks_have_the_same_counts(spark, data):
     docs = spark.read.parquet(f"{data('0.001')}/documents.parquet")
     counts = [sorted(map(tuple, token_alignment.pair_counts(token_alignment.aligned_blocks(docs, A, B, size)).collect())) for size in (1 << 10, 8 << 20)]
     assert counts[0] == counts[1]
+
+
+def test_known_parts_are_looked_up_once():
+    """Of parts that a worker knows, one look is enough; what became None is not asked for again."""
+    looked, asked = [], []
+
+    class Part(str):
+        def __hash__(self):
+            looked.append(str(self))
+            return super().__hash__()
+
+        __eq__ = str.__eq__
+
+    known = tokenizing.Remembered(lambda parts: asked.extend(parts) or [None if p == "b" else p.upper() for p in parts], 10)
+    assert known.of([["a", "b", "a"], [], ["c"]]) == [["A", None, "A"], [], ["C"]] and sorted(asked) == ["a", "b", "c"]
+    assert known.of([[Part("a"), Part("c"), Part("a")], [Part("b")]]) == [["A", "C", "A"], [None]]
+    assert sorted(asked) == ["a", "b", "c"] and looked.count("a") == 2 and looked.count("c") == 1
