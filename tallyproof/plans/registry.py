@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyproof.functions import surrogate_key, zero_pad
+from tallyproof.functions import settle, surrogate_key, zero_pad
 from tallyproof.operators import (
     contracts,
     counters,
@@ -286,7 +286,8 @@ def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = supplied.effective_rows(spark, sf_dir)
     finished = F.col("o_orderstatus") == "F"
     by = (["o_custkey"], ["run_time", "o_orderkey"])
-    stored = history.scd2_split(rows.where("false"), rows.where(finished), *by)
+    # A stored history is a table: it is read several times and not to be built anew each time.
+    stored = settle(history.scd2_split(rows.where("false"), rows.where(finished), *by))
     limited = F.when(F.col("o_orderstatus") == "P", F.date_add("effective_from", 60))
     return history.scd2_split(stored, rows.where(~finished).withColumn("effective_to", limited), *by)
 

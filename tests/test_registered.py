@@ -83,3 +83,9 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert len(df.columns) == 34
     assert df.count() > 0
+
+
+def test_a_late_run_reads_its_stored_history_as_a_table(spark, data):
+    """The first split is computed once: the plan of the second reads orders for the new rows only."""
+    found = QUERIES["scd2_late"](spark, data("0.001"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") <= 2
