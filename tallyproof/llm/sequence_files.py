@@ -18,18 +18,20 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import by_bytes, pieces, text_bytes, tidied
-from tallyproof.llm.tokenizing import Remembered, SpacedParts, byte_level, divided_words, parts_of
+from tallyproof.llm.tokenizing import Remembered, SpacedParts, byte_level, part_of, parts_of, piece_begins, whole_begins
 
 MANIFEST = "shard int, sequences string, documents string, n_docs long, n_ids long"
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
 PER_BATCH = 128  # sequences of a batch
 INDEXED = 50_000  # documents of a batch of the second file
+TOGETHER = 4 << 20  # bytes of text that are encoded together
 HELD = 400_000  # words that a worker remembers twice over, in some 200 bytes each
 
 
@@ -99,20 +101,42 @@ class _Encoder:
     """Texts to ids and an end, with what a worker remembers of earlier texts."""
 
     def __init__(self, path: str, end_id: int):
-        self.tokenizer, self.cut = byte_level(path, False)
+        self.tokenizer, cut = byte_level(path, False)
         self.kind = np.dtype(np.uint16 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32)
         self.end = self.kind.type(end_id).tobytes()
-        # Where texts are not cut, all there is is their first part.
-        encode = SpacedParts(path, False, self.kind, pieces=True) if self.cut is parts_of else self._ids
-        self.known = Remembered(encode, HELD, divided_words)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
+        self.begins = piece_begins if cut is parts_of else whole_begins
+        self.parts = SpacedParts(path, False, self.kind, pieces=True) if cut is parts_of else None
+        self.known = Remembered(self._ids, HELD)
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        texts = [p.decode() for p in pieces]
+        if self.parts is not None:
+            return self.parts(list(map(part_of, texts)))
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def of(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self.cut(t) if t else [""] for t in texts]
-        heads = self._ids([p[0] for p in parts])
-        return [b"".join([head, *rest, self.end]) for head, rest in zip(heads, self.known.of([p[1:] for p in parts]), strict=True)]
+        """The ids of each text, with the end."""
+        sizes, ids = self.flat(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has with its end, and the ids of all texts after each other.
+
+        A text is the sequence of its pieces. Arrow numbers the distinct ones, and only these become Python objects.
+        """
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]]
+        starts = starts - starts[0]
+        begins = self.begins(data, starts)
+        counts = np.diff(np.searchsorted(begins, starts))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(data)]).dictionary_encode()
+        ids = self.known.of([pieces.dictionary.to_numpy(zero_copy_only=False).tolist()])[0]
+        table = pa.array([*ids, self.end], pa.large_binary())
+        codes = np.insert(pieces.indices.to_numpy(), np.cumsum(counts), len(ids))
+        lengths = np.diff(np.frombuffer(table.buffers()[1], np.int64, len(table) + 1)) // self.kind.itemsize
+        sizes = np.add.reduceat(lengths[codes], np.cumsum(counts + 1) - counts - 1)
+        return sizes, np.frombuffer(table.take(pa.array(codes)).buffers()[2], self.kind, sizes.sum())
 
 
 @lru_cache(maxsize=2)
@@ -123,14 +147,12 @@ def _encoder(path: str, end_id: int) -> _Encoder:
 def _write(folder: str, path: str, end_id: int, length: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = _encoder(path, end_id), None
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", TOGETHER):
             if not len(batch):
                 continue
             if shard is None:
                 shard = _Shard(folder, TaskContext.get().partitionId(), length, encoder.kind)
-            coded = encoder.of(batch.column("text").to_pylist())
-            sizes = np.array([len(x) for x in coded]) // encoder.kind.itemsize
-            shard.add(batch.column("doc_id"), sizes, np.frombuffer(b"".join(coded), encoder.kind))
+            shard.add(batch.column("doc_id"), *encoder.flat(batch.column("text")))
         if shard is not None:
             yield shard.close()
 

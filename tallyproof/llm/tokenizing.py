@@ -25,6 +25,11 @@ TOGETHER = 200  # parts that are encoded as one text
 LOOSE = re.compile(r"\n(?![!-~\w])|(?<![!-~\w])\n")
 MARKS = frozenset(",.;:!?")
 LONGEST = 64  # characters of a part that is worth remembering
+#: Bytes by what they are next to a space: visible, of a character beyond ASCII, or neither; letters and digits; and MARKS.
+NEITHER, SEEN, BEYOND = 0, 1, 2
+NEXT_TO = np.array([SEEN if 0x20 < b < 0x7F else BEYOND if b > 0x7F else NEITHER for b in range(256)], np.uint8)
+ASCII_ALNUM = np.array([chr(b).isalnum() and b < 0x80 for b in range(256)])
+IS_MARK = np.array([chr(b) in MARKS for b in range(256)])
 
 
 def parts_of(text: str) -> list[str]:
@@ -39,46 +44,30 @@ def whole(text: str) -> list[str]:
 class Remembered:
     """What ``encode`` makes of parts, which it is given many at a time.
 
-    Up to ``held`` parts of two generations stay, and those that are met again stay longer, so frequent ones are encoded once. ``divide`` may
-    take a part that is new apart, into parts that become the same one after another.
+    Up to ``held`` parts of two generations stay, and those that are met again stay longer, so frequent ones are encoded once.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], held: int = 100_000, divide: Callable[[str], list[str]] | None = None):
-        self.encode, self.held, self.divide = encode, held, divide
-        self.young: dict[str, object] = {}
-        self.old: dict[str, object] = {}
+    def __init__(self, encode: Callable[[list], list], held: int = 100_000):
+        self.encode, self.held = encode, held
+        self.young: dict[str | bytes, object] = {}
+        self.old: dict[str | bytes, object] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        self.young.update(zip(parts, self.encode(parts), strict=True))
-
-    def of(self, texts: list[list[str]]) -> list[list]:
+    def of(self, texts: list[list]) -> list[list]:
         """What each part of each text becomes, in order."""
         if len(self.young) > self.held:
             self.young, self.old = {}, self.young
-        young, old, divide = self.young, self.old, self.divide
+        young, old = self.young, self.old
         # Most parts are known: they are looked up once, and only the others a second time.
         out = [list(map(young.get, parts)) for parts in texts]
         holes = [[k for k, x in enumerate(found) if x is None] for found in out]
-        new, divided = [], []
+        new = []
         for part in {parts[k] for parts, places in zip(texts, holes, strict=True) for k in places}.difference(young):  # which may hold None
             found = old.get(part)
             if found is not None:
                 young[part] = found
-            elif divide is None or part.isalpha():  # a word is never divided
-                new.append(part)
             else:
-                pieces = divide(part)
-                if len(pieces) > 1:
-                    divided.append((part, pieces))
-                else:
-                    new.append(part)
-        self._learn(new)
-        if divided:
-            more = [piece for piece in {piece for _, pieces in divided for piece in pieces} if piece not in young]
-            young.update((piece, old[piece]) for piece in more if piece in old)
-            self._learn([piece for piece in more if piece not in young])
-            for part, pieces in divided:
-                young[part] = b"".join([young[piece] for piece in pieces])
+                new.append(part)
+        young.update(zip(new, self.encode(new), strict=True))
         for parts, found, places in zip(texts, out, holes, strict=True):
             for k in places:
                 found[k] = young[parts[k]]
@@ -106,6 +95,59 @@ def divided_words(part: str) -> list[str]:
     return out
 
 
+@lru_cache(maxsize=1)
+def _alnum() -> np.ndarray:
+    """Whether a character is a letter or digit, by its number."""
+    return np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+
+
+def _characters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The numbers of the characters beyond ASCII whose first bytes lie at ``at``."""
+    first = data[at].astype(np.int64)
+    more = 1 + (first >= 0xE0) + (first >= 0xF0)
+    out = first & (0x3F >> more)
+    for k in range(1, 4):
+        out = np.where(k <= more, out << 6 | data[np.minimum(at + k, len(data) - 1)] & 0x3F, out)
+    return out
+
+
+def piece_begins(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces of texts begin whose ids do not depend on what stands around them, by byte-level rules, and the end of the last.
+
+    ``data`` has the UTF-8 bytes of all texts, each from one of ``starts`` to the next. A piece begins with a single space or line end between visible
+    characters, or is a mark of punctuation between an ASCII letter or digit and one of these; and with each text that is not empty.
+    """
+    begin = np.zeros(len(data) + 1, bool)
+    begin[starts] = True
+    at = np.flatnonzero((data == 0x20) | (data == 0x0A))
+    at = at[~(begin[at] | begin[at + 1])]  # inside its text
+    before, after = NEXT_TO[data[at - 1]], NEXT_TO[data[at + 1]]
+    sure = (before != NEITHER) & (after != NEITHER)
+    odd = np.flatnonzero(sure & (after == BEYOND))
+    sure[odd] = _alnum()[_characters(data, at[odd] + 1)]
+    odd = np.flatnonzero(sure & (before == BEYOND))
+    first = at[odd] - 1
+    for _ in range(3):
+        first -= (data[first] & 0xC0) == 0x80
+    sure[odd] = _alnum()[_characters(data, first)]
+    at = at[sure]
+    marks = at - 1
+    marks = marks[IS_MARK[data[marks]] & ASCII_ALNUM[data[marks - 1]] & ~begin[marks]]
+    begin[at] = begin[marks] = True
+    return np.flatnonzero(begin)
+
+
+def whole_begins(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The same where each text is one piece."""
+    return np.unique(starts)
+
+
+def part_of(piece: str) -> str:
+    """A piece as ``SpacedParts`` takes it: without its space, as it begins with a line end, or after ``\\0``."""
+    after = piece[1:2]
+    return piece[1:] if piece[0] == " " and (after in VISIBLE or after.isalnum()) else piece if piece[0] == "\n" else f"\0{piece}"
+
+
 def _stands_apart(part: str) -> bool:
     """Whether a part can stand between others, after a space each, without a tokenizer seeing them."""
     return bool(part) and all(c in VISIBLE or c.isalnum() for c in (part[0], part[-1]))

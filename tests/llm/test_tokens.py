@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 import zlib
 from collections import Counter
 
@@ -217,3 +218,41 @@ def test_known_parts_are_looked_up_once():
     assert known.of([["a", "b", "a"], [], ["c"]]) == [["A", None, "A"], [], ["C"]] and sorted(asked) == ["a", "b", "c"]
     assert known.of([[Part("a"), Part("c"), Part("a")], [Part("b")]]) == [["A", "C", "A"], [None]]
     assert sorted(asked) == ["a", "b", "c"] and looked.count("a") == 2 and looked.count("c") == 1
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    """Texts of characters that stand oddly around spaces, line ends and marks, also where Arrow's texts begin and end inside a buffer."""
+    rng = random.Random(3)
+    alphabet = [" "] * 9 + ["\n"] * 4 + [*"abYZ019_.,;:!?'-<|>\t\r\0\x1f\x7f", "é", "ß", "\u0301", "\u00a0", "\u0085", "\u2028", "\u200b", "日", "ª", "²", "\U0001f600", "\U0001d7d8", "\U00020000", "\ufffd", " the", "'s", "<|endoftext|>"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(5000)] + ODD
+    encoder = sequence_files._Encoder(A, 0)
+    want = encoded(texts)
+    assert [np.frombuffer(x, np.uint16)[:-1].tolist() for x in encoder.of(texts)] == want
+    with_nulls = pa.array([None, *texts, None], pa.string())
+    for some, ids in ((with_nulls, [[], *want, []]), (with_nulls[1:-1].slice(700, 900), want[700:1600]), (with_nulls[:1], [[]]), (with_nulls.cast(pa.large_string())[3:9], want[2:8])):
+        sizes, flat = encoder.flat(some)
+        assert sizes.tolist() == [len(x) + 1 for x in ids] and flat.tolist() == [i for x in ids for i in [*x, 0]]
+    parts = [t.encode() for t in ("", "Ab ", "cé, dé e.\nf. 日 g.", "h i\n")]
+    data, starts = b"".join(parts), np.cumsum([0, *map(len, parts)])
+    begins = tokenizing.piece_begins(np.frombuffer(data, np.uint8), starts)
+    assert [data[i:j].decode() for i, j in zip(begins[:-1], begins[1:], strict=True)] == ["Ab ", "cé,", " dé", " e", ".", "\nf", ".", " 日", " g.", "h", " i\n"]
+
+
+def test_a_tokenizer_that_sees_more_encodes_whole_texts(tmp_path):
+    told = json.loads(Tokenizer.from_file(A).to_str())
+    told["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(told))
+    texts = ["a b", "", None, "b\nc, d", "a b"]
+    plain = Tokenizer.from_file(str(path))
+    got = [np.frombuffer(x, np.uint16).tolist() for x in sequence_files._Encoder(str(path), 0).of(texts)]
+    assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    tokenizing.byte_level.cache_clear()
+
+
+def test_only_distinct_pieces_become_python_objects(monkeypatch):
+    encoder, asked = sequence_files._Encoder(A, 0), []
+    look = encoder.known.of
+    monkeypatch.setattr(encoder.known, "of", lambda texts: asked.extend(p for parts in texts for p in parts) or look(texts))
+    encoder.of(["one two, two.\nThree two " * 50, "two two"] * 20)
+    assert len(asked) == len(set(asked)) < 12
