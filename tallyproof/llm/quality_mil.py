@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from tallyproof.llm.common import by_bytes, tidied, with_fields
+from tallyproof.llm.common import by_bytes, give_back, tidied, with_fields
 from tallyproof.llm.labelled import labelled_sample
 
 PASSAGE = 512  # bytes
@@ -151,4 +151,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, threshold:
     """
     own = docs.drop("score", "top_attention", "predicted")
     weights = fit(labelled_sample(own, labels, "quality", learn, per_class, sample_bytes))
+    give_back()  # the driver's, which has held the features of all examples
     return own.mapInArrow(tidied(_score(weights, threshold)), with_fields(own.schema, "score double, top_attention double, predicted int"))

@@ -1,8 +1,12 @@
 """Classifiers and the language model: held-out quality, gradients, and awkward input."""
 
 import math
+import os
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -214,3 +218,31 @@ def test_model_beats_counts_on_held_out_texts(spark, data):
     got = QUERIES["op4_recurrent_scores"](spark, data("0.01")).where("held_out").toPandas()
     assert got["score"].sum() / got["n_tokens"].sum() > got["base_score"].sum() / got["n_tokens"].sum() + 0.2
     assert (got["score"] > got["base_score"]).mean() > 0.95
+
+
+FIT = """
+import re
+from types import SimpleNamespace
+from tallyproof.llm import quality_mil
+from tallyproof.llm.common import give_back
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+quality_mil.labelled_sample = lambda *args: [(k % 2, b"word%d and other words. " % k * 130) for k in range(3000)]
+plain, quality_mil.fit = quality_mil.fit, lambda examples: plain(examples, epochs=1)
+quality_mil.with_fields = lambda schema, added: added
+docs = SimpleNamespace(schema=None, mapInArrow=lambda f, schema: f)
+docs.drop = lambda *names: docs
+quality_mil.score_quality(docs, None, None)
+before = held()
+give_back()
+print(before - held())
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory can't be read here")
+def test_the_driver_keeps_no_memory_of_the_fit():
+    """Features of all examples take some 50 MB, which the system has again after the weights are known."""
+    run = subprocess.run([sys.executable, "-c", FIT], capture_output=True, text=True, check=True, cwd=Path(__file__).resolve().parents[2], env={**os.environ, "OMP_NUM_THREADS": "1"})
+    assert float(run.stdout) < 20
